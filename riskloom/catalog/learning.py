@@ -1 +1,213 @@
-"""To come."""
+"""Out-of-fold model jobs over the whole labelled table."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from riskloom.catalog.base import FX, over_folds, query, train_test, wide_stored
+from riskloom.catalog.encoding import SIGMOID
+from riskloom.catalog.scoring import gini_sql
+from riskloom.functions.scalars import combine
+from riskloom.operators import encoders, learners, metrics
+from riskloom.operators.folds import assign_folds
+from riskloom.operators.ftrl import FTRL
+from riskloom.operators.oof import best_rounds as top_rounds
+from riskloom.operators.oof import coefficient_audit, oof_predict, sweep
+from riskloom.operators.scaling import EqualWidthBinner
+from riskloom.plans.materialize import materialize
+from riskloom.plans.recipes import full_features
+
+ONE_HOT = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "fstat_bin", "n_lines"]
+BINNED = ["qty_12", "price_13", "bal_14"]
+PAIRS = [("prio_cat", "nation_cat")]
+
+
+def one_hot_tables(spark, sf_dir):
+    """Binned, combined and one-hot encoded train (with folds) and test tables, and the fitted encoder."""
+    train, test = train_test(spark, sf_dir)
+    binner = EqualWidthBinner(BINNED, 20).fit(train, test)
+    train, test = (combine(binner.transform(t), PAIRS) for t in (train, test))
+    cols = [*ONE_HOT, *BINNED, *[f"{a}_plus_{b}" for a, b in PAIRS]]
+    hot = encoders.OneHot(cols).fit(train, test)
+    coded = hot.transform(assign_folds(train)).select("id", "target", "fold", "features")
+    return coded, hot.transform(test).select("id", "features"), hot
+
+
+def _oof(spark, sf_dir, make):
+    train, _, hot = one_hot_tables(spark, sf_dir)
+    return oof_predict(train, make(hot)).oof
+
+
+@query()
+def oof_logreg(spark, sf_dir):
+    return _oof(spark, sf_dir, lambda hot: learners.logistic())
+
+
+@query()
+def oof_logreg_scores(spark, sf_dir):
+    train, _, _ = one_hot_tables(spark, sf_dir)
+    return oof_predict(train, learners.logistic()).scores()
+
+
+@query()
+def oof_sgd_onehot(spark, sf_dir):
+    return _oof(spark, sf_dir, lambda hot: learners.sgd_logistic())
+
+
+@query()
+def oof_ridge(spark, sf_dir):
+    return _oof(spark, sf_dir, lambda hot: learners.ridge(300.0, hot.size))
+
+
+@query()
+def oof_fm(spark, sf_dir):
+    return _oof(spark, sf_dir, lambda hot: learners.factorization())
+
+
+@query()
+def oof_mlp_bag(spark, sf_dir):
+    return _oof(spark, sf_dir, lambda hot: learners.feed_forward(hot.size, (50, 25), bags=2))
+
+
+DENSE = ["n_lines", "qty_12", "price_13", "bal_14", "root_15", "reg_03", "ret_bin", "fstat_bin"]
+MEANS = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "cust_cat", "prio_cat_plus_nation_cat"]
+
+
+def mean_encoded(spark, sf_dir, m=None):
+    """Train with target means outside every fold, plus the step that assembles the features of one fold."""
+    train, test = (combine(t, PAIRS) for t in train_test(spark, sf_dir))
+    train = materialize(assign_folds(train), "folded")
+    enc = encoders.TargetMean(MEANS, m).fit(train, fold="fold")
+    each = enc.transform(train, "each")
+    names = [f"{c}_avg" for c in MEANS]
+
+    def prepare(df, j):
+        at = {n: F.col(n) if df.schema[n].dataType.typeName() == "double" else F.col(n)[j] for n in names}
+        return VectorAssembler(inputCols=[*DENSE, *names], outputCol="features").transform(df.withColumns(at))
+
+    return each.select("id", "target", "fold", *DENSE, *names), enc, test, prepare
+
+
+def _trees(spark, sf_dir, learner, m=None):
+    train, _, _, prepare = mean_encoded(spark, sf_dir, m)
+    return oof_predict(train, learner, prepare=prepare).oof
+
+
+@query()
+def oof_gbt(spark, sf_dir):
+    return _trees(spark, sf_dir, learners.boosted_trees(trees=10))
+
+
+@query()
+def oof_boosted_leaves(spark, sf_dir):
+    return _trees(spark, sf_dir, learners.boosted_leaves(trees=5))
+
+
+@query()
+def oof_regularized_forest(spark, sf_dir):
+    return _trees(spark, sf_dir, learners.regularized_forest(trees=5))
+
+
+@query()
+def oof_rf(spark, sf_dir):
+    return _trees(spark, sf_dir, learners.random_forest(trees=20), encoders.MEAN_WEIGHT)
+
+
+@query()
+def importances(spark, sf_dir):
+    train, _, _, prepare = mean_encoded(spark, sf_dir)
+    found = oof_predict(train, learners.boosted_trees(trees=5), prepare=prepare).importances()
+    names = [*DENSE, *[f"{c}_avg" for c in MEANS]]
+    return found.select("fold", F.lit(names)[F.col("position")].alias("feature"), "importance")
+
+
+@query()
+def coef_audit(spark, sf_dir):
+    train, _, hot = one_hot_tables(spark, sf_dir)
+    result = oof_predict(train, learners.ridge(300.0, hot.size))
+    return coefficient_audit(result.importances(), hot.names())
+
+
+@query()
+def submission_refit(spark, sf_dir):
+    train, test, _ = one_hot_tables(spark, sf_dir)
+    return oof_predict(train, learners.logistic(), test, "refit").test
+
+
+@query()
+def submission_mean(spark, sf_dir):
+    train, test, _ = one_hot_tables(spark, sf_dir)
+    return oof_predict(train, learners.logistic(), test, "mean").test
+
+
+@query()
+def sweep_alpha(spark, sf_dir):
+    train, _, _ = one_hot_tables(spark, sf_dir)
+    return sweep(train, {f"alpha={a}": learners.sgd_logistic(a) for a in (0.02, 0.002)})
+
+
+HASHED = [*ONE_HOT, *BINNED, "prio_cat_plus_nation_cat"]
+
+
+@query()
+def oof_ftrl(spark, sf_dir):
+    train, test = train_test(spark, sf_dir)
+    binner = EqualWidthBinner(BINNED, 20).fit(train, test)
+    rows = materialize(assign_folds(combine(binner.transform(train), PAIRS)), "folded")
+    out = None
+    for j in range(5):
+        model = FTRL(HASHED).fit(rows.where(F.col("fold") != j))
+        part = model.transform(rows.where(F.col("fold") == j).select("id", "fold", "target", *HASHED))
+        part = part.select("id", "fold", "target", "prediction")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+ROUNDS = ["prio_cat", "ret_bin", "nation_cat", "seg_cat", "status_cat"]
+
+
+def _rounds_sql() -> str:
+    ctes = [
+        "f AS (SELECT UNNEST(RANGE(5)) AS j)",
+        "pr AS (SELECT j, CAST(SUM(target) AS DOUBLE) / COUNT(*) AS prior FROM tr JOIN f ON tr.fold <> f.j GROUP BY j)",
+    ]
+    joins, terms, cuts = [], [], []
+    for i, c in enumerate(ROUNDS):
+        ctes.append(
+            f"e{i} AS (SELECT j, v, (CAST(pos AS DOUBLE) / n * n + 2e2 * prior) / (n + 2e2) AS e FROM "
+            f"(SELECT j, {c} AS v, SUM(target) AS pos, COUNT(*) AS n FROM tr JOIN f ON tr.fold <> f.j GROUP BY j, {c}) JOIN pr USING (j))"
+        )
+        joins.append(f"JOIN e{i} ON e{i}.j = tr.fold AND e{i}.v = tr.{c}")
+        terms.append(f"e{i}.e")
+        cuts.append(f"SELECT {i + 1} AS round, tr.fold, target, ROUND({' + '.join(terms)}, 9) AS score FROM tr {' '.join(joins)}")
+    ctes.append("sc AS (" + " UNION ALL ".join(cuts) + ")")
+    ctes.append("g AS (" + gini_sql("sc", "target", "score", "round, fold") + ")")
+    body = (
+        "SELECT round, ROUND(AVG((gini + 1) / 2), 9) AS mean_score, ROUND(STDDEV_POP((gini + 1) / 2), 9) AS std_score "
+        "FROM g GROUP BY round ORDER BY 2 DESC, 1 LIMIT 3"
+    )
+    return over_folds(body, *ctes)
+
+
+@query(_rounds_sql())
+def best_rounds(spark, sf_dir):
+    """Additive model grown one encoded feature per round; the three best rounds by mean validation AUC."""
+    train, _ = train_test(spark, sf_dir)
+    train = materialize(assign_folds(train.select("id", "target", *ROUNDS)), "folded")
+    enc = encoders.TargetMean(ROUNDS).fit(train, fold="fold").transform(train, "own")
+    total, cuts = None, []
+    for i, c in enumerate(ROUNDS):
+        total = F.col(f"{c}_avg") if total is None else total + F.col(f"{c}_avg")
+        cuts.append(F.struct(F.lit(i + 1).alias("round"), F.round(total, 9).alias("score")))
+    curve = metrics.auc(enc.select("fold", "target", F.inline(F.array(*cuts))), "target", "score", ["round", "fold"])
+    found = top_rounds(curve)
+    return found.select("round", *[F.round(c, 9).alias(c) for c in ("mean_score", "std_score")])
+
+
+@query()
+def oof_assemble(spark, sf_dir):
+    """Fold predictions attached to the labelled rows by id, scored per fold and pooled."""
+    train, _, _ = one_hot_tables(spark, sf_dir)
+    oof = oof_predict(train, learners.sgd_logistic()).oof
+    return train.select("id").join(oof, "id", "left")
