@@ -1 +1,196 @@
-"""To come."""
+"""Prediction stores, submissions, blending and the full feature set."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskloom.catalog.base import folded, over_folds, over_fx, query, train_test, wide
+from riskloom.catalog.encoding import SIGMOID
+from riskloom.functions.scalars import fixed_text, linear_blend
+from riskloom.operators import encoders, learners, metrics
+from riskloom.operators.folds import assign_folds
+from riskloom.operators.stacking import fit_blend, stack
+from riskloom.plans.materialize import materialize
+from riskloom.plans.recipes import Recipe, full_features
+from riskloom.sources import predictions as P
+
+MODELS = ["by_bal", "by_lines", "by_prio"]
+
+# three scores per row; the middle one exists only for orders with lines
+STORE = """
+store AS (
+  SELECT id, 'by_prio' AS model, 1e0 / (1e0 + prio_cat) AS prediction FROM fx
+  UNION ALL SELECT id, 'by_lines', n_lines / 8e0 FROM fx WHERE n_lines > 0
+  UNION ALL SELECT id, 'by_bal', (bal_14 + 1e3) / 2e4 FROM fx)"""
+
+
+def store(spark, sf_dir):
+    df = wide(spark, sf_dir)
+    cells = F.array(
+        F.struct(F.lit("by_prio").alias("model"), (1.0 / (1.0 + F.col("prio_cat"))).alias("prediction")),
+        F.struct(F.lit("by_lines").alias("model"), F.when(F.col("n_lines") > 0, F.col("n_lines") / 8.0).alias("prediction")),
+        F.struct(F.lit("by_bal").alias("model"), ((F.col("bal_14") + 1e3) / 2e4).alias("prediction")),
+    )
+    return df.select("id", F.inline(cells)).where("prediction IS NOT NULL")
+
+
+@query(over_fx(
+    "SELECT id, MAX(prediction) FILTER (model = 'by_bal') AS by_bal, MAX(prediction) FILTER (model = 'by_lines') AS by_lines, "
+    "MAX(prediction) FILTER (model = 'by_prio') AS by_prio FROM store GROUP BY id",
+    STORE,
+))
+def pred_store_wide(spark, sf_dir):
+    """Through the partitioned store on disk: written per model, read back, made wide."""
+    from riskloom.session import shared_dir
+    import uuid
+
+    path = f"{shared_dir(spark)}/riskloom-store-{uuid.uuid4().hex}"
+    store(spark, sf_dir).write.partitionBy("model").parquet(path)
+    return P.prediction_wide(P.read_store(spark, path), MODELS)
+
+
+@query(over_fx("SELECT id, ROUND(AVG(prediction), 9) AS prediction FROM store GROUP BY id", STORE))
+def mean_submission(spark, sf_dir):
+    found = P.mean_predictions(store(spark, sf_dir))
+    return found.select("id", F.round("prediction", 9).alias("prediction"))
+
+
+@query(over_fx("SELECT fx.id, store.prediction AS target FROM fx LEFT JOIN store ON fx.id = store.id AND store.model = 'by_lines' WHERE is_test = 1", STORE))
+def submission_fill(spark, sf_dir):
+    template = wide(spark, sf_dir).where("is_test = 1").select("id", F.lit(0.0).alias("target"))
+    return P.fill_submission(template, store(spark, sf_dir).where("model = 'by_lines'"))
+
+
+@query()
+def pred_format(spark, sf_dir):
+    return store(spark, sf_dir).select("id", "model", fixed_text("prediction").alias("prediction"))
+
+
+@query(over_fx(
+    "SELECT id, 0e0 + 6e-1 * by_prio + -1e-1 * by_lines + 3e-1 * by_bal AS blend FROM ("
+    "SELECT id, 1e0 / (1e0 + prio_cat) AS by_prio, n_lines / 8e0 AS by_lines, (bal_14 + 1e3) / 2e4 AS by_bal FROM fx)"
+))
+def linear_blend_rows(spark, sf_dir):
+    df = wide(spark, sf_dir).select(
+        "id", (1.0 / (1.0 + F.col("prio_cat"))).alias("by_prio"), (F.col("n_lines") / 8.0).alias("by_lines"),
+        ((F.col("bal_14") + 1e3) / 2e4).alias("by_bal"),
+    )
+    return df.select("id", linear_blend({"by_prio": 0.6, "by_lines": -0.1, "by_bal": 0.3}).alias("blend"))
+
+
+@query()
+def run_catalog(spark, sf_dir):
+    """Every score column as a run: its Gini over the labelled rows and its score code."""
+    runs = store(spark, sf_dir).join(folded(spark, sf_dir).select("id", "target"), "id")
+    return P.run_catalog(metrics.gini(runs, "target", "prediction", ["model"]))
+
+
+FIRST_LEVEL = ["prio_cat", "nation_cat", "seg_cat", "ret_bin", "prio_nation"]
+
+
+def first_level(spark, sf_dir):
+    """Out-of-fold and test target means of single columns and of one pair, as first-level predictions (wide)."""
+    pair = F.concat_ws("_", "prio_cat", "nation_cat").alias("prio_nation")
+    keep = [c for c in FIRST_LEVEL if c != "prio_nation"]
+    train, test = train_test(spark, sf_dir)
+    train = materialize(assign_folds(train.select("id", "target", *keep, pair)), "folded")
+    enc = encoders.TargetMean(FIRST_LEVEL, suffix="").fit(train, fold="fold")
+    return enc.transform(train, "own"), enc.transform(test.select("id", *keep, pair))
+
+
+@query()
+def blend_fit(spark, sf_dir):
+    """Weights per fold of the blend that maximises Gini."""
+    train, _ = first_level(spark, sf_dir)
+    weights = fit_blend(train, FIRST_LEVEL, fits=range(5), max_iter=30)
+    rows = [(j, m, float(w)) for j, ws in weights.items() for m, w in zip(FIRST_LEVEL, ws)]
+    return spark.createDataFrame(rows, "fold int, model string, weight double")
+
+
+@query()
+def blend_calibrate(spark, sf_dir):
+    """Test predictions: the calibrated blend of every fold, averaged."""
+    train, test = first_level(spark, sf_dir)
+    return stack(train, FIRST_LEVEL, test, max_iter=10).test
+
+
+@query()
+def stack_oof(spark, sf_dir):
+    train, test = first_level(spark, sf_dir)
+    return stack(train, FIRST_LEVEL, test, max_iter=30).oof
+
+
+@query(over_folds(
+    "SELECT model, ROUND(AVG(gini), 9) AS coef FROM g GROUP BY model",
+    STORE,
+    "sc AS (SELECT tr.target, tr.fold, store.model, store.prediction AS score FROM tr JOIN store ON tr.id = store.id)",
+    "g AS (SELECT model, fold, CAST(SUM(CAST(pos AS HUGEINT) * (2 * cum - neg)) AS DOUBLE) / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) - 1e0 AS gini "
+    "FROM (SELECT *, SUM(neg) OVER (PARTITION BY model, fold ORDER BY score) AS cum FROM ("
+    "SELECT model, fold, score, SUM(target) AS pos, COUNT(*) - SUM(target) AS neg FROM sc GROUP BY model, fold, score)) GROUP BY model, fold)",
+))
+def blend_coef_mean(spark, sf_dir):
+    """Mean over the folds of one figure per model and fold (here its Gini)."""
+    rows = store(spark, sf_dir).join(folded(spark, sf_dir).select("id", "target", "fold"), "id")
+    per_fold = metrics.gini(rows, "target", "prediction", ["model", "fold"])
+    return per_fold.groupBy("model").agg(F.round(F.avg("gini"), 9).alias("coef"))
+
+
+RECIPE = Recipe(
+    ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "fstat_bin", "n_lines", "reg_03", "qty_12", "price_13"],
+    ["reg_03", "qty_12", "price_13"],
+    [("prio_cat", "nation_cat"), ("seg_cat", "ret_bin")],
+)
+
+
+def _full_sql() -> str:
+    def cut(c):
+        return " + ".join(f"(CASE WHEN {c} > lo_{c} + {i} * ((hi_{c} - lo_{c}) / 50) THEN 1 ELSE 0 END)" for i in range(1, 50)) + f" AS {c}"
+
+    coded = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "fstat_bin"]
+    combos = [f"{a}_{b}_cmb" for a, b in RECIPE.pairs]
+    span = "span AS (SELECT " + ", ".join(f"MIN({c}) AS lo_{c}, MAX({c}) AS hi_{c}" for c in RECIPE.binned) + " FROM fx)"
+    base = (
+        "base AS (SELECT id, is_test, target, " + ", ".join([*coded, "n_lines"]) + ", " + ", ".join(cut(c) for c in RECIPE.binned) + ", "
+        + ", ".join(f"CAST({a} AS VARCHAR) || '|' || CAST({b} AS VARCHAR) AS {a}_{b}_cmb" for a, b in RECIPE.pairs) + " FROM fx, span)"
+    )
+    pr = "pr AS (SELECT CAST(SUM(target) AS DOUBLE) / COUNT(*) AS prior, COUNT(*) AS total FROM fx WHERE is_test = 0)"
+    ctes, picks, joins = [span, base, pr], [], []
+    for i, c in enumerate([*coded, *combos]):
+        ctes.append(
+            f"v{i} AS (SELECT v, n / CAST(total AS DOUBLE) AS freq, {SIGMOID} AS enc FROM "
+            f"(SELECT {c} AS v, SUM(target) AS pos, COUNT(*) AS n FROM base WHERE is_test = 0 GROUP BY {c}), pr)"
+        )
+        name = c if c in combos else f"{c}_freq"
+        picks += [f"ROUND(COALESCE(v{i}.freq, 0), 9) AS {name}", f"ROUND(COALESCE(v{i}.enc, prior), 9) AS {c}_avg"]
+        joins.append(f"LEFT JOIN v{i} ON base.{c} = v{i}.v")
+    values = {"prio_cat": range(1, 6), "status_cat": (70, 79, 80), "ret_bin": (-1, 0, 1), "fstat_bin": (-1, 0, 1), "nation_cat": range(25)}
+    dummies = [f"CASE WHEN base.{c} = {v} THEN 1 ELSE 0 END AS \"{c}_{v}\"" for c, vs in values.items() for v in vs]
+    dummies += [f"CASE WHEN base.seg_cat = {v} THEN 1 ELSE 0 END AS \"seg_cat_{v}\"" for v in SEGMENTS]
+    plain = ["id", "is_test", *[f"base.{c}" for c in [*coded, "n_lines", *RECIPE.binned]]]
+    return over_fx(f"SELECT {', '.join([*plain, *picks, *dummies])} FROM base CROSS JOIN pr {' '.join(joins)}", *ctes)
+
+
+# first letters of the five market segments, as character codes
+SEGMENTS = (65, 66, 70, 72, 77)
+
+
+@query(_full_sql())
+def fe_full(spark, sf_dir):
+    train, test = train_test(spark, sf_dir)
+    left, right, names = full_features(train, test, RECIPE)
+    both = left.select("id", F.lit(0).alias("is_test"), *names).unionByName(right.select("id", F.lit(1).alias("is_test"), *names))
+    round_these = [c for c in names if c.endswith(("_freq", "_avg", "_cmb"))]
+    return both.select("id", "is_test", *[F.round(c, 9).alias(c) if c in round_these else F.col(c) for c in names])
+
+
+@query()
+def oof_full_features(spark, sf_dir):
+    """The full feature set with boosted trees."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from riskloom.operators.oof import oof_predict
+
+    train, test = train_test(spark, sf_dir)
+    left, _, names = full_features(assign_folds(train), test, RECIPE)
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(left)
+    return oof_predict(rows.select("id", "target", "fold", "features"), learners.boosted_leaves(trees=5)).oof
