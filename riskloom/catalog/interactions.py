@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import over_folds, query, train_test
+from riskloom.catalog.base import over_folds, query, wide
 from riskloom.catalog.scoring import gini_sql
 from riskloom.operators import search
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.profile import pair_usage as usage_of
-from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.plans.materialize import materialize
+from riskloom.sources.order_risk import split_origin
 
 COLS = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "fstat_bin", "n_lines"]
 PAIRS = search.pair_candidates(COLS)
 
 
 def _folded(spark, sf_dir):
-    train, test = train_test(spark, sf_dir)
-    return materialize(assign_folds(train.select("id", "target", *COLS)), "folded"), test
+    train, test = split_origin(wide(spark, sf_dir))
+    return materialize(assign_folds(train.select("id", "target", *COLS)), "folded"), test.select("id", *COLS)
 
 
 def _screen_ctes() -> list[str]:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.plans.materialize import materialize
@@ -142,15 +142,18 @@ class Frequency:
         return df
 
 
-def smoothed_mean(pos: Column, n: Column, prior: Column, m: float | None = None) -> Column:
-    """Mean of the target pulled towards the prior: weight m, or (m is None) a sigmoid in the number of rows."""
-    mean = pos / n
+def smoothed_mean(pos: str, n: str, prior: float, m: float | None = None) -> str:
+    """SQL text of the mean target pulled towards the prior: weight m, or (m is None) a sigmoid in the number of rows.
+
+    pos and n are SQL texts of double type. Text keeps the many expressions of a fit cheap to build.
+    """
+    mean, base = f"(({pos}) / ({n}))", f"{float(prior)!r}D"
     if m is not None:
-        value = (mean * n + F.lit(float(m)) * prior) / (n + F.lit(float(m)))
+        value = f"({mean} * ({n}) + {float(m)!r}D * {base}) / (({n}) + {float(m)!r}D)"
     else:
-        s = 1.0 / (1.0 + F.exp(-(n - MIN_SAMPLES_LEAF) / float(SMOOTHING)))
-        value = prior * (1.0 - s) + mean * s
-    return F.when(n > 0, value).otherwise(prior)
+        s = f"(1D / (1D + exp(-(({n}) - {MIN_SAMPLES_LEAF}) / {float(SMOOTHING)!r}D)))"
+        value = f"{base} * (1D - {s}) + {mean} * {s}"
+    return f"CASE WHEN ({n}) > 0 THEN {value} ELSE {base} END"
 
 
 @dataclass
@@ -177,15 +180,14 @@ class TargetMean:
     ) -> TargetMean:
         v = vocabulary or fit_vocabulary(train, None, self.cols, label, fold, k, id)
         self.vocabulary = v
-        n, pos = F.col("n_train").cast("double"), F.col("pos").cast("double")
-        encoded = [smoothed_mean(pos, n, F.lit(self.prior()), self.m).alias("full")]
+        encoded = [smoothed_mean("CAST(pos AS DOUBLE)", "CAST(n_train AS DOUBLE)", self.prior(), self.m) + " AS full"]
         if v.fold_n:
             outside = [
-                smoothed_mean(pos - F.col("fold_pos")[j], n - F.col("fold_n")[j], F.lit(self.prior(j)), self.m)
+                smoothed_mean(f"CAST(pos - fold_pos[{j}] AS DOUBLE)", f"CAST(n_train - fold_n[{j}] AS DOUBLE)", self.prior(j), self.m)
                 for j in range(len(v.fold_n))
             ]
-            encoded.append(F.array(*outside).alias("outside"))
-        self.table = v.table.select("feature", "num", "value", "n_train", "n_test", *encoded)
+            encoded.append(f"array({', '.join(outside)}) AS outside")
+        self.table = v.table.selectExpr("feature", "num", "value", "n_train", "n_test", *encoded)
         return self
 
     def prior(self, j: int | None = None) -> float:

@@ -32,26 +32,25 @@ def lookup_join(
     key, are spread by `spread`. So no task receives more than its share, however skewed the values are.
     """
     payload = sorted({src for src, _ in outputs.values()})
-    left = df.withColumn("_key", F.col(f"`{key}`"))
-
-    def side(t: DataFrame, mark: str) -> DataFrame:
-        return t.select(F.col("key_").alias("_key"), F.lit(True).alias(mark), *[F.col(p).alias(f"{mark}_{p}") for p in payload])
 
-    def pick(mark: str, src: str, default: Column, other: Column | None = None) -> Column:
-        rest = default if other is None else other
-        return F.when(F.col(mark), F.col(f"{mark}_{src}")).otherwise(rest)
+    def side(t: DataFrame, mark: str, *more: str) -> DataFrame:
+        return t.selectExpr("key_ AS _key", f"true AS {mark}", *[f"{p} AS {mark}_{p}" for p in payload], *more)
 
+    left = df.withColumn("_key", F.col(f"`{key}`"))
     if rows <= limit:
         joined = left.join(F.broadcast(side(table, "_h")), "_key", "left")
-        new = {name: pick("_h", src, default) for name, (src, default) in outputs.items()}
-    else:
-        is_hot = F.col("weight_") >= F.lit(max(1.0, HOT_SHARE * total))
-        hot, cold = table.where(is_hot), table.where(~is_hot)
-        served = left.join(F.broadcast(side(hot, "_h")), "_key", "left")
-        spared = F.col("_h").isNotNull() | F.col("_key").isNull()
-        salt = F.when(spared, F.pmod(F.xxhash64(F.col(spread)), F.lit(SALTS)) + 1).otherwise(0)
-        served = served.withColumn("_salt", salt).withColumn("_key", F.when(~spared, F.col("_key")))
-        joined = served.join(side(cold, "_c").withColumn("_salt", F.lit(0).cast("long")), ["_key", "_salt"], "left")
-        new = {name: pick("_h", src, default, pick("_c", src, default)) for name, (src, default) in outputs.items()}
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in new]
-    return joined.select(*kept, *[expr.alias(name) for name, expr in new.items()])
+        new = {name: F.when(F.col("_h"), F.col(f"_h_{src}")).otherwise(default) for name, (src, default) in outputs.items()}
+        return joined.withColumns(new).drop("_key", "_h", *[f"_h_{p}" for p in payload])
+
+    is_hot = f"weight_ >= {max(1.0, HOT_SHARE * total)!r}D"
+    served = left.join(F.broadcast(side(table.where(is_hot), "_h")), "_key", "left")
+    spared = F.col("_h").isNotNull() | F.col("_key").isNull()
+    salt = F.when(spared, F.pmod(F.xxhash64(F.col(spread)), F.lit(SALTS)) + 1).otherwise(0)
+    served = served.withColumns({"_salt": salt, "_key": F.when(~spared, F.col("_key"))})
+    cold = side(table.where(f"NOT ({is_hot})"), "_c", "0L AS _salt")
+    joined = served.join(cold, ["_key", "_salt"], "left")
+    new = {
+        name: F.when(F.col("_h"), F.col(f"_h_{src}")).when(F.col("_c"), F.col(f"_c_{src}")).otherwise(default)
+        for name, (src, default) in outputs.items()
+    }
+    return joined.withColumns(new).drop("_key", "_salt", "_h", "_c", *[f"{m}_{p}" for m in ("_h", "_c") for p in payload])

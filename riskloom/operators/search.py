@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import combine
@@ -35,23 +35,20 @@ def pair_cells(df: DataFrame, cols: Sequence[str], label: str, fold: str, k: int
     (f1, f2, v1, v2, n0..n(k-1), p0..p(k-1)). Everything else in the screen works on these cells. Columns must be
     integer codes. The per-row list of pairs is aggregated in the same task, before the shuffle.
     """
-    listed = [
-        F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.col(a).cast("long").alias("v1"), F.col(b).cast("long").alias("v2"))
-        for a, b in pair_candidates(cols)
-    ]
-    flags = [(F.col(fold) == j).cast("long").alias(f"_n{j}") for j in range(k)]
-    hits = [F.when(F.col(fold) == j, F.col(label)).otherwise(0).cast("long").alias(f"_p{j}") for j in range(k)]
-    rows = df.select(*flags, *hits, F.inline(F.array(*listed)))
-    sums = [F.sum(f"_{s}{j}").alias(f"{s}{j}") for s in "np" for j in range(k)]
+    listed = [f"struct('{a}' AS f1, '{b}' AS f2, CAST(`{a}` AS BIGINT) AS v1, CAST(`{b}` AS BIGINT) AS v2)" for a, b in pair_candidates(cols)]
+    flags = [f"CAST({fold} = {j} AS BIGINT) AS _n{j}" for j in range(k)]
+    hits = [f"IF({fold} = {j}, CAST({label} AS BIGINT), 0L) AS _p{j}" for j in range(k)]
+    rows = df.selectExpr(*flags, *hits, f"inline(array({', '.join(listed)}))")
+    sums = [F.expr(f"sum(_{s}{j}) AS {s}{j}") for s in "np" for j in range(k)]
     return rows.groupBy("f1", "f2", "v1", "v2").agg(*sums)
 
 
-def _outside(names: Sequence[str], j: int) -> Column:
-    rest = [F.col(n) for i, n in enumerate(names) if i != j]
-    total = rest[0]
-    for c in rest[1:]:
-        total = total + c
-    return total.cast("double")
+def _outside(names: Sequence[str], j: int) -> str:
+    return f"CAST({' + '.join(n for i, n in enumerate(names) if i != j)} AS DOUBLE)"
+
+
+def _single_key(feature: str, value: str) -> str:
+    return f"concat_ws('=', {feature}, CAST({value} AS STRING))"
 
 
 def _screen_scores(df: DataFrame, cols: Sequence[str], label: str, fold: str, k: int, m: float) -> DataFrame:
@@ -61,52 +58,35 @@ def _screen_scores(df: DataFrame, cols: Sequence[str], label: str, fold: str, k:
     n, p = [f"n{j}" for j in range(k)], [f"p{j}" for j in range(k)]
 
     # single-column statistics are margins of one chosen pair per column, so they need no pass of their own
-    anchor = ((F.col("f1") == cols[0]) & (F.col("side") == 2)) | (
-        (F.col("f1") == cols[0]) & (F.col("f2") == cols[1]) & (F.col("side") == 1)
+    first_pair = f"(f1 = '{cols[0]}' AND f2 = '{cols[1]}')"
+    anchor = f"(f1 = '{cols[0]}' AND side = 2) OR ({first_pair} AND side = 1)"
+    sides = ", ".join(f"struct({s} AS side, {_single_key(f'f{s}', f'v{s}')} AS key_)" for s in (1, 2))
+    singles = cells.selectExpr("f1", "f2", *n, *p, f"inline(array({sides}))").groupBy("key_").agg(
+        F.count(F.lit(1)).alias("weight_"), *[F.expr(f"sum(IF({anchor}, {c}, 0L)) AS {c}") for c in [*n, *p]]
     )
-    sides = [
-        F.struct(F.lit(s).alias("side"), _single_key(F.col(f"f{s}"), F.col(f"v{s}")).alias("key_")) for s in (1, 2)
-    ]
-    singles = cells.select("f1", *n, *p, "f2", F.inline(F.array(*sides))).groupBy("key_").agg(
-        F.count(F.lit(1)).alias("weight_"), *[F.sum(F.when(anchor, F.col(c)).otherwise(0)).alias(c) for c in [*n, *p]]
-    )
-    first = (F.col("f1") == cols[0]) & (F.col("f2") == cols[1])
-    totals = cells.where(first).agg(*[F.sum(c).alias(c) for c in [*n, *p]]).first()
+    totals = cells.where(first_pair).agg(*[F.sum(c).alias(c) for c in [*n, *p]]).first()
     prior = [
         (sum(totals[x] for x in p) - totals[p[j]]) / (sum(totals[x] for x in n) - totals[n[j]]) for j in range(k)
     ]
-    odds = []
-    for j in range(k):
-        e = smoothed_mean(_outside(p, j), _outside(n, j), F.lit(prior[j]), m)
-        odds.append(F.log(e / (1.0 - e)))
-    singles = materialize(singles.select("key_", "weight_", F.array(*odds).alias("odds")), "singles")
+    encoded = [smoothed_mean(_outside(p, j), _outside(n, j), prior[j], m) for j in range(k)]
+    odds = ", ".join(f"ln(({e}) / (1D - ({e})))" for e in encoded)
+    singles = materialize(singles.selectExpr("key_", "weight_", f"array({odds}) AS odds"), "singles")
     size = singles.agg(F.count(F.lit(1)).alias("n"), F.sum("weight_").alias("w")).first()
 
-    encoded = F.array(*[smoothed_mean(_outside(p, j), _outside(n, j), F.lit(prior[j]), m) for j in range(k)])
-    rated = cells.select(
-        "f1", "f2", F.xxhash64("f1", "f2", "v1", "v2").alias("_cell"), encoded.alias("enc"),
-        F.array(*n).alias("n"), F.array(*p).alias("p"),
-        _single_key(F.col("f1"), F.col("v1")).alias("k1"), _single_key(F.col("f2"), F.col("v2")).alias("k2"),
+    rated = cells.selectExpr(
+        "f1", "f2", "xxhash64(f1, f2, v1, v2) AS _cell", f"array({', '.join(encoded)}) AS enc",
+        f"array({', '.join(n)}) AS n", f"array({', '.join(p)}) AS p",
+        f"{_single_key('f1', 'v1')} AS k1", f"{_single_key('f2', 'v2')} AS k2",
     )
     for s in (1, 2):
         outputs = {f"o{s}": ("odds", F.lit(None).cast("array<double>"))}
         rated = lookup_join(rated, singles, f"k{s}", outputs, size["n"], size["w"], spread="_cell")
-    scores = F.flatten(
-        F.array(*[
-            F.array(
-                _score(1, j, F.round(F.col("enc")[j], 12)),
-                _score(0, j, F.round(F.col("o1")[j] + F.col("o2")[j], 9)),
-            )
-            for j in range(k)
-        ])
-    )
-    return rated.select("f1", "f2", F.inline(scores)).where("n > 0")
-
-
-def _score(kind: int, j: int, score: Column) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"), F.lit(j).alias("fold"), score.alias("score"), F.col("p")[j].alias("pos"), F.col("n")[j].alias("n")
-    )
+    scores = [
+        f"struct({kind} AS kind, {j} AS fold, {score} AS score, p[{j}] AS pos, n[{j}] AS n)"
+        for j in range(k)
+        for kind, score in ((1, f"round(enc[{j}], 12)"), (0, f"round(o1[{j}] + o2[{j}], 9)"))
+    ]
+    return rated.selectExpr("f1", "f2", f"inline(array({', '.join(scores)}))").where("n > 0")
 
 
 def _screen_gains(scores: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -132,10 +112,6 @@ def screen_deltas(df: DataFrame, cols: Sequence[str], label: str = "target", fol
     return found.select("f1", "f2", "fold", F.col("gain").alias("delta"))
 
 
-def _single_key(feature: Column, value: Column) -> Column:
-    return F.concat_ws("=", feature, value.cast("string"))
-
-
 def top_pairs(screen: DataFrame, top: int = 30, by: str = "gain") -> DataFrame:
     return screen.orderBy(F.desc(by), "f1", "f2").limit(top)
 

@@ -27,17 +27,15 @@ def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: s
     Each row is scored by all trials whose fit does not hold the row's fold out. Scores are counted in SCORE_BINS
     bins, aggregated in the task, so the shuffle carries at most trials x bins rows per task.
     """
-    literal = F.array(*[
-        F.struct(
-            F.lit(key).alias("trial"), F.lit(fit).alias("fit"), F.lit(lo).alias("lo"), F.lit(width).alias("width"),
-            *[F.lit(float(w)).alias(f"w{i}") for i, w in enumerate(weights)],
-        )
+    listed = [
+        f"struct({key} AS trial, {fit} AS fit, {lo!r}D AS lo, {width!r}D AS width, "
+        + ", ".join(f"{float(w)!r}D AS w{i}" for i, w in enumerate(weights))
+        + ")"
         for key, fit, weights, lo, width in trials
-    ])
-    scored = rows.select(F.col(label).cast("long").alias("_y"), F.col(fold).alias("_f"), *models, F.inline(literal)).where("fit <> _f")
-    total = F.lit(0.0)
-    for i, m in enumerate(models):
-        total = total + F.col(f"w{i}") * F.col(f"`{m}`")
+    ]
+    scored = rows.selectExpr(f"CAST(`{label}` AS BIGINT) AS _y", f"`{fold}` AS _f", *[f"`{m}`" for m in models], f"inline(array({', '.join(listed)}))")
+    scored = scored.where("fit <> _f")
+    total = F.expr(" + ".join(f"w{i} * `{m}`" for i, m in enumerate(models)))
     spot = F.floor((total - F.col("lo")) / F.col("width") * SCORE_BINS)
     spot = F.least(F.greatest(spot, F.lit(0)), F.lit(SCORE_BINS - 1)).cast("int")
     bins = scored.groupBy("trial", spot.alias("spot")).agg(F.sum("_y").alias("pos"), F.count(F.lit(1)).alias("n"))

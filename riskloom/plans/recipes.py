@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import combine
 from riskloom.operators.columns import align_columns, column_roles, require_columns
-from riskloom.operators.encoders import Dummies, Frequency, TargetMean
+from riskloom.operators.encoders import Dummies, TargetMean
 from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.plans.vocabulary import fit_vocabulary
 
@@ -41,21 +42,19 @@ def full_features(train: DataFrame, test: DataFrame, recipe: Recipe, label: str
     combos = [f"{a}_{b}_cmb" for a, b in recipe.pairs]
     coded = [*roles.categorical, *roles.binary]
     words = fit_vocabulary(train, test, [*coded, *combos], label, id=id)
-    steps = [
-        Dummies(coded).fit(train, test, vocabulary=_only(words, coded)),
-        TargetMean([*coded, *combos], None).fit(train, label, vocabulary=words),
-        Frequency(coded).fit(train, vocabulary=words),
-        Frequency(combos, suffix="").fit(train, vocabulary=words),
-    ]
-    for step in steps:
-        train, test = step.transform(train), step.transform(test)
+    means = TargetMean([*coded, *combos], None).fit(train, label, vocabulary=words)
+    dummies = Dummies(coded).fit(train, test, vocabulary=words.only(coded))
+    # target mean and frequency come from the same row of the vocabulary: one lookup per column
+    table = means.table.withColumn("share", F.col("n_train") / F.lit(float(words.n_train)))
+    fallback = F.lit(means.prior())
+
+    def encode(df: DataFrame) -> DataFrame:
+        df = dummies.transform(df)
+        for c in [*coded, *combos]:
+            freq = c if c in combos else f"{c}_freq"
+            df = words.attach(df, table, c, {f"{c}_avg": ("full", fallback), freq: ("share", F.lit(0.0))})
+        return df
+
+    train, test = encode(train), encode(test)
     align_columns(train, test, label)
     return train, test, [c for c in test.columns if c != id]
-
-
-def _only(words, cols):
-    from dataclasses import replace
-
-    from pyspark.sql import functions as F
-
-    return replace(words, cols=list(cols), table=words.table.where(F.col("feature").isin(list(cols))))

@@ -8,7 +8,7 @@ the same row (total minus fold), not from a pass per fold.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +34,10 @@ def long_values(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) ->
     """(feature, num, value, keep...) rows: `num` holds the value of integral columns, `value` its text."""
     cells = []
     for c in cols:
-        num = F.col(f"`{c}`").cast("long") if is_integral(df, c) else F.lit(None).cast("long")
-        text = F.col(f"`{c}`").cast("long").cast("string") if is_integral(df, c) else F.col(f"`{c}`")
-        cells.append(F.struct(F.lit(c).alias("feature"), num.alias("num"), text.alias("value")))
-    return df.select(*keep, F.inline(F.array(*cells))).where("value IS NOT NULL")
+        num = f"CAST(`{c}` AS BIGINT)" if is_integral(df, c) else "CAST(NULL AS BIGINT)"
+        text = f"CAST({num} AS STRING)" if is_integral(df, c) else f"`{c}`"
+        cells.append(f"struct('{c}' AS feature, {num} AS num, {text} AS value)")
+    return df.selectExpr(*[f"`{c}`" for c in keep], f"inline(array({', '.join(cells)}))").where("value IS NOT NULL")
 
 
 @dataclass
@@ -60,6 +60,10 @@ class Vocabulary:
     def total(self) -> int:
         return self.n_train + self.n_test
 
+    def only(self, cols: Sequence[str]) -> Vocabulary:
+        """The same statistics limited to some columns."""
+        return replace(self, cols=list(cols), table=self.table.where(F.col("feature").isin(list(cols))))
+
     def attach(
         self,
         df: DataFrame,
@@ -90,42 +94,32 @@ def fit_vocabulary(
     """Collect the statistics of every value of `cols`; `test` may be None (fit on train only)."""
     cols = list(cols)
     integral = {c: is_integral(train, c) for c in cols}
-    side = [F.lit(1).alias("_tr"), F.col(id).alias("_id")]
-    side.append((F.col(label) if label else F.lit(None)).cast("long").alias("_y"))
-    side.append((F.col(fold) if fold else F.lit(None)).cast("int").alias("_k"))
-    values = [F.col(f"`{c}`") for c in cols]
-    rows = train.select(*side, *values)
+    y = f"CAST(`{label}` AS BIGINT)" if label else "CAST(NULL AS BIGINT)"
+    own = f"CAST(`{fold}` AS INT)" if fold else "CAST(NULL AS INT)"
+    names = [f"`{c}`" for c in cols]
+    rows = train.selectExpr("1 AS _tr", f"`{id}` AS _id", f"{y} AS _y", f"{own} AS _k", *names)
     if test is not None:
-        blank = [F.lit(0).alias("_tr"), F.col(id).alias("_id"), F.lit(None).cast("long").alias("_y")]
-        rows = rows.unionByName(test.select(*blank, F.lit(None).cast("int").alias("_k"), *values))
-    rows = rows.select(
-        "*", *[(F.col("_k") == j).cast("long").alias(f"_k{j}") for j in range(k) if fold]
-    )
-    long = long_values(rows, cols, ["_tr", "_id", "_y", *[f"_k{j}" for j in range(k) if fold]])
-    in_train = F.col("_tr") == 1
+        blank = ["0 AS _tr", f"`{id}` AS _id", "CAST(NULL AS BIGINT) AS _y", "CAST(NULL AS INT) AS _k"]
+        rows = rows.unionByName(test.selectExpr(*blank, *names))
+    js = range(k) if fold else range(0)
+    long = long_values(rows, cols, ["_tr", "_id", "_y", "_k"])
     aggs = [
-        F.sum("_tr").cast("long").alias("n_train"),
-        F.sum(1 - F.col("_tr")).cast("long").alias("n_test"),
-        F.min(F.when(in_train, F.col("_id"))).alias("first_train"),
-        F.min(F.when(~in_train, F.col("_id"))).alias("first_test"),
+        "CAST(sum(_tr) AS BIGINT) AS n_train",
+        "CAST(sum(1 - _tr) AS BIGINT) AS n_test",
+        "min(IF(_tr = 1, _id, NULL)) AS first_train",
+        "min(IF(_tr = 0, _id, NULL)) AS first_test",
     ]
-    zero = F.lit(0).cast("long")
+    sums = ["coalesce(sum(_tr), 0) AS a", "coalesce(sum(1 - _tr), 0) AS b", "coalesce(sum(_y), 0L) AS p"]
     if label:
-        aggs.append(F.coalesce(F.sum("_y"), zero).alias("pos"))
+        aggs.append("coalesce(sum(_y), 0L) AS pos")
     if fold:
-        aggs.append(F.array(*[F.coalesce(F.sum(f"_k{j}"), zero) for j in range(k)]).alias("fold_n"))
-        aggs.append(
-            F.array(*[F.coalesce(F.sum(F.col(f"_k{j}") * F.col("_y")), zero) for j in range(k)]).alias("fold_pos")
-        )
-    table = materialize(long.groupBy(*VALUE_COLUMNS).agg(*aggs), "vocabulary")
+        aggs.append(f"array({', '.join(f'sum(IF(_k = {j}, 1L, 0L))' for j in js)}) AS fold_n")
+        aggs.append(f"array({', '.join(f'sum(IF(_k = {j}, coalesce(_y, 0L), 0L))' for j in js)}) AS fold_pos")
+        sums += [f"sum(IF(_k = {j}, 1L, 0L)) AS n{j}" for j in js]
+        sums += [f"sum(IF(_k = {j}, coalesce(_y, 0L), 0L)) AS p{j}" for j in js]
+    table = materialize(long.groupBy(*VALUE_COLUMNS).agg(*[F.expr(a) for a in aggs]), "vocabulary")
     sizes = {r["feature"]: r["n"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    totals = rows.agg(
-        F.coalesce(F.sum("_tr"), zero).alias("a"),
-        F.coalesce(F.sum(1 - F.col("_tr")), zero).alias("b"),
-        F.coalesce(F.sum("_y"), zero).alias("p"),
-        *[F.coalesce(F.sum(f"_k{j}"), zero).alias(f"n{j}") for j in range(k) if fold],
-        *[F.coalesce(F.sum(F.col(f"_k{j}") * F.col("_y")), zero).alias(f"p{j}") for j in range(k) if fold],
-    ).first()
+    totals = rows.agg(*[F.expr(x) for x in sums]).first()
     return Vocabulary(
         table=table,
         cols=cols,
