@@ -10,7 +10,7 @@ from riskloom.functions.scalars import fixed_text, linear_blend
 from riskloom.operators import encoders, learners, metrics
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.stacking import fit_blend, stack
-from riskloom.plans.materialize import materialize
+from riskloom.plans.materialize import materialize, new_path
 from riskloom.plans.recipes import Recipe, full_features
 from riskloom.sources import predictions as P
 
@@ -41,10 +41,7 @@ def store(spark, sf_dir):
 ))
 def pred_store_wide(spark, sf_dir):
     """Through the partitioned store on disk: written per model, read back, made wide."""
-    from riskloom.session import shared_dir
-    import uuid
-
-    path = f"{shared_dir(spark)}/riskloom-store-{uuid.uuid4().hex}"
+    path = new_path(spark, "store")
     store(spark, sf_dir).write.partitionBy("model").parquet(path)
     return P.prediction_wide(P.read_store(spark, path), MODELS)
 

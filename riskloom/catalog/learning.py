@@ -11,7 +11,7 @@ from riskloom.catalog.scoring import gini_sql
 from riskloom.functions.scalars import combine
 from riskloom.operators import encoders, learners, metrics
 from riskloom.operators.folds import assign_folds
-from riskloom.operators.ftrl import FTRL
+from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.oof import best_rounds as top_rounds
 from riskloom.operators.oof import coefficient_audit, oof_predict, sweep
 from riskloom.operators.scaling import EqualWidthBinner
@@ -24,18 +24,18 @@ PAIRS = [("prio_cat", "nation_cat")]
 
 
 def one_hot_tables(spark, sf_dir):
-    """Binned, combined and one-hot encoded train (with folds) and test tables, and the fitted encoder."""
+    """Binned, combined and one-hot encoded train table (with folds), the encoder, and a maker of the test table."""
     train, test = train_test(spark, sf_dir)
     binner = EqualWidthBinner(BINNED, 20).fit(train, test)
     train, test = (combine(binner.transform(t), PAIRS) for t in (train, test))
     cols = [*ONE_HOT, *BINNED, *[f"{a}_plus_{b}" for a, b in PAIRS]]
     hot = encoders.OneHot(cols).fit(train, test)
     coded = hot.transform(assign_folds(train)).select("id", "target", "fold", "features")
-    return coded, hot.transform(test).select("id", "features"), hot
+    return coded, hot, lambda: hot.transform(test).select("id", "features")
 
 
 def _oof(spark, sf_dir, make):
-    train, _, hot = one_hot_tables(spark, sf_dir)
+    train, hot, _ = one_hot_tables(spark, sf_dir)
     return oof_predict(train, make(hot)).oof
 
 
@@ -71,7 +71,8 @@ def oof_mlp_bag(spark, sf_dir):
 
 
 DENSE = ["n_lines", "qty_12", "price_13", "bal_14", "root_15", "reg_03", "ret_bin", "fstat_bin"]
-MEANS = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "cust_cat", "prio_cat_plus_nation_cat"]
+# few-valued columns only: the mean of a value with a handful of rows gives their own targets away
+MEANS = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "prio_cat_plus_nation_cat"]
 
 
 def mean_encoded(spark, sf_dir, m=None):
@@ -124,21 +125,21 @@ def importances(spark, sf_dir):
 
 @query()
 def coef_audit(spark, sf_dir):
-    train, _, hot = one_hot_tables(spark, sf_dir)
+    train, hot, _ = one_hot_tables(spark, sf_dir)
     result = oof_predict(train, learners.ridge(300.0, hot.size))
     return coefficient_audit(result.importances(), hot.names())
 
 
 @query()
 def submission_refit(spark, sf_dir):
-    train, test, _ = one_hot_tables(spark, sf_dir)
-    return oof_predict(train, learners.logistic(), test, "refit").test
+    train, _, test = one_hot_tables(spark, sf_dir)
+    return oof_predict(train, learners.logistic(), test(), "refit").test
 
 
 @query()
 def submission_mean(spark, sf_dir):
-    train, test, _ = one_hot_tables(spark, sf_dir)
-    return oof_predict(train, learners.logistic(), test, "mean").test
+    train, _, test = one_hot_tables(spark, sf_dir)
+    return oof_predict(train, learners.logistic(), test(), "mean").test
 
 
 @query()
@@ -154,14 +155,8 @@ HASHED = [*ONE_HOT, *BINNED, "prio_cat_plus_nation_cat"]
 def oof_ftrl(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     binner = EqualWidthBinner(BINNED, 20).fit(train, test)
-    rows = materialize(assign_folds(combine(binner.transform(train), PAIRS)), "folded")
-    out = None
-    for j in range(5):
-        model = FTRL(HASHED).fit(rows.where(F.col("fold") != j))
-        part = model.transform(rows.where(F.col("fold") == j).select("id", "fold", "target", *HASHED))
-        part = part.select("id", "fold", "target", "prediction")
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows = assign_folds(combine(binner.transform(train), PAIRS)).select("id", "target", "fold", *HASHED)
+    return ftrl_oof(rows, FTRL(HASHED))
 
 
 ROUNDS = ["prio_cat", "ret_bin", "nation_cat", "seg_cat", "status_cat"]

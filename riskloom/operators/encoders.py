@@ -160,12 +160,15 @@ def smoothed_mean(pos: str, n: str, prior: float, m: float | None = None) -> str
 class TargetMean:
     """Mean target per value. m=200 gives the weighted form, m=None the sigmoid form.
 
-    With a fold column the fit also holds, for every fold j, the mean over the rows outside fold j.
+    With a fold column the fit also holds, for every fold j, the mean over the rows outside fold j. Used on the training
+    rows of fold j's model that mean contains the row's own target; nested=True keeps it out by leaving out the row's
+    own fold as well.
     """
 
     cols: Sequence[str]
     m: float | None = MEAN_WEIGHT
     suffix: str = "_avg"
+    nested: bool = False
     vocabulary: Vocabulary | None = None
     table: DataFrame | None = None
 
@@ -181,31 +184,41 @@ class TargetMean:
         v = vocabulary or fit_vocabulary(train, None, self.cols, label, fold, k, id)
         self.vocabulary = v
         encoded = [smoothed_mean("CAST(pos AS DOUBLE)", "CAST(n_train AS DOUBLE)", self.prior(), self.m) + " AS full"]
-        if v.fold_n:
-            outside = [
-                smoothed_mean(f"CAST(pos - fold_pos[{j}] AS DOUBLE)", f"CAST(n_train - fold_n[{j}] AS DOUBLE)", self.prior(j), self.m)
-                for j in range(len(v.fold_n))
-            ]
-            encoded.append(f"array({', '.join(outside)}) AS outside")
+        k = len(v.fold_n)
+        if k:
+            encoded.append(f"array({', '.join(self._outside(j) for j in range(k))}) AS outside")
+        if k and self.nested:
+            inner = [f"array({', '.join(self._outside(i, j) for j in range(k))})" for i in range(k)]
+            encoded.append(f"array({', '.join(inner)}) AS inner")
         self.table = v.table.selectExpr("feature", "num", "value", "n_train", "n_test", *encoded)
         return self
 
-    def prior(self, j: int | None = None) -> float:
+    def _outside(self, *folds: int) -> str:
+        """Mean over the rows outside the given folds."""
+        out = sorted(set(folds))
+        pos = "pos" + "".join(f" - fold_pos[{j}]" for j in out)
+        n = "n_train" + "".join(f" - fold_n[{j}]" for j in out)
+        return smoothed_mean(f"CAST({pos} AS DOUBLE)", f"CAST({n} AS DOUBLE)", self.prior(*out), self.m)
+
+    def prior(self, *folds: int) -> float:
         v = self.vocabulary
-        if j is None:
-            return v.pos / v.n_train
-        return (v.pos - v.fold_pos[j]) / (v.n_train - v.fold_n[j])
+        pos, n = v.pos - sum(v.fold_pos[j] for j in folds), v.n_train - sum(v.fold_n[j] for j in folds)
+        return pos / n
 
     def transform(self, df: DataFrame, at: str | int = "full", fold: str = "fold") -> DataFrame:
         """at="full": fitted on all train rows; "own": outside the row's own fold; j: outside fold j;
         "each": an array with the value outside every fold."""
-        priors = F.array(*[F.lit(self.prior(j)) for j in range(len(self.vocabulary.fold_n))])
+        priors = F.lit([self.prior(j) for j in range(len(self.vocabulary.fold_n))])
         for c in self.cols:
             name = c + self.suffix
             if at == "full":
                 df = self.vocabulary.attach(df, self.table, c, {name: ("full", F.lit(self.prior()))})
                 continue
-            df = self.vocabulary.attach(df, self.table, c, {name: ("outside", priors)})
+            if self.nested and fold in df.columns:
+                df = self.vocabulary.attach(df, self.table, c, {name: ("inner", F.lit(None))})
+                df = df.withColumn(name, F.coalesce(F.col(f"`{name}`")[F.col(fold)], priors))
+            else:
+                df = self.vocabulary.attach(df, self.table, c, {name: ("outside", priors)})
             if at == "own":
                 df = df.withColumn(name, F.col(f"`{name}`")[F.col(fold)])
             elif at != "each":

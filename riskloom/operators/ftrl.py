@@ -8,8 +8,9 @@ it are averaged (McDonald et al., 2010). One shard gives the plain sequential al
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -39,8 +40,7 @@ def run_pass(x: np.ndarray, y: np.ndarray, z: np.ndarray, n: np.ndarray, alpha:
         zi, ni = z[row], n[row]
         w = np.where(np.abs(zi) <= l1, 0.0, (np.sign(zi) * l1 - zi) / ((beta + np.sqrt(ni)) / alpha + l2))
         g = 1.0 / (1.0 + np.exp(-min(max(w.sum(), -35.0), 35.0))) - label
-        for_each = np.unique(row).size < row.size
-        if for_each:  # two cells share a bucket: update it once per cell
+        if np.unique(row).size < row.size:  # two cells share a bucket: update it once per cell
             for i, wi in zip(row, w):
                 z[i] += g - (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha * wi
                 n[i] += g * g
@@ -119,3 +119,20 @@ class FTRL:
         weighted = lookup_join(cells, side, "bucket", {"w": ("w", unseen)}, self.buckets, self.cells, spread=id)
         margin = weighted.groupBy(id).agg(F.sum("w").alias("_margin"))
         return df.join(margin, id).withColumn("prediction", sigmoid_clip("_margin")).drop("_margin")
+
+
+def ftrl_oof(train: DataFrame, settings: FTRL, label: str = "target", fold: str = "fold", id: str = "id", parallel: int = 8) -> DataFrame:
+    """Out-of-fold predictions (id, fold, target, prediction) of the hashed learner."""
+    rows = materialize(train.select(id, label, fold, *settings.cols), "ftrl", [fold])
+    folds = sorted(r[0] for r in rows.select(fold).distinct().collect())
+
+    def one(j: int) -> DataFrame:
+        model = replace(settings).fit(rows.where(F.col(fold) != j), label, id)
+        return model.transform(rows.where(F.col(fold) == j), id).select(id, fold, F.col(label).alias("target"), "prediction")
+
+    with ThreadPool(min(parallel, len(folds))) as pool:
+        parts = pool.map(one, folds, chunksize=1)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

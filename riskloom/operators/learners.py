@@ -27,6 +27,9 @@ from riskloom.functions.scalars import class_weight, sigmoid
 LABEL, FEATURES, WEIGHT = "_label", "features", "_weight"
 # the exact solver of the linear model is limited to this many features
 NORMAL_EQUATION_WIDTH = 4096
+# Iterative fits run one job per step: tasks smaller than this cost more to start than to run.
+# coalesce() only ever merges input splits, so larger tables keep the parallelism of their files.
+MIN_ROWS_PER_TASK = 25_000
 
 
 @dataclass(frozen=True)
@@ -56,6 +59,7 @@ class Learner:
         rows = rows.withColumn(LABEL, self.label(label))
         if self.weight is not None:
             rows = rows.withColumn(WEIGHT, self.weight(facts, label))
+        rows = rows.coalesce(max(1, -(-facts.rows // MIN_ROWS_PER_TASK)))
         return [self.build(facts, seed).fit(rows) for seed in self.seeds]
 
     def score(self, model: Model, df: DataFrame, name: str) -> DataFrame:

@@ -56,7 +56,7 @@ def oof_predict(
     label: str = "target",
     fold: str = "fold",
     id: str = "id",
-    parallel: int = 4,
+    parallel: int = 8,
     store: bool = True,
 ) -> OofResult:
     """Train one learner over the folds of `train`.

@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.session import shared_dir
 
+_written: list[str] = []
+
 
 def materialize(df: DataFrame, tag: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write `df` to parquet in the shared folder and read it back.
@@ -17,11 +19,26 @@ def materialize(df: DataFrame, tag: str, partition_by: Sequence[str] = ()) -> Da
     file statistics, and freezes the outcome of range partitioning so later jobs agree on it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/riskloom-{tag}-{uuid.uuid4().hex}"
+    path = new_path(spark, tag)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*[_quoted(c) for c in df.columns])
 
 
+def new_path(spark: SparkSession, tag: str) -> str:
+    path = f"{shared_dir(spark)}/riskloom-{tag}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has written. Call it once results are saved: DataFrames built on them stop working."""
+    gone = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def _quoted(name: str) -> str:
     return f"`{name}`"
