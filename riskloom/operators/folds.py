@@ -30,7 +30,8 @@ def assign_folds(
     Exact mode shuffles inside each class (by `shuffle_key`) and deals the rows out in turn, so fold sizes differ by
     at most one per class. A class may hold nearly all rows, so it is never one window group: the hash is uniform,
     hence its first `digits` hex digits cut every class into 16**digits even slices; row numbers are taken inside a
-    slice and shifted by the sizes of the slices before it (a table of at most classes x 16**digits rows, broadcast).
+    slice and shifted by the sizes of the slices before it. That table (classes x 16**digits rows) is joined on the same
+    keys the rows are already partitioned by, so the rows are shuffled once.
     With exact=False the fold is a hash of the id: no shuffle at all, fold sizes equal only on average.
     """
     key = shuffle_key(id, seed)
@@ -42,14 +43,18 @@ def assign_folds(
     )
     group = [F.col(b) for b in by] or [F.lit(0)]
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*by, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    offsets = slices.select(*[F.col(b).alias("_class") for b in by], F.col("_slice").alias("_place"), before)
+    match = F.col("_slice") == F.col("_place")
+    if stratify:
+        match = match & F.col(stratify).eqNullSafe(F.col("_class"))
     inside = Window.partitionBy(*by, "_slice").orderBy("_key", id)
     ranked = (
         df.withColumn("_key", key)
         .withColumn("_slice", _slice_of(F.col("_key"), digits))
         .withColumn("_at", F.row_number().over(inside) - 1)
     )
-    return ranked.join(F.broadcast(offsets), [*by, "_slice"], "left").select(
+    return ranked.join(offsets, match).select(
         *df.columns, F.pmod(F.col("_before") + F.col("_at"), F.lit(k)).cast("int").alias(name)
     )
 

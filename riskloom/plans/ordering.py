@@ -29,18 +29,30 @@ def _earlier(by: Sequence[str]) -> Window:
     return Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _same_range(by: Sequence[str]) -> Column:
+    """Null-safe match of rows with the `_o_` columns of their range, so that a null group is kept."""
+    match = F.col("_range") == F.col("_o_range")
+    for i, b in enumerate(by):
+        match = match & F.col(b).eqNullSafe(F.col(f"_o_{i}"))
+    return match
+
+
+def _renamed(by: Sequence[str]) -> list[Column]:
+    return [*[F.col(b).alias(f"_o_{i}") for i, b in enumerate(by)], F.col("_range").alias("_o_range")]
+
+
 def global_rank(df: DataFrame, keys: Sequence[Column], by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Zero-based position of each row in the order of `keys` within `by` (keys must be unique there).
 
-    The broadcast side has at most (#groups + #range partitions) rows, as ranges are contiguous.
-    `by` columns must be non-null and few-valued (classes, folds, feature names).
+    `by` must be few-valued (classes, folds, feature names): the broadcast side has at most (#groups + #range
+    partitions) rows, as ranges are contiguous.
     """
     placed = _placed(df, keys, by)
     ranges = placed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
     shift = F.coalesce(F.sum("_n").over(_earlier(by)), F.lit(0)) - F.col("_first")
-    ranges = ranges.select(*by, "_range", shift.alias("_shift"))
+    ranges = ranges.select(*_renamed(by), shift.alias("_shift"))
     return (
-        placed.join(F.broadcast(ranges), [*by, "_range"])
+        placed.join(F.broadcast(ranges), _same_range(by))
         .withColumn(name, F.col("_place") + F.col("_shift"))
         .select(*df.columns, name)
     )
@@ -49,14 +61,18 @@ def global_rank(df: DataFrame, keys: Sequence[Column], by: Sequence[str] = (), n
 def running_totals(
     df: DataFrame, keys: Sequence[Column], values: Sequence[str], by: Sequence[str] = (), prefix: str = "cum_"
 ) -> DataFrame:
-    """Sum of each of `values` over all rows up to and including this one, in the order of `keys` within `by`."""
+    """Sum of each of `values` over all rows up to and including this one, in the order of `keys` within `by`.
+
+    The running sum inside a range already partitions the rows by (by, range), so joining the totals of the earlier
+    ranges needs no further shuffle of the rows.
+    """
     placed = _placed(df, keys, by)
     sums = [F.sum(v).alias(f"_t_{v}") for v in values]
     ranges = placed.groupBy(*by, "_range").agg(*sums)
     before = [F.coalesce(F.sum(f"_t_{v}").over(_earlier(by)), F.lit(0)).alias(f"_b_{v}") for v in values]
-    ranges = ranges.select(*by, "_range", *before)
+    ranges = ranges.select(*_renamed(by), *before)
     inside = Window.partitionBy(*by, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     local = placed.select("*", *[F.sum(v).over(inside).alias(f"_l_{v}") for v in values])
-    return local.join(F.broadcast(ranges), [*by, "_range"]).select(
+    return local.join(ranges, _same_range(by)).select(
         *df.columns, *[(F.col(f"_b_{v}") + F.col(f"_l_{v}")).alias(f"{prefix}{v}") for v in values]
     )
