@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.catalog.base import folded, long_sql, over_folds, over_fx, query, train_test
@@ -79,14 +78,7 @@ FROM long JOIN vocab USING (feature, num)""".lstrip(),
 def one_hot_long(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     hot = encoders.OneHot(["prio_cat", "seg_cat", "cust_cat"]).fit(train)
-    both = train.drop("target").unionByName(test)
-    return _positions(hot.transform(both).select("id", "features"))
-
-
-def _positions(df):
-    """(id, position) of the ones of a 0/1 vector column."""
-    spots = F.transform(vector_to_array("features"), lambda v, i: F.when(v != 0, i.cast("long")))
-    return df.select("id", F.explode(F.array_compact(spots)).alias("position"))
+    return hot.positions(train.drop("target").unionByName(test))
 
 
 @query(

@@ -102,13 +102,26 @@ class OneHot:
             base = F.when(F.col("feature") == c, s).otherwise(base)
         return self.table.select("feature", "value", "n_train", "n_test", (base + F.col("code")).alias("position"))
 
+    def _spots(self, df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+        """One code column per encoded column; unknown values get the code one past the last."""
+        spots = {c: f"_spot{i}" for i, c in enumerate(self.width)}
+        for c, spot in spots.items():
+            df = self.vocabulary.attach(df, self.table, c, {spot: ("code", F.lit(self.width[c]).cast("long"))})
+        return df, spots
+
+    def positions(self, df: DataFrame, output: str = "position", keep: Sequence[str] = ("id",)) -> DataFrame:
+        """Long form: one row per 1 in the matrix (keep..., position)."""
+        df, spots = self._spots(df.select(*keep, *[F.col(f"`{c}`") for c in self.width if c not in keep]))
+        offset, cells = 0, []
+        for c, spot in spots.items():
+            cells.append(F.when(F.col(spot) < self.width[c], F.col(spot) + offset))
+            offset += self.width[c]
+        return df.select(*keep, F.explode(F.array_compact(F.array(*cells))).alias(output))
+
     def transform(self, df: DataFrame, output: str = "features", extra: Sequence[str] = ()) -> DataFrame:
         """Add the vector; `extra` numeric or vector columns are appended after the one-hot blocks."""
         keep = [F.col(f"`{c}`") for c in df.columns]
-        spots = {c: f"_spot{i}" for i, c in enumerate(self.width)}
-        for c, spot in spots.items():
-            outputs = {spot: ("code", F.lit(self.width[c]).cast("long"))}
-            df = self.vocabulary.attach(df, self.table, c, outputs)
+        df, spots = self._spots(df)
         # nominal metadata tells the encoder its width (one more for unknown values, dropped), so it needs no pass
         sized = {
             spot: F.col(spot).cast("double").alias(spot, metadata={"ml_attr": {"type": "nominal", "num_vals": self.width[c] + 1}})

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,30 +24,39 @@ SCORE_BINS = 4096
 FULL = -1
 
 
-def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, trials: list[tuple], span: dict) -> dict[int, float]:
+def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, trials: list[tuple]) -> dict[int, float]:
     """Gini of every trial (key, fit, weights, lo, width) from one pass over the rows.
 
-    Each row is scored by all trials whose fit does not hold the row's fold out. Scores are counted in SCORE_BINS
-    bins, aggregated in the task, so the shuffle carries at most trials x bins rows per task.
+    Each row is scored by all trials whose fit does not hold the row's fold out. A task scores a batch of rows against
+    all trials by one matrix product and counts the scores in SCORE_BINS bins per trial, so the shuffle carries at
+    most trials x bins rows per task, whatever the number of rows.
     """
-    listed = [
-        f"struct({key} AS trial, {fit} AS fit, {lo!r}D AS lo, {width!r}D AS width, "
-        + ", ".join(f"{float(w)!r}D AS w{i}" for i, w in enumerate(weights))
-        + ")"
-        for key, fit, weights, lo, width in trials
-    ]
-    scored = rows.selectExpr(f"CAST(`{label}` AS BIGINT) AS _y", f"`{fold}` AS _f", *[f"`{m}`" for m in models], f"inline(array({', '.join(listed)}))")
-    scored = scored.where("fit <> _f")
-    total = F.expr(" + ".join(f"w{i} * `{m}`" for i, m in enumerate(models)))
-    spot = F.floor((total - F.col("lo")) / F.col("width") * SCORE_BINS)
-    spot = F.least(F.greatest(spot, F.lit(0)), F.lit(SCORE_BINS - 1)).cast("int")
-    bins = scored.groupBy("trial", spot.alias("spot")).agg(F.sum("_y").alias("pos"), F.count(F.lit(1)).alias("n"))
+    w = np.array([t[2] for t in trials], dtype=float).T
+    fits = np.array([t[1] for t in trials])
+    lo, width = np.array([t[3] for t in trials]), np.array([t[4] for t in trials])
+    names, size = list(models), len(trials)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, pos = np.zeros((size, SCORE_BINS), np.int64), np.zeros((size, SCORE_BINS), np.int64)
+        for batch in batches:
+            spots = ((batch[names].to_numpy(float) @ w - lo) / width * SCORE_BINS).astype(np.int64).clip(0, SCORE_BINS - 1)
+            y, f = batch["_y"].to_numpy() == 1, batch["_f"].to_numpy()
+            for t in range(size):
+                use = f != fits[t]
+                n[t] += np.bincount(spots[use, t], minlength=SCORE_BINS)
+                pos[t] += np.bincount(spots[use & y, t], minlength=SCORE_BINS)
+        trial, spot = np.nonzero(n)
+        yield pd.DataFrame({"trial": trial, "spot": spot, "pos": pos[trial, spot], "n": n[trial, spot]})
+
+    scored = rows.select(F.col(label).cast("long").alias("_y"), F.col(fold).cast("int").alias("_f"), *[F.col(f"`{m}`").cast("double") for m in names])
+    counted = scored.mapInPandas(count, "trial long, spot long, pos long, n long")
+    bins = counted.groupBy("trial", "spot").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     neg = F.col("n") - F.col("pos")
     upto = Window.partitionBy("trial").orderBy("spot").rowsBetween(Window.unboundedPreceding, 0)  # at most SCORE_BINS rows
     won = F.col("pos").cast("double") * (2 * F.sum(neg).over(upto) - neg)
     placed = bins.select("trial", "pos", neg.alias("neg"), won.alias("won"))
     sums = placed.groupBy("trial").agg(F.sum("won").alias("w"), F.sum("pos").alias("p"), F.sum("neg").alias("q")).collect()
-    return {r["trial"]: r["w"] / (float(r["p"]) * float(r["q"])) - 1.0 for r in sums}
+    return {trials[r["trial"]][0]: r["w"] / (float(r["p"]) * float(r["q"])) - 1.0 for r in sums}
 
 
 def _normed(w: Sequence[float]) -> list[float]:
@@ -89,7 +101,7 @@ def fit_blend(
             for w in options:
                 owner[len(trials)] = (j, w)
                 trials.append((len(trials), j, w, *_reach(w, models, span)))
-        found = _candidate_ginis(rows, models, label, fold, trials, span)
+        found = _candidate_ginis(rows, models, label, fold, trials)
         for j in open_fits:
             mine = [(g, owner[t][1]) for t, g in found.items() if owner[t][0] == j]
             score, w = max(mine, key=lambda x: (x[0], x[1]))
@@ -136,17 +148,23 @@ def stack(
     sizes = {r[fold]: r["n"] for r in rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
     folds = sorted(sizes)
     weights = fit_blend(rows, models, label, fold, folds, max_iter, negative=negative)
+    blends = {j: linear_blend(dict(zip(models, weights[j]))) for j in folds}
+
+    def fit(j: int):
+        scored = rows.where(F.col(fold) != j).withColumn("_z", blends[j])
+        return calibrate(scored, "_z", label, sum(sizes.values()) - sizes[j])
+
+    with ThreadPool(len(folds)) as pool:
+        calibrations = dict(zip(folds, pool.map(fit, folds, chunksize=1)))
     parts, test_parts = None, []
     scored_test = test
     for j in folds:
-        blend = linear_blend(dict(zip(models, weights[j])))
-        scored = rows.withColumn("_z", blend)
-        apply = calibrate(scored.where(F.col(fold) != j), "_z", label, sum(sizes.values()) - sizes[j])
-        part = apply(scored.where(F.col(fold) == j), [id, fold, F.col(label).alias("target")])
+        held = rows.where(F.col(fold) == j).withColumn("_z", blends[j])
+        part = calibrations[j](held, [id, fold, F.col(label).alias("target")])
         parts = part if parts is None else parts.unionByName(part)
         if test is not None:
             kept = [F.col(f"`{c}`") for c in scored_test.columns]
-            scored_test = apply(scored_test.withColumn("_z", blend), kept).withColumnRenamed("prediction", f"_p{j}")
+            scored_test = calibrations[j](scored_test.withColumn("_z", blends[j]), kept).withColumnRenamed("prediction", f"_p{j}")
             test_parts.append(F.col(f"_p{j}"))
     predicted = None
     if test is not None:
