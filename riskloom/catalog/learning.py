@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import FX, over_folds, query, train_test, wide_stored
-from riskloom.catalog.encoding import SIGMOID
+from riskloom.catalog.base import over_folds, query, train_test
 from riskloom.catalog.scoring import gini_sql
-from riskloom.functions.scalars import combine
+from riskloom.functions.scalars import combine, product, signed_flag
 from riskloom.operators import encoders, learners, metrics
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.oof import best_rounds as top_rounds
 from riskloom.operators.oof import coefficient_audit, oof_predict, sweep
 from riskloom.operators.scaling import EqualWidthBinner
+from riskloom.plans import first_level
 from riskloom.plans.materialize import materialize
-from riskloom.plans.recipes import full_features
 
 ONE_HOT = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "fstat_bin", "n_lines"]
 BINNED = ["qty_12", "price_13", "bal_14"]
@@ -206,3 +205,57 @@ def oof_assemble(spark, sf_dir):
     train, _, _ = one_hot_tables(spark, sf_dir)
     oof = oof_predict(train, learners.sgd_logistic()).oof
     return train.select("id").join(oof, "id", "left")
+
+
+@query()
+def level1_means(spark, sf_dir):
+    """Boosted trees on raw columns, decoded region, a coded pair and per-fold target means."""
+    train, test = train_test(spark, sf_dir)
+    kept = ["prio_cat", "status_cat", "seg_cat", "ret_bin", "n_lines", "qty_12", "price_13"]
+    result = first_level.mean_encoded_model(
+        train, test, learners.boosted_trees(trees=5), kept, [("prio_cat", "nation_cat")], ("reg_03", "reg")
+    )
+    return result.oof
+
+
+@query()
+def level1_forest(spark, sf_dir):
+    """Random forest whose few-valued categories are replaced by their weighted target means."""
+    train, test = train_test(spark, sf_dir)
+    kept = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "n_lines", "price_13"]
+    result = first_level.mean_encoded_model(
+        train, test, learners.random_forest(trees=10), kept, [("prio_cat", "ret_bin")], m=encoders.MEAN_WEIGHT, in_place=True,
+        between=(2, 20), mode="mean",
+    )
+    return result.test
+
+
+@query()
+def level1_onehot(spark, sf_dir):
+    """Logistic model on binned one-hot columns and pairs with enough support in train and test."""
+    train, test = train_test(spark, sf_dir)
+    result = first_level.one_hot_model(
+        train.drop("cust_cat", "reg_03", "root_15"), test.drop("cust_cat", "reg_03", "root_15"), lambda width: learners.sgd_logistic(),
+        without="calc_", binned=BINNED, pairs=[("prio_cat", "nation_cat"), ("prio_cat", "price_13")], skip_binned_pairs=True, min_train=20, pair_min_test=10,
+    )
+    return result.oof
+
+
+@query()
+def level1_ridge(spark, sf_dir):
+    """Ridge model with columns routed by their number of values."""
+    train, test = train_test(spark, sf_dir)
+    kept = [*ONE_HOT, "cust_cat", *BINNED]
+    return first_level.one_hot_model(train, test, lambda width: learners.ridge(300.0, width), kept, binned=BINNED, routed=True).oof
+
+
+@query()
+def level1_scaled(spark, sf_dir):
+    """Logistic model on flags, decoded region, products and bins scaled to [0, 1]."""
+    train, test = train_test(spark, sf_dir)
+    products = {
+        "lines_prio": product(["n_lines", F.col("prio_cat") + 1]),
+        "price_miss_reg": product(["price_13", signed_flag("reg_03")]),
+    }
+    result = first_level.scaled_model(train, test, learners.logistic(), products, ("reg_03", "reg"), BINNED)
+    return result.oof

@@ -10,6 +10,7 @@ from riskloom.operators.metrics import gini
 from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.operators.stacking import fit_blend, stack
 from riskloom.functions.scalars import linear_blend
+from riskloom.plans.materialize import materialize
 from riskloom.sources import predictions as P
 from riskloom.sources.ffm_text import ffm_lines, fit_field_codes, fold_files, write_ffm
 
@@ -74,15 +75,22 @@ def test_roles_and_routing(tables):
         columns.align_columns(train, train.drop("n_lines"))
 
 
-def test_planted_pair_is_ranked_first(tables):
-    train, _ = tables
+@pytest.fixture(scope="module")
+def larger(spark):
+    """The next scale up: the smallest has too few rows for the planted pair to stand out."""
+    from riskloom.sources.order_risk import order_risk, split_origin
+
+    return split_origin(materialize(order_risk(spark, "/root/testdata/sf0.01"), "wide"))
+
+
+def test_planted_pair_is_ranked_first(larger):
     cols = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "n_lines"]
-    best = search.search_pairs(train, None, cols, 3).first()
+    best = search.search_pairs(larger[0], None, cols, 3).first()
     assert (best.f1, best.f2) == ("prio_cat", "nation_cat")
 
 
-def test_forward_selection_keeps_the_planted_pair(tables):
-    train, test = tables
+def test_forward_selection_keeps_the_planted_pair(larger):
+    train, test = larger
     steps = search.search_pairs(train, test, ["prio_cat", "seg_cat", "nation_cat"], 1, exact=True).collect()
     assert len(steps) == 1 and (steps[0].f1, steps[0].f2, steps[0].kept) == ("prio_cat", "nation_cat", 1)
 
