@@ -15,6 +15,8 @@ from riskloom.llm.base import blobs, slices
 
 TERMS = 1024
 CLASSES = 40
+BOUNDS = np.array([0.1, 0.2, 0.3, 0.5, 0.7])  # shares of repeating words
+HASHED = TERMS - len(BOUNDS)
 KIND = np.zeros(256, np.int64)  # lower-case letters and all other scripts are kind 0
 for _b in range(128):
     _c = chr(_b)
@@ -26,7 +28,8 @@ KIND[[*range(9), 11, 12, *range(14, 32), 127]] = 37
 def term_counts(body: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Counts of hashed terms (texts x TERMS): runs of three character kinds, and words that repeat the word before.
 
-    Kinds keep each punctuation mark apart and merge letters, so the terms carry over between languages.
+    Kinds keep each punctuation mark apart and merge letters, so the terms carry over between languages. The share of repeating
+    words is told by the last terms, one for each bound it reaches, which count once for every word.
     """
     n = len(bounds) - 1
     lead = (body & 0xC0) != 0x80
@@ -35,13 +38,14 @@ def term_counts(body: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     out = np.zeros((n, TERMS), np.float32)
     if len(kind) > 2:
         run = (kind[:-2] * CLASSES + kind[1:-1]) * CLASSES + kind[2:]
-        term = (run * 2654435761 >> 16) % (TERMS - 1)
+        term = (run * 2654435761 >> 16) % HASHED
         inside = owner[:-2] == owner[2:]
         out = np.bincount(owner[:-2][inside] * TERMS + term[inside], minlength=n * TERMS).reshape(n, TERMS).astype(np.float32)
     raw = body.tobytes()
     for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
         words = raw[a:b].split()
-        out[k, TERMS - 1] = sum(map(operator.eq, words[1:], words))
+        again = sum(map(operator.eq, words[1:], words))
+        out[k, HASHED:] = np.where(again > BOUNDS * len(words), len(words), 0)
     return out
 
 

@@ -86,30 +86,31 @@ def op7_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WORDS = r"[^\x20\x09-\x0D]+"
-# one row per text, word and window; positions are exact, so the covered words and characters can be counted
+GRAMS = ", ".join(f"MAX(CASE WHEN n = {n} THEN chars ELSE 0 END) AS c{n}" for n in repetition.GRAM_LIMITS)
+WITHIN = " AND ".join(f"100 * COALESCE(c{n}, 0) <= {limit} * word_chars" for n, limit in repetition.GRAM_LIMITS.items())
+# one row per text, word and window, so that the covered words and characters can be counted
 REPEATS_SQL = rf"""
 WITH t AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, COALESCE(text, '') AS text FROM documents),
 a AS (SELECT r, doc_id, text, REGEXP_EXTRACT_ALL(text, '{WORDS}') AS ws,
              LIST_FILTER(STRING_SPLIT(text, CHR(10)), lambda x: REGEXP_MATCHES(x, '{WORDS}')) AS ls FROM t),
 w AS (SELECT r, UNNEST(ws) AS word, GENERATE_SUBSCRIPTS(ws, 1) AS i FROM a),
 g AS (SELECT r, n, i, ARRAY_TO_STRING(ws[i:i + n - 1], ' ') AS gram
-      FROM (SELECT a.r, a.ws, k.n, UNNEST(RANGE(1, LEN(a.ws) - k.n + 2)) AS i FROM a, (VALUES (3), (5), (6), (7), (8), (9), (10)) k(n))),
+      FROM (SELECT a.r, a.ws, k.n, UNNEST(RANGE(1, LEN(a.ws) - k.n + 2)) AS i FROM a, (VALUES (3), {', '.join(f'({n})' for n in repetition.GRAM_LIMITS)}) k(n))),
 c AS (SELECT r, n, i, COUNT(*) OVER (PARTITION BY r, n, gram) AS times, ROW_NUMBER() OVER (PARTITION BY r, n, gram ORDER BY i) AS nth FROM g),
 p AS (SELECT DISTINCT r, n, UNNEST(RANGE(i, i + n)) AS i FROM c WHERE times > 1 AND (n = 3 OR nth > 1)),
 m AS (SELECT r, n, COUNT(*) AS words, SUM(LENGTH(word)) AS chars FROM p JOIN w USING (r, i) GROUP BY r, n),
 v AS (SELECT r, MAX(CASE WHEN n = 3 THEN words ELSE 0 END) AS n_repeat_words,
-             MAX(CASE n WHEN 5 THEN chars / 0.15 WHEN 6 THEN chars / 0.14 WHEN 7 THEN chars / 0.13 WHEN 8 THEN chars / 0.12
-                        WHEN 9 THEN chars / 0.11 WHEN 10 THEN chars / 0.10 ELSE 0 END) AS least FROM m GROUP BY r),
+             {GRAMS} FROM m GROUP BY r),
 l AS (SELECT r, SUM(LENGTH(REGEXP_REPLACE(line, '[\x20\x09-\x0D]+', '', 'g'))) AS line_chars FROM (
         SELECT r, line, ROW_NUMBER() OVER (PARTITION BY r, line) AS nth FROM (SELECT r, UNNEST(ls) AS line FROM a)) WHERE nth > 1 GROUP BY r),
 f AS (SELECT doc_id, LEN(ws) AS n_words, CAST(LENGTH(ARRAY_TO_STRING(ws, '')) AS BIGINT) AS word_chars,
              CAST(LENGTH(REGEXP_REPLACE(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-             LEN(ls) - LEN(LIST_DISTINCT(ls)) AS n_dup_lines, COALESCE(n_repeat_words, 0) AS n_repeat_words,
-             COALESCE(least, 0) AS least, COALESCE(line_chars, 0) AS line_chars
+             LEN(ls) - LEN(LIST_DISTINCT(ls)) AS n_dup_lines, COALESCE(v.n_repeat_words, 0) AS n_repeat_words,
+             COALESCE(line_chars, 0) AS line_chars, v.* EXCLUDE (r, n_repeat_words)
       FROM a LEFT JOIN v USING (r) LEFT JOIN l USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND least <= word_chars AND line_chars <= 0.2 * word_chars AS kept FROM b"""
+       NOT base_failed AND {WITHIN} AND 100 * line_chars <= {repetition.LINE_LIMIT} * word_chars AS kept FROM b"""
 
 
 @query(REPEATS_SQL)
