@@ -122,7 +122,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, group: int = 16384, fan_in: in
     while n > 1:
         level += 1
         n = -(-n // fan_in)
-        merged = materialize(open_.groupBy((F.col("part") / fan_in).cast("long").alias("part")).applyInArrow(_merge(capacity, fan_in, slack), "part long, bin long, to long, shift long, used long, open boolean"), "merged")
+        near = open_.withColumn("part", F.floor(F.col("part") / fan_in)).groupBy("part")
+        merged = materialize(near.applyInArrow(_merge(capacity, fan_in, slack), "part long, bin long, to long, shift long, used long, open boolean"), "merged")
         step = merged.select("bin", "to", "shift")
         if moves is None:
             moves = step
@@ -143,7 +144,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, group: int = 16384, fan_in: in
 def _merge(capacity: int, fan_in: int, slack: int):
     """Best fit over the open bins of one merged partition; `open` marks the bins that go on to the next round."""
 
-    def run(key, group: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         group = group.sort_by([("used", "descending"), ("bin", "ascending")])
         size, name = group.column("used").to_numpy(), group.column("bin").to_numpy()
         bins, at = best_fit(size, capacity)
