@@ -1,19 +1,18 @@
-"""Hashed logistic learner with FTRL-proximal updates, trained by iterative parameter mixing.
-
-Updates are sequential by nature. Rows are therefore dealt into shards of bounded size by a hash of their id; each
-epoch every shard runs its own pass starting from the shared state, and per bucket the states of the shards that saw
-it are averaged (McDonald et al., 2010). One shard gives the plain sequential algorithm. The state is a table of
-(bucket, z, n) and is joined to the shards, so it never has to fit on the driver or in one task.
+"""Hashed logistic learner with FTRL-proximal updates in synchronous batches.
+
+Every epoch deals the rows into `batches` parts by a hash of their id. For each part, the weights of all buckets are joined to
+the rows' cells and summed per row, the errors are summed per bucket, and each bucket takes one FTRL step with that sum as its
+gradient. The number of steps is an argument and does not depend on the number of rows: a larger table has larger parts. The
+step size of a bucket is at most about alpha a part however many rows stand behind it, since its gradient is divided by the
+root of the sum of its squares. The state is a table of (bucket, z, n per fit), never a driver or task object, and several
+fits (one per held-out fold) share all passes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,12 +20,11 @@ from riskloom.functions.scalars import HASH_DIM, hash_row, sigmoid_clip
 from riskloom.operators.lookup import lookup_join
 from riskloom.plans.materialize import materialize
 
-STATE = "bucket int, z double, n double"
-
 
 def start_z(bucket: Column, seed: int) -> Column:
     """Starting z in [0, 1), uniform and a function of the bucket alone, so buckets never seen also have one."""
-    return F.pmod(F.xxhash64(bucket.cast("long"), F.lit(seed)), F.lit(2**32)) / float(2**32)
+    text = F.concat(F.lit(f"{seed}:"), bucket.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / float(2**32)
 
 
 def weight_of(z: Column, n: Column, p: FTRL) -> Column:
@@ -34,35 +32,22 @@ def weight_of(z: Column, n: Column, p: FTRL) -> Column:
     return F.when(F.abs(z) <= p.l1, 0.0).otherwise(w)
 
 
-def run_pass(x: np.ndarray, y: np.ndarray, z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: float, l2: float) -> None:
-    """One pass over the rows of x (positions in z and n), updating z and n in place."""
-    shared = (np.diff(np.sort(x, axis=1), axis=1) == 0).any(axis=1)
-    for row, label, twice in zip(x, y, shared):
-        zi, ni = z[row], n[row]
-        w = np.where(np.abs(zi) <= l1, 0.0, (np.sign(zi) * l1 - zi) / ((beta + np.sqrt(ni)) / alpha + l2))
-        g = 1.0 / (1.0 + np.exp(-min(max(w.sum(), -35.0), 35.0))) - label
-        if twice:  # two cells share a bucket: update it once per cell
-            for i, wi in zip(row, w):
-                z[i] += g - (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha * wi
-                n[i] += g * g
-        else:
-            z[row] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha * w
-            n[row] = ni + g * g
-
-
 @dataclass
 class FTRL:
+    """Settings and, after `fit`, the state. fits: the folds left out, one fit each; None is a fit on all rows."""
+
     cols: Sequence[str]
-    alpha: float = 0.01
+    alpha: float = 0.1
     beta: float = 1.0
     l1: float = 1e-5
     l2: float = 1.0
     dim: int = HASH_DIM
     interactions: bool = False
     epochs: int = 3
-    shard_rows: int = 20_000
+    batches: int = 8
     seed: int = 4689571
     fast_hash: bool = False
+    fits: Sequence[int | None] = (None,)
     state: DataFrame | None = None
     buckets: int = 0
     cells: int = 0
@@ -70,70 +55,65 @@ class FTRL:
     def _hashed(self) -> Column:
         return hash_row(self.cols, self.dim, self.interactions, self.fast_hash)
 
-    def fit(self, df: DataFrame, label: str = "target", id: str = "id") -> FTRL:
-        shards = max(1, -(-df.count() // self.shard_rows))
-        shard = F.pmod(F.xxhash64(F.col(id), F.lit(self.seed)), F.lit(shards)).cast("int")
-        rows = df.select(F.col(id).alias("id"), F.col(label).cast("double").alias("y"), self._hashed().alias("x"), shard.alias("shard"))
+    def fit(self, df: DataFrame, label: str = "target", id: str = "id", fold: str | None = None) -> FTRL:
+        held = F.col(fold) if fold else F.lit(None).cast("int")
+        rows = df.select(F.col(id).alias("id"), F.col(label).cast("double").alias("y"), held.alias("fold"), self._hashed().alias("x"))
         rows = materialize(rows, "hashed")
-        # (shard, bucket) pairs in use, with their cell counts
-        active = materialize(
-            rows.select("shard", F.explode("x").alias("bucket")).groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("cells")),
-            "active",
-        )
-        weight = active.groupBy("bucket").agg(F.sum("cells").alias("weight_"))
-        state = materialize(
-            weight.select("bucket", start_z(F.col("bucket"), self.seed).alias("z"), F.lit(0.0).alias("n"), "weight_"), "state"
-        )
-        size = state.agg(F.count(F.lit(1)).alias("n"), F.sum("weight_").alias("w"), F.max("weight_")).first()
-        self.buckets, self.cells = size["n"], size["w"]
+        counted = rows.select(F.explode("x").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("weight_"))
+        start = []
+        for k in range(len(self.fits)):
+            start += [start_z(F.col("bucket"), self.seed).alias(f"z{k}"), F.lit(0.0).alias(f"n{k}")]
+        state = materialize(counted.select("bucket", "weight_", *start), "state")
+        size = state.agg(F.count(F.lit(1)).alias("n"), F.sum("weight_").alias("w")).first()
+        self.buckets, self.cells = size["n"], size["w"] or 0
         for epoch in range(self.epochs):
-            state = self._epoch(rows, active, state, epoch)
+            turn = F.pmod(F.xxhash64(F.col("id"), F.lit(self.seed), F.lit(epoch)), F.lit(self.batches))
+            for part in range(self.batches):
+                state = self._step(rows.where(turn == part), state)
         self.state = state
         return self
 
-    def _epoch(self, rows: DataFrame, active: DataFrame, state: DataFrame, epoch: int) -> DataFrame:
-        side = state.select(F.col("bucket").alias("key_"), "weight_", "z", "n")
-        outputs = {"z": ("z", F.lit(0.0)), "n": ("n", F.lit(0.0))}
-        started = lookup_join(active, side, "bucket", outputs, self.buckets, self.cells, spread="shard")
-        ordered = rows.withColumn("turn", F.xxhash64("id", F.lit(self.seed), F.lit(epoch)))
-        alpha, beta, l1, l2 = self.alpha, self.beta, self.l1, self.l2
-
-        def shard_pass(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            left = left.sort_values(["turn", "id"])
-            right = right.sort_values("bucket")
-            known = right["bucket"].to_numpy()
-            z, n = right["z"].to_numpy(copy=True), right["n"].to_numpy(copy=True)
-            x = np.searchsorted(known, np.stack(left["x"].to_numpy()))
-            run_pass(x, left["y"].to_numpy(), z, n, alpha, beta, l1, l2)
-            return pd.DataFrame({"bucket": known, "z": z, "n": n})
-
-        passed = ordered.groupBy("shard").cogroup(started.groupBy("shard")).applyInPandas(shard_pass, STATE)
-        mixed = passed.groupBy("bucket").agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
-        return materialize(mixed.join(state.select("bucket", "weight_"), "bucket"), "state")
+    def _margins(self, rows: DataFrame, state: DataFrame) -> DataFrame:
+        """(id, m0, m1, ...): sums of the weights of each row's cells. All cells of a row start in the same task, so the sums
+        are complete before the shuffle."""
+        ks = range(len(self.fits))
+        side = state.select(F.col("bucket").alias("key_"), "weight_", *[weight_of(F.col(f"z{k}"), F.col(f"n{k}"), self).alias(f"w{k}") for k in ks])
+        unseen = weight_of(start_z(F.col("bucket"), self.seed), F.lit(0.0), self)
+        cells = rows.select("id", F.explode("x").alias("bucket"))
+        weighted = lookup_join(cells, side, "bucket", {f"w{k}": (f"w{k}", unseen) for k in ks}, self.buckets, self.cells)
+        return weighted.groupBy("id").agg(*[F.sum(f"w{k}").alias(f"m{k}") for k in ks])
+
+    def _step(self, rows: DataFrame, state: DataFrame) -> DataFrame:
+        errors = []
+        for k, j in enumerate(self.fits):
+            error = sigmoid_clip(f"m{k}") - F.col("y")
+            errors.append((error if j is None else F.when(F.col("fold") == j, 0.0).otherwise(error)).alias(f"g{k}"))
+        graded = rows.join(self._margins(rows, state), "id").select("x", *errors)
+        ks = range(len(self.fits))
+        sums = graded.select(F.explode("x").alias("bucket"), *[f"g{k}" for k in ks]).groupBy("bucket").agg(*[F.sum(f"g{k}").alias(f"g{k}") for k in ks])
+        new = []
+        for k in ks:
+            z, n, g = F.col(f"z{k}"), F.col(f"n{k}"), F.coalesce(F.col(f"g{k}"), F.lit(0.0))
+            pull = (F.sqrt(n + g * g) - F.sqrt(n)) / self.alpha * weight_of(z, n, self)
+            new += [(z + g - pull).alias(f"z{k}"), (n + g * g).alias(f"n{k}")]
+        return materialize(state.join(sums, "bucket", "left").select("bucket", "weight_", *new), "state")
+
+    def predictions(self, df: DataFrame, id: str = "id") -> DataFrame:
+        """(id, p0, p1, ...): one prediction per fit."""
+        rows = df.select(F.col(id).alias("id"), self._hashed().alias("x"))
+        found = self._margins(rows, self.state)
+        return found.select(F.col("id").alias(id), *[sigmoid_clip(f"m{k}").alias(f"p{k}") for k in range(len(self.fits))])
 
     def transform(self, df: DataFrame, id: str = "id") -> DataFrame:
-        """Add `prediction`. Cells are joined to their weights and summed per row; all cells of a row start in the
-        same task, so the sum is complete before the shuffle."""
-        side = self.state.select(F.col("bucket").alias("key_"), "weight_", weight_of(F.col("z"), F.col("n"), self).alias("w"))
-        cells = df.select(F.col(id), F.explode(self._hashed()).alias("bucket"))
-        unseen = weight_of(start_z(F.col("bucket"), self.seed), F.lit(0.0), self)
-        weighted = lookup_join(cells, side, "bucket", {"w": ("w", unseen)}, self.buckets, self.cells, spread=id)
-        margin = weighted.groupBy(id).agg(F.sum("w").alias("_margin"))
-        return df.join(margin, id).withColumn("prediction", sigmoid_clip("_margin")).drop("_margin")
-
-
-def ftrl_oof(train: DataFrame, settings: FTRL, label: str = "target", fold: str = "fold", id: str = "id", parallel: int = 8) -> DataFrame:
-    """Out-of-fold predictions (id, fold, target, prediction) of the hashed learner."""
-    rows = materialize(train.select(id, label, fold, *settings.cols), "ftrl", [fold])
-    folds = sorted(r[0] for r in rows.select(fold).distinct().collect())
-
-    def one(j: int) -> DataFrame:
-        model = replace(settings).fit(rows.where(F.col(fold) != j), label, id)
-        return model.transform(rows.where(F.col(fold) == j), id).select(id, fold, F.col(label).alias("target"), "prediction")
-
-    with ThreadPool(min(parallel, len(folds))) as pool:
-        parts = pool.map(one, folds, chunksize=1)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        """Add `prediction`, the mean over the fits."""
+        mean = sum((F.col(f"p{k}") for k in range(1, len(self.fits))), F.col("p0")) / len(self.fits)
+        return df.join(self.predictions(df, id).select(id, mean.alias("prediction")), id)
+
+
+def ftrl_oof(train: DataFrame, settings: FTRL, label: str = "target", fold: str = "fold", id: str = "id") -> DataFrame:
+    """Out-of-fold predictions (id, fold, target, prediction): all folds are fitted in the same passes."""
+    rows = materialize(train.select(id, label, fold, *settings.cols), "ftrl")
+    settings.fits = sorted(r[0] for r in rows.select(fold).distinct().collect())
+    scores = settings.fit(rows, label, id, fold).predictions(rows, id)
+    own = F.coalesce(*[F.when(F.col(fold) == j, F.col(f"p{k}")) for k, j in enumerate(settings.fits)])
+    return rows.join(scores, id).select(id, fold, F.col(label).alias("target"), own.alias("prediction"))
