@@ -15,36 +15,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import linear_blend
-from riskloom.operators.metrics import gini_by_fold
-from riskloom.operators.scaling import ranges
+from riskloom.operators.metrics import gini, gini_by_fold
 from riskloom.plans.materialize import materialize
 
-# resolution of the score histogram during the search
+# bins of the search's histograms, and rows of the sample that places their edges
 SCORE_BINS = 4096
+EDGE_ROWS = 20_000
 FULL = -1
 
 
-def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, trials: list[tuple]) -> dict[int, float]:
-    """Gini of every trial (key, fit, weights, lo, width) from one pass over the rows.
+def require_complete(df: DataFrame, models: Sequence[str]) -> None:
+    """Blending has no rule for missing scores: a null or NaN prediction is an error, in fits and in applications alike."""
+    holes = [F.count_if(F.col(f"`{m}`").isNull() | F.isnan(F.col(f"`{m}`").cast("double"))).alias(f"n{i}") for i, m in enumerate(models)]
+    row = df.agg(*holes).first()
+    bad = {m: row[f"n{i}"] for i, m in enumerate(models) if row[f"n{i}"]}
+    if bad:
+        raise ValueError(f"predictions are missing (model: rows): {bad}; fill or drop them first")
+
+
+def _edge_sample(rows: DataFrame, models: Sequence[str]) -> np.ndarray:
+    """Scores of at most EDGE_ROWS rows, chosen by their hash. They only place bin edges; every row is counted."""
+    hashed = F.xxhash64(*[F.col(f"`{m}`") for m in models])
+    picked = rows.select(*[F.col(f"`{m}`").cast("double") for m in models]).orderBy(hashed).limit(EDGE_ROWS)
+    return picked.toPandas().to_numpy(float)
+
+
+def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, trials: list[tuple], sample: np.ndarray) -> dict[int, float]:
+    """Gini of every trial (key, fit, weights) from one pass over the rows, up to ties within a bin.
 
     Each row is scored by all trials whose fit does not hold the row's fold out. A task scores a batch of rows against
-    all trials by one matrix product and counts the scores in SCORE_BINS bins per trial, so the shuffle carries at
-    most trials x bins rows per task, whatever the number of rows.
+    all trials by one matrix product and counts the scores in at most SCORE_BINS bins per trial, so the shuffle carries at
+    most trials x bins rows per task, whatever the number of rows. Bins hold about equally many rows of the sample, so an
+    outlier or another scale takes no resolution from the rest.
     """
     w = np.array([t[2] for t in trials], dtype=float).T
     fits = np.array([t[1] for t in trials])
-    lo, width = np.array([t[3] for t in trials]), np.array([t[4] for t in trials])
+    share = np.linspace(0, 1, SCORE_BINS + 1)[1:-1]
+    edges = [np.unique(np.quantile(scores, share)) for scores in (sample @ w).T]
     names, size = list(models), len(trials)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, pos = np.zeros((size, SCORE_BINS), np.int64), np.zeros((size, SCORE_BINS), np.int64)
         for batch in batches:
-            spots = ((batch[names].to_numpy(float) @ w - lo) / width * SCORE_BINS).astype(np.int64).clip(0, SCORE_BINS - 1)
+            scores = batch[names].to_numpy(float) @ w
             y, f = batch["_y"].to_numpy() == 1, batch["_f"].to_numpy()
             for t in range(size):
                 use = f != fits[t]
-                n[t] += np.bincount(spots[use, t], minlength=SCORE_BINS)
-                pos[t] += np.bincount(spots[use & y, t], minlength=SCORE_BINS)
+                spots = np.searchsorted(edges[t], scores[use, t], side="right")
+                n[t] += np.bincount(spots, minlength=SCORE_BINS)
+                pos[t] += np.bincount(spots[y[use]], minlength=SCORE_BINS)
         trial, spot = np.nonzero(n)
         yield pd.DataFrame({"trial": trial, "spot": spot, "pos": pos[trial, spot], "n": n[trial, spot]})
 
@@ -59,30 +78,36 @@ def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: s
     return {trials[r["trial"]][0]: r["w"] / (float(r["p"]) * float(r["q"])) - 1.0 for r in sums}
 
 
+def exact_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, blends: dict[int, Sequence[float]]) -> dict[int, float]:
+    """Exact Gini of one blend per fit over the rows outside its fold, all fits in one job."""
+    cells = [F.struct(F.lit(j).alias("_fit"), linear_blend(dict(zip(models, w))).alias("_z")) for j, w in blends.items()]
+    long = rows.select(label, fold, F.inline(F.array(*cells))).where(F.col(fold) != F.col("_fit"))
+    return {r["_fit"]: r["gini"] for r in gini(long, label, "_z", ["_fit"]).collect()}
+
+
 def _normed(w: Sequence[float]) -> list[float]:
     size = sum(abs(x) for x in w)
     return [x / size for x in w] if size else list(w)
 
 
-def _reach(w: Sequence[float], models: Sequence[str], span: dict) -> tuple[float, float]:
-    lo = sum(min(x * span[m][0], x * span[m][1]) for x, m in zip(w, models))
-    hi = sum(max(x * span[m][0], x * span[m][1]) for x, m in zip(w, models))
-    return lo, (hi - lo) or 1.0
-
-
 def fit_blend(
     rows: DataFrame, models: Sequence[str], label: str = "target", fold: str = "fold", fits: Sequence[int] = (FULL,),
     max_iter: int = 200, step: float = 0.25, min_step: float = 0.01, negative: bool = True,
 ) -> dict[int, list[float]]:
     """Blend weights maximising Gini by coordinate ascent from equal weights, for all `fits` at once.
 
-    Fit j uses the rows outside fold j (FULL: all rows). Every iteration scores the current weights and one step up and
-    down per model for every unfinished fit in a single job; a fit without an improving step halves its step. Weights
-    are scaled so that their absolute values add up to 1.
+    Fit j uses the rows outside fold j (FULL: all rows). Every iteration rates the current weights and one step up and
+    down per model for every unfinished fit in a single job. Where no step improves, the weights found with this step size are
+    rated exactly, beside those of the last such rating, the better ones are kept, and the step is halved. At the end a single
+    model is taken where its exact rating beats the blend. Weights are scaled so
+    that their absolute values add up to 1. Null and NaN predictions are an error.
     """
     rows = materialize(rows.select(label, fold, *models), "blend")
-    span = ranges(models, rows)
+    require_complete(rows, models)
+    sample = _edge_sample(rows, models)
     weights = {j: _normed([1.0] * len(models)) for j in fits}
+    proven = dict(weights)
+    exact = exact_ginis(rows, models, label, fold, weights)
     steps = {j: step for j in fits}
     best: dict[int, float] = {}
     for _ in range(max_iter):
@@ -100,8 +125,9 @@ def fit_blend(
                         options.append(_normed(w))
             for w in options:
                 owner[len(trials)] = (j, w)
-                trials.append((len(trials), j, w, *_reach(w, models, span)))
-        found = _candidate_ginis(rows, models, label, fold, trials)
+                trials.append((len(trials), j, w))
+        found = _candidate_ginis(rows, models, label, fold, trials, sample)
+        stuck = []
         for j in open_fits:
             mine = [(g, owner[t][1]) for t, g in found.items() if owner[t][0] == j]
             score, w = max(mine, key=lambda x: (x[0], x[1]))
@@ -109,7 +135,25 @@ def fit_blend(
                 best[j], weights[j] = score, w
             else:
                 steps[j] /= 2.0
-    return weights
+                stuck.append(j)
+        moved = {j: weights[j] for j in stuck if weights[j] != proven[j]}
+        _prove(rows, models, label, fold, moved, proven, exact)
+        for j in stuck:
+            if weights[j] != proven[j]:
+                weights[j] = proven[j]
+                best.pop(j)
+    _prove(rows, models, label, fold, {j: weights[j] for j in fits if weights[j] != proven[j]}, proven, exact)
+    for i in range(len(models)):
+        _prove(rows, models, label, fold, {j: [float(k == i) for k in range(len(models))] for j in fits}, proven, exact)
+    return proven
+
+
+def _prove(rows: DataFrame, models: Sequence[str], label: str, fold: str, offered: dict[int, list[float]], proven: dict, exact: dict) -> None:
+    """Take the offered weights where their exact Gini is higher."""
+    if offered:
+        for j, value in exact_ginis(rows, models, label, fold, offered).items():
+            if value > exact[j]:
+                proven[j], exact[j] = list(offered[j]), value
 
 
 @dataclass
@@ -147,6 +191,8 @@ def stack(
     rows = materialize(oof.select(id, label, fold, *models), "stack")
     sizes = {r[fold]: r["n"] for r in rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
     folds = sorted(sizes)
+    if test is not None:
+        require_complete(test, models)
     weights = fit_blend(rows, models, label, fold, folds, max_iter, negative=negative)
     blends = {j: linear_blend(dict(zip(models, weights[j]))) for j in folds}
 
