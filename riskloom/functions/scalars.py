@@ -18,13 +18,19 @@ def _col(c: Column | str) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
 
 
+def is_sentinel(c: Column | str, sentinel: int = MISSING) -> Column:
+    """Whether a number, or a text that reads as one, is the sentinel; other texts are not, null stays null."""
+    found = _col(c).try_cast("double") == float(sentinel)
+    return F.when(_col(c).isNotNull(), F.coalesce(found, F.lit(False)))
+
+
 def missing_flag(c: Column | str, sentinel: int = MISSING) -> Column:
-    return (_col(c) == sentinel).cast("int")
+    return is_sentinel(c, sentinel).cast("int")
 
 
 def signed_flag(c: Column | str, sentinel: int = MISSING) -> Column:
     """+1 where the value is missing, -1 elsewhere."""
-    return F.when(_col(c) == sentinel, 1).otherwise(-1)
+    return F.when(is_sentinel(c, sentinel), 1).otherwise(-1)
 
 
 def combine_key(a: Column | str, b: Column | str, sep: str = "_") -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.scalars import MISSING, missing_flag
+from riskloom.functions.scalars import MISSING, is_sentinel, missing_flag
 
 # fixed values: cardinality limits of the one-hot routing
 LOW_CARDINALITY = 2
@@ -56,7 +56,8 @@ def noise_columns(raw: Sequence[str], features: Sequence[str], keep: Sequence[st
 
 
 def replace_sentinel(df: DataFrame, to: int, cols: Sequence[str], sentinel: int = MISSING) -> DataFrame:
-    swap = {c: F.when(F.col(f"`{c}`") == sentinel, F.lit(to)).otherwise(F.col(f"`{c}`")) for c in cols}
+    """Replace the sentinel, in text columns as text."""
+    swap = {c: F.when(is_sentinel(c, sentinel), F.lit(to).cast(df.schema[c].dataType)).otherwise(F.col(f"`{c}`")) for c in cols}
     return df.withColumns(swap)
 
 

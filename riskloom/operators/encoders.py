@@ -120,6 +120,10 @@ class OneHot:
 
     def transform(self, df: DataFrame, output: str = "features", extra: Sequence[str] = ()) -> DataFrame:
         """Add the vector; `extra` numeric or vector columns are appended after the one-hot blocks."""
+        return self.blocks(df, {output: self.cols}, extra)
+
+    def blocks(self, df: DataFrame, groups: dict[str, Sequence[str]], extra: Sequence[str] = ()) -> DataFrame:
+        """Add one vector per group of columns (name -> columns), all in one pass; `extra` is appended to each of them."""
         keep = [F.col(f"`{c}`") for c in df.columns]
         df, spots = self._spots(df)
         # nominal metadata tells the encoder its width (one more for unknown values, dropped), so it needs no pass
@@ -128,12 +132,13 @@ class OneHot:
             for c, spot in spots.items()
         }
         df = df.select(*[sized.get(c, F.col(f"`{c}`")) for c in df.columns])
-        blocks = [f"{s}_v" for s in spots.values()]
-        if blocks:
-            encoder = OneHotEncoder(inputCols=list(spots.values()), outputCols=blocks, dropLast=True)
+        if spots:
+            encoder = OneHotEncoder(inputCols=list(spots.values()), outputCols=[f"{s}_v" for s in spots.values()], dropLast=True)
             df = encoder.fit(df).transform(df)
-        df = VectorAssembler(inputCols=[*blocks, *extra], outputCol=output).transform(df)
-        return df.select(*keep, output)
+        for output, cols in groups.items():
+            own = [f"{spots[c]}_v" for c in cols if c in spots]
+            df = VectorAssembler(inputCols=[*own, *extra], outputCol=output).transform(df)
+        return df.select(*keep, *groups)
 
 
 @dataclass
@@ -216,7 +221,7 @@ class TargetMean:
     def prior(self, *folds: int) -> float:
         v = self.vocabulary
         pos, n = v.pos - sum(v.fold_pos[j] for j in folds), v.n_train - sum(v.fold_n[j] for j in folds)
-        return pos / n
+        return pos / n if n else v.pos / max(v.n_train, 1)  # nothing is left if all rows lie in these folds
 
     def transform(self, df: DataFrame, at: str | int = "full", fold: str = "fold") -> DataFrame:
         """at="full": fitted on all train rows; "own": outside the row's own fold; j: outside fold j;
@@ -241,24 +246,23 @@ class TargetMean:
 
 @dataclass
 class Dummies:
-    """0/1 columns `<c>_<value>` for the values train and test share, for columns with more than two train values."""
+    """0/1 columns `<c>_<value>` for the values train and test share, for columns with more than two train values.
+
+    One column per value is what this form is; a table of thousands of values is better served by OneHot's sparse vector.
+    """
 
     cols: Sequence[str]
-    limit: int = 110
     values: dict[str, list] = field(default_factory=dict)
 
     def fit(self, train: DataFrame, test: DataFrame, id: str = "id", vocabulary: Vocabulary | None = None) -> Dummies:
         v = vocabulary or fit_vocabulary(train, test, self.cols, id=id)
         counts = v.table.where("n_train > 0").groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()
         wide = [r["feature"] for r in counts if 2 < r["n"]]
-        too_wide = [r["feature"] for r in counts if r["n"] > self.limit]
-        if too_wide:
-            raise ValueError(f"more than {self.limit} values in {too_wide}: use OneHot, which needs no column per value")
-        rows = shared_values(v).join(v.table.select("feature", "num", "value"), ["feature", "value"])
-        found = rows.where(F.col("feature").isin(wide)).orderBy("feature", "num", "value").collect()
+        rows = shared_values(v).join(v.table.select("feature", "num", "real", "value"), ["feature", "value"])
+        found = rows.where(F.col("feature").isin(wide)).orderBy("feature", "num", "real", "value").collect()
         self.values = {}
         for r in found:
-            self.values.setdefault(r["feature"], []).append(r["num"] if v.integral[r["feature"]] else r["value"])
+            self.values.setdefault(r["feature"], []).append(r[v.kinds[r["feature"]]])
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -37,24 +37,20 @@ def assign_folds(
     key = shuffle_key(id, seed)
     if not exact:
         return df.withColumn(name, F.pmod(F.conv(F.substring(key, 1, 8), 16, 10).cast("long"), F.lit(k)).cast("int"))
-    by = [stratify] if stratify else []
-    slices = df.select(*by, _slice_of(key, digits).alias("_slice")).groupBy(*by, "_slice").agg(
+    # a text that is never null, so that window and join agree on one partitioning
+    kind = F.concat(F.lit("="), F.coalesce(F.col(stratify).cast("string"), F.lit("")), F.col(stratify).isNull().cast("string")) if stratify else F.lit("=")
+    slices = df.select(kind.alias("_class"), _slice_of(key, digits).alias("_slice")).groupBy("_class", "_slice").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    group = [F.col(b) for b in by] or [F.lit(0)]
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    offsets = slices.select(*[F.col(b).alias("_class") for b in by], F.col("_slice").alias("_place"), before)
-    match = F.col("_slice") == F.col("_place")
-    if stratify:
-        match = match & F.col(stratify).eqNullSafe(F.col("_class"))
-    inside = Window.partitionBy(*by, "_slice").orderBy("_key", id)
+    earlier = Window.partitionBy("_class").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select("_class", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_class", "_slice").orderBy("_key", id)
     ranked = (
-        df.withColumn("_key", key)
+        df.withColumns({"_class": kind, "_key": key})
         .withColumn("_slice", _slice_of(F.col("_key"), digits))
         .withColumn("_at", F.row_number().over(inside) - 1)
     )
-    return ranked.join(offsets, match).select(
+    return ranked.join(offsets, ["_class", "_slice"]).select(
         *df.columns, F.pmod(F.col("_before") + F.col("_at"), F.lit(k)).cast("int").alias(name)
     )
 

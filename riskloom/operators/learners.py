@@ -25,11 +25,6 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalars import class_weight, sigmoid
 
 LABEL, FEATURES, WEIGHT = "_label", "features", "_weight"
-# the exact solver of the linear model is limited to this many features
-NORMAL_EQUATION_WIDTH = 4096
-# Iterative fits run one job per step: tasks smaller than this cost more to start than to run.
-# coalesce() only ever merges input splits, so larger tables keep the parallelism of their files.
-MIN_ROWS_PER_TASK = 25_000
 
 
 @dataclass(frozen=True)
@@ -59,7 +54,6 @@ class Learner:
         rows = rows.withColumn(LABEL, self.label(label))
         if self.weight is not None:
             rows = rows.withColumn(WEIGHT, self.weight(facts, label))
-        rows = rows.coalesce(max(1, -(-facts.rows // MIN_ROWS_PER_TASK)))
         return [self.build(facts, seed).fit(rows) for seed in self.seeds]
 
     def score(self, model: Model, df: DataFrame, name: str) -> DataFrame:
@@ -115,13 +109,13 @@ def sgd_logistic(alpha: float = 0.002, positive_weight: float = 1.0, max_iter: i
     )
 
 
-def ridge(alpha: float = 3000.0, width: int = 0) -> Learner:
-    """Balanced ridge regression on labels -1/+1; the score is a sigmoid of the decision value."""
+def ridge(alpha: float = 3000.0, solver: str = "auto") -> Learner:
+    """Balanced ridge regression on labels -1/+1; the score is a sigmoid of the decision value. Spark chooses the solver."""
     return Learner(
         "ridge",
         lambda facts, seed: LinearRegression(
             labelCol=LABEL, featuresCol=FEATURES, weightCol=WEIGHT, regParam=alpha / facts.rows, elasticNetParam=0.0,
-            standardization=False, solver="normal" if width <= NORMAL_EQUATION_WIDTH else "l-bfgs",
+            standardization=False, solver=solver,
         ),
         _balanced,
         label=lambda y: (2 * F.col(y) - 1).cast("double"),

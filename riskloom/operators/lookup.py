@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 # A value is hot when it covers more than this share of all rows; hence there are at most 1 / share hot values.
 HOT_SHARE = 0.001
-SALTS = 1024
 
 
 def lookup_join(
@@ -45,7 +44,7 @@ def lookup_join(
     is_hot = f"weight_ >= {max(1.0, HOT_SHARE * total)!r}D"
     served = left.join(F.broadcast(side(table.where(is_hot), "_h")), "_key", "left")
     spared = F.col("_h").isNotNull() | F.col("_key").isNull()
-    salt = F.when(spared, F.pmod(F.xxhash64(F.col(spread)), F.lit(SALTS)) + 1).otherwise(0)
+    salt = F.when(spared, F.xxhash64(F.col(spread)).bitwiseOR(F.lit(1))).otherwise(0)  # odd, so never the 0 of the table
     served = served.withColumns({"_salt": salt, "_key": F.when(~spared, F.col("_key"))})
     cold = side(table.where(f"NOT ({is_hot})"), "_c", "0L AS _salt")
     joined = served.join(cold, ["_key", "_salt"], "left")

@@ -37,9 +37,9 @@ class OofResult:
         rows = []
         for j, models in self.models.items():
             m = models[0]
-            values = m.featureImportances if hasattr(m, "featureImportances") else m.coefficients
-            rows += [(j, i, float(v)) for i, v in enumerate(values.toArray())]
-        return self.oof.sparkSession.createDataFrame(rows, "fold int, position int, importance double")
+            rows.append((j, (m.featureImportances if hasattr(m, "featureImportances") else m.coefficients).toArray().tolist()))
+        vectors = self.oof.sparkSession.createDataFrame(rows, "fold int, v array<double>")
+        return vectors.select("fold", F.posexplode("v").alias("position", "importance"))
 
 
 def fold_facts(train: DataFrame, label: str, fold: str) -> dict[int, Facts]:
@@ -56,13 +56,13 @@ def oof_predict(
     label: str = "target",
     fold: str = "fold",
     id: str = "id",
-    parallel: int = 8,
+    parallel: int = 2,
     store: bool = True,
 ) -> OofResult:
     """Train one learner over the folds of `train`.
 
     The prepared rows are written once, partitioned by fold, so every fit reads only the folds it needs. The fits are
-    ordinary distributed jobs submitted from a few driver threads. mode="refit" predicts test rows with a model of all
+    ordinary distributed jobs; `parallel` of them run at once, each of which may cache its rows. mode="refit" predicts test rows with a model of all
     train rows, "mean" with the average of the fold models. `prepare` adds features that depend on the fold.
     """
     require_columns(train, id, label, fold)
@@ -104,6 +104,34 @@ def oof_predict(
     return OofResult(learner, oof, predicted, fitted, refit)
 
 
+def attach_predictions(rows: DataFrame, predictions: DataFrame, id: str = "id") -> DataFrame:
+    """Predictions of all folds attached to the rows by id; rows without one get null."""
+    return rows.join(predictions.select(id, "prediction"), id, "left")
+
+
+def largest_gradient(rows: DataFrame, learner: Learner, model: Model, penalty: Callable[[Facts], float], label: str = "target") -> float:
+    """Largest absolute component of the gradient of a linear learner's objective at a fitted model, per unit of weight.
+
+    The objective is the weighted mean loss (squared or logistic, by the learner) plus half of `penalty` times the squared
+    coefficients. At an optimum it is zero up to the solver's tolerance.
+    """
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    one = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("p")).first()
+    facts = Facts(one["n"], one["p"])
+    weight = learner.weight(facts, label) if learner.weight is not None else F.lit(1.0)
+    score = F.col("prediction") if learner.margin else vector_to_array("probability")[1]
+    off = model.transform(rows.withColumns({"_y": learner.label(label), "_w": weight})).withColumn("_off", score - F.col("_y"))
+    # sums take weights of one sign, so errors above and below are added up apart
+    above, below = F.greatest("_off", F.lit(0.0)) * F.col("_w"), F.greatest(-F.col("_off"), F.lit(0.0)) * F.col("_w")
+    sums = off.select("features", above.alias("_a"), below.alias("_b"), "_w").agg(
+        Summarizer.sum(F.col("features"), F.col("_a")).alias("a"), Summarizer.sum(F.col("features"), F.col("_b")).alias("b"), F.sum("_w").alias("w")
+    ).first()
+    gradient = (sums["a"].toArray() - sums["b"].toArray()) / sums["w"] + penalty(facts) * model.coefficients.toArray()
+    return float(abs(gradient).max())
+
+
 def mean_over_folds(learner: Learner, models: dict[int, list[Model]], test: DataFrame, prepare: Prepare | None) -> DataFrame:
     """Average of the fold models' scores on unlabelled rows."""
     if prepare is None:

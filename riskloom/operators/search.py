@@ -18,6 +18,7 @@ from riskloom.operators.lookup import lookup_join
 from riskloom.operators.metrics import gini, gini_of_cells
 from riskloom.operators.oof import oof_predict
 from riskloom.plans.materialize import materialize
+from riskloom.plans.vocabulary import real_text, value_kind
 
 # fixed values: least gain of a screened and of a greedily added pair
 SCREEN_GAIN = 1e-5
@@ -32,13 +33,20 @@ def pair_candidates(cols: Sequence[str]) -> list[tuple[str, str]]:
 def pair_cells(df: DataFrame, cols: Sequence[str], label: str, fold: str, k: int) -> DataFrame:
     """Rows and positives per fold of every value pair of every column pair, in one pass over the rows.
 
-    (f1, f2, v1, v2, n0..n(k-1), p0..p(k-1)). Everything else in the screen works on these cells. Columns must be
-    integer codes. The per-row list of pairs is aggregated in the same task, before the shuffle.
+    (f1, f2, v1, v2, n0..n(k-1), p0..p(k-1)). Everything else in the screen works on these cells. Values are long if all
+    columns are integral, else exact text. The per-row list of pairs is aggregated in the same task, before the shuffle; the row's
+    values are one array and pairs are pairs of places in it, so the generated code does not grow with the number of pairs.
     """
-    listed = [f"struct('{a}' AS f1, '{b}' AS f2, CAST(`{a}` AS BIGINT) AS v1, CAST(`{b}` AS BIGINT) AS v2)" for a, b in pair_candidates(cols)]
+    kinds = {c: value_kind(df, c) for c in cols}
+    as_text = any(kind != "num" for kind in kinds.values())
+    kind_of = "STRING" if as_text else "BIGINT"
+    values = [real_text(c) if kinds[c] == "real" else f"CAST(`{c}` AS {kind_of})" for c in cols]
+    places = ", ".join(f"struct({cols.index(a)} AS i, {cols.index(b)} AS j)" for a, b in pair_candidates(cols))
+    names = ", ".join(f"'{c}'" for c in cols)
+    listed = f"transform(array({places}), x -> struct(array({names})[x.i] AS f1, array({names})[x.j] AS f2, _v[x.i] AS v1, _v[x.j] AS v2))"
     flags = [f"CAST({fold} = {j} AS BIGINT) AS _n{j}" for j in range(k)]
     hits = [f"IF({fold} = {j}, CAST({label} AS BIGINT), 0L) AS _p{j}" for j in range(k)]
-    rows = df.selectExpr(*flags, *hits, f"inline(array({', '.join(listed)}))")
+    rows = df.selectExpr(*flags, *hits, f"array({', '.join(values)}) AS _v").selectExpr("* EXCEPT (_v)", f"inline({listed})")
     sums = [F.expr(f"sum(_{s}{j}) AS {s}{j}") for s in "np" for j in range(k)]
     return rows.groupBy("f1", "f2", "v1", "v2").agg(*sums)
 
@@ -129,16 +137,17 @@ class PairTables:
 
 
 def pair_tables(train: DataFrame, test: DataFrame | None, cols: Sequence[str], pairs: Sequence[tuple[str, str]], label: str = "target") -> PairTables:
-    """Encode the single columns and all candidate pairs once and store them; candidates then only select blocks."""
+    """Encode the single columns and all candidate pairs once and store them; candidates then only select blocks.
+
+    One vocabulary serves all of them, so neither the passes over the rows nor the plan's depth grow with the number of pairs.
+    """
     name = "{a}_plus_{b}"
     df = combine(train, pairs, name=name)
     other = combine(test, pairs, name=name) if test is not None else None
-    base = OneHot(cols).fit(df, other)
-    df = base.transform(df, "base")
-    for i, (a, b) in enumerate(pairs):
-        df = OneHot([name.format(a=a, b=b)]).fit(df, other).transform(df, f"pair{i}")
-    blocks = [f"pair{i}" for i in range(len(pairs))]
-    df = df.select("id", F.col(label).alias("target"), "fold", "base", *blocks)
+    made = [name.format(a=a, b=b) for a, b in pairs]
+    groups = {"base": list(cols), **{f"pair{i}": [c] for i, c in enumerate(made)}}
+    df = OneHot([*cols, *made]).fit(df, other).blocks(df, groups)
+    df = df.select("id", F.col(label).alias("target"), "fold", *groups)
     return PairTables(materialize(df, "pairs", ["fold"]), list(pairs))
 
 

@@ -16,6 +16,8 @@ from riskloom.plans.materialize import materialize
 
 # monotonically_increasing_id() keeps the partition number above this bit
 PARTITION_BIT = 33
+# offsets are broadcast up to this many rows (a few MB)
+MAX_OFFSETS = 200_000
 
 
 def _placed(df: DataFrame, keys: Sequence[Column], by: Sequence[str]) -> DataFrame:
@@ -44,15 +46,16 @@ def _renamed(by: Sequence[str]) -> list[Column]:
 def global_rank(df: DataFrame, keys: Sequence[Column], by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Zero-based position of each row in the order of `keys` within `by` (keys must be unique there).
 
-    `by` must be few-valued (classes, folds, feature names): the broadcast side has at most (#groups + #range
-    partitions) rows, as ranges are contiguous.
+    The offsets are one row per group and range partition; they are broadcast if they are few, else joined by shuffle.
     """
     placed = _placed(df, keys, by)
     ranges = placed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
     shift = F.coalesce(F.sum("_n").over(_earlier(by)), F.lit(0)) - F.col("_first")
-    ranges = ranges.select(*_renamed(by), shift.alias("_shift"))
+    ranges = materialize(ranges.select(*_renamed(by), shift.alias("_shift")), "ranges")
+    if ranges.count() <= MAX_OFFSETS:  # read from the files' footers
+        ranges = F.broadcast(ranges)
     return (
-        placed.join(F.broadcast(ranges), _same_range(by))
+        placed.join(ranges, _same_range(by))
         .withColumn(name, F.col("_place") + F.col("_shift"))
         .select(*df.columns, name)
     )
