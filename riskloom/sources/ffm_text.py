@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.plans.materialize import materialize
@@ -50,6 +50,32 @@ def write_ffm(lines: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     (writer.partitionBy(*partition_by) if partition_by else writer).text(path)
 
 
+def write_keyed(lines: DataFrame, path: str, id: str = "id", rows_per_file: int = 100_000) -> DataFrame:
+    """Write the lines in the order of their ids, one folder `part=k` with one file each of about `rows_per_file` lines.
+
+    Returns (part, line, id): which row stands where. A program that reads the files writes one score per line without a key;
+    `read_keyed` brings these back to the ids.
+    """
+    n = max(1, -(-lines.count() // rows_per_file))
+    place = F.monotonically_increasing_id()
+    ordered = lines.select(id, "value").repartitionByRange(n, id).sortWithinPartitions(id).withColumn("_place", place)
+    ordered = materialize(ordered, "ffm")  # fixes the ranges
+    placed = ordered.select(id, "value", F.shiftright("_place", 33).cast("int").alias("part"), F.col("_place").bitwiseAND((1 << 33) - 1).alias("line"))
+    placed.repartition(n, "part").sortWithinPartitions("part", "line").select("value", "part").write.partitionBy("part").text(path)
+    return placed.select("part", "line", id)
+
+
+def read_keyed(spark: SparkSession, path: str, keys: DataFrame, id: str = "id") -> DataFrame:
+    """(id, prediction) from score files in the layout of `write_keyed`: line i of `part=k` belongs to the row in that place.
+
+    A file is read whole, since lines have no numbers of their own; `rows_per_file` bounds it.
+    """
+    files = spark.read.text(path, wholetext=True)
+    scores = files.select("part", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line", "text"))
+    scores = scores.select(F.col("part").cast("int").alias("part"), F.col("line").cast("long").alias("line"), F.col("text").cast("double").alias("prediction"))
+    return keys.join(scores, ["part", "line"], "left").select(id, "prediction")
+
+
 def fold_files(train: DataFrame, codes: FieldCodes, label: str, k: int, fold: str = "fold") -> DataFrame:
     """(fold, part, id, value): for every fold the train and validation lines of the k-fold export.
 

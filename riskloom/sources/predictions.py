@@ -45,17 +45,39 @@ def model_of_file(name: Column, mark: str) -> Column:
     return F.substring_index(name, mark, 1)
 
 
-def read_csv_store(spark: SparkSession, folder: str, mark: str = OOF_MARK) -> DataFrame:
-    """All `<model>_oof*.csv` (or `_sub`) files below a folder in one scan: (id, prediction, target, model).
+def value_columns(header: Sequence[str], id: str = "id", target: str = "target") -> tuple[str, str | None]:
+    """Names of the prediction and of the target column of a prediction file, by its header.
 
-    Column names differ from file to file, so columns are taken by position; archives are not picked up.
+    Files of unlabelled rows have one value column, whatever its name; with two, the one named `target` is the target.
     """
-    return (
-        spark.read.schema("id long, prediction double, target int")
-        .options(header=True, pathGlobFilter=f"*{mark}*.csv", recursiveFileLookup=True)
-        .csv(folder)
-        .select("id", "prediction", "target", model_of_file(F.col("_metadata.file_name"), mark).alias("model"))
-    )
+    values = [c for c in header if c != id]
+    scores = [c for c in values if c != target] if len(values) > 1 else values
+    if id not in header or len(scores) != 1:
+        raise ValueError(f"a prediction file has {id}, one prediction and perhaps {target}, not {list(header)}")
+    return scores[0], target if len(values) > 1 else None
+
+
+def read_csv_store(spark: SparkSession, folder: str, mark: str = OOF_MARK, models_from: str = "file") -> DataFrame:
+    """All `<model>_oof*.csv` (or `_sub`) files below a folder: (id, prediction, target, model).
+
+    With models_from="folder" the model is the name of the folder a file stands in, as Spark's own writer leaves it. Columns are taken by name, since their order differs from writer to writer: the header line of each file is read first, and
+    files with one header are read in one scan. Archives are not picked up.
+    """
+    found = spark.read.format("binaryFile").options(pathGlobFilter=f"*{mark}*.csv", recursiveFileLookup=True).load(folder)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for r in found.select("path").collect():  # one row per file
+        by_header.setdefault(tuple(spark.read.option("header", True).csv(r["path"]).columns), []).append(r["path"])
+    out = spark.createDataFrame([], "id long, prediction double, target int, model string")
+    for header, paths in sorted(by_header.items()):
+        score, target = value_columns(header)
+        kind = {"id": "long", score: "double", target: "int"}
+        schema = ", ".join(f"`{c}` {kind[c]}" for c in header)
+        label = F.col(target) if target else F.lit(None).cast("int")
+        path = F.col("_metadata.file_path")
+        model = model_of_file(F.col("_metadata.file_name"), mark) if models_from == "file" else F.element_at(F.split(path, "/"), -2)
+        rows = spark.read.schema(schema).option("header", True).csv(paths)
+        out = out.unionByName(rows.select("id", F.col(f"`{score}`").alias("prediction"), label.alias("target"), model.alias("model")))
+    return out
 
 
 def read_fold_predictions(spark: SparkSession, path: str) -> DataFrame:
@@ -71,6 +93,12 @@ def prediction_wide(store: DataFrame, models: Sequence[str] | None = None, id: s
     return store.groupBy(id).agg(*picks)
 
 
+def csv_wide(store: DataFrame, models: Sequence[str], id: str = "id") -> DataFrame:
+    """Wide predictions with the target, where any file has it."""
+    labels = store.groupBy(id).agg(F.max("target").alias("target"))
+    return prediction_wide(store, models, id).join(labels, id)
+
+
 def mean_predictions(store: DataFrame, id: str = "id") -> DataFrame:
     """Mean of the folds' or bags' predictions per row."""
     return store.groupBy(id).agg(F.avg("prediction").alias("prediction"))
@@ -81,10 +109,10 @@ def fill_submission(template: DataFrame, predictions: DataFrame, id: str = "id",
     return template.drop(target).join(predictions.select(id, F.col("prediction").alias(target)), id, "left")
 
 
-def run_catalog(scores: DataFrame, scale: int = SCORE_SCALE) -> DataFrame:
-    """(model, gini, score_code, file_stem): what the file names of a run carry, as columns."""
+def run_catalog(scores: DataFrame, scale: int = SCORE_SCALE, at: Column | None = None) -> DataFrame:
+    """(model, gini, score_code, file_stem): what the file names of a run carry, as columns. `at` is the time of the run."""
     code = (F.col("gini") * scale).cast("long")
-    stamp = F.date_format(F.current_timestamp(), STAMP)
+    stamp = F.date_format(F.current_timestamp() if at is None else at, STAMP)
     return scores.select("model", "gini", code.alias("score_code"), F.concat_ws("_", "model", code.cast("string"), stamp).alias("file_stem"))
 
 
