@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.operators.folds import assign_folds
+from riskloom.operators.metrics import gini
 from riskloom.plans.materialize import materialize
 from riskloom.sources.order_risk import order_risk, split_origin
 
@@ -37,6 +39,11 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return split_origin(wide_stored(spark, sf_dir))
 
 
+def hidden_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the unlabelled rows: known here, never shown to a model."""
+    return order_risk(spark, sf_dir).where("is_test = 1").select("id", "target")
+
+
 def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rows with a stratified fold number."""
     return assign_folds(split_origin(order_risk(spark, sf_dir))[0])
@@ -104,3 +111,22 @@ def long_sql(cols: list[str], source: str, keep: str) -> str:
         f"SELECT '{c}' AS feature, CAST({c} AS BIGINT) AS num, CAST({c} AS VARCHAR) AS value, {keep} FROM {source}"
         for c in cols
     )
+
+
+def facts_sql(*flags: str, where: str = "tr", columns: str = "id, fold, target") -> str:
+    """Rows of a model job as far as SQL knows them: keys, folds and labels, and flags that have to be true."""
+    return over_folds(f"SELECT {', '.join([columns, *[f'TRUE AS {f}' for f in ('in_range', 'above_floor', *flags)]])} FROM {where}")
+
+
+def with_facts(scored: DataFrame, floor: float, labels: DataFrame | None = None, flags: dict[str, bool] | None = None) -> DataFrame:
+    """Keys, folds and labels of scored rows, whether each score is a probability, and whether their pooled Gini is over `floor`.
+
+    `labels` (id, target) are given for unlabelled rows, whose labels the model has not seen.
+    """
+    rows = materialize(scored, "scored")
+    rated = rows if labels is None else rows.join(labels, "id")
+    pooled = gini(rated, "target", "prediction").first()["gini"]
+    keys = [c for c in ("id", "fold", "target") if c in rows.columns]
+    in_range = F.coalesce((F.col("prediction") >= 0) & (F.col("prediction") <= 1), F.lit(False)).alias("in_range")
+    stated = {"above_floor": bool(pooled > floor), **(flags or {})}
+    return rows.select(*keys, in_range, *[F.lit(v).alias(k) for k, v in stated.items()])

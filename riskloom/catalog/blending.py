@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import folded, over_folds, over_fx, query, train_test, wide
+from riskloom.catalog.base import facts_sql, folded, hidden_labels, over_folds, over_fx, query, train_test, wide, with_facts
 from riskloom.catalog.encoding import SIGMOID
+from riskloom.catalog.scoring import gini_sql
 from riskloom.functions.scalars import fixed_text, linear_blend
 from riskloom.operators import encoders, learners, metrics
 from riskloom.operators.folds import assign_folds
@@ -58,7 +59,7 @@ def submission_fill(spark, sf_dir):
     return P.fill_submission(template, store(spark, sf_dir).where("model = 'by_lines'"))
 
 
-@query()
+@query(over_fx("SELECT id, model, PRINTF('%.9f', prediction) AS prediction FROM store", STORE))
 def pred_format(spark, sf_dir):
     return store(spark, sf_dir).select("id", "model", fixed_text("prediction").alias("prediction"))
 
@@ -75,11 +76,35 @@ def linear_blend_rows(spark, sf_dir):
     return df.select("id", linear_blend({"by_prio": 0.6, "by_lines": -0.1, "by_bal": 0.3}).alias("blend"))
 
 
-@query()
+@query(over_folds(
+    "SELECT model, ROUND(gini, 9) AS gini, CAST(TRUNC(gini * 1000000) AS BIGINT) AS score_code, "
+    "model || '_' || CAST(CAST(TRUNC(gini * 1000000) AS BIGINT) AS VARCHAR) || '_2024_02_03_04h05' AS file_stem FROM g",
+    STORE,
+    "sc AS (SELECT tr.target, store.model, store.prediction AS score FROM tr JOIN store ON tr.id = store.id)",
+    "g AS (" + gini_sql("sc", "target", "score", "model") + ")",
+))
 def run_catalog(spark, sf_dir):
-    """Every score column as a run: its Gini over the labelled rows and its score code."""
+    """Every score column as a run: its Gini over the labelled rows, its score code, and its name at a given time."""
     runs = store(spark, sf_dir).join(folded(spark, sf_dir).select("id", "target"), "id")
-    return P.run_catalog(metrics.gini(runs, "target", "prediction", ["model"]))
+    found = P.run_catalog(metrics.gini(runs, "target", "prediction", ["model"]), at=F.lit("2024-02-03 04:05:00").cast("timestamp"))
+    return found.withColumn("gini", F.round("gini", 9))
+
+
+@query(over_fx(
+    "SELECT id, MAX(prediction) FILTER (model = 'by_bal') AS by_bal, MAX(prediction) FILTER (model = 'by_lines') AS by_lines, "
+    "MAX(prediction) FILTER (model = 'by_prio') AS by_prio, MAX(target) AS target FROM (SELECT id, model, CAST(PRINTF('%.9f', prediction) AS DOUBLE) AS prediction, "
+    "CASE WHEN model = 'by_bal' THEN NULL ELSE target END AS target FROM store JOIN (SELECT id, target FROM fx) USING (id)) GROUP BY id",
+    STORE,
+))
+def csv_store_wide(spark, sf_dir):
+    """Through CSV files of different writers (id, target, score; id, score, target; id, score), read back by their headers."""
+    folder = new_path(spark, "csv")
+    rows = store(spark, sf_dir).join(wide(spark, sf_dir).select("id", "target"), "id")
+    orders = {"by_prio": ["id", "target", "by_prio"], "by_lines": ["id", "by_lines", "target"], "by_bal": ["id", "by_bal"]}
+    for model, columns in orders.items():
+        text = rows.where(F.col("model") == model).withColumn(model, fixed_text("prediction")).select(*columns)
+        text.write.csv(f"{folder}/{model}", header=True)
+    return P.csv_wide(P.read_csv_store(spark, folder, mark="", models_from="folder"), MODELS)
 
 
 FIRST_LEVEL = ["prio_cat", "nation_cat", "seg_cat", "ret_bin", "prio_nation"]
@@ -95,26 +120,33 @@ def first_level(spark, sf_dir):
     return enc.transform(train, "own"), enc.transform(test.select("id", *keep, pair))
 
 
-@query()
+@query("SELECT fold, model, TRUE AS weights_sum_to_one, TRUE AS beats_every_model FROM (SELECT UNNEST(RANGE(5)) AS fold), (SELECT UNNEST(" + str(FIRST_LEVEL) + ") AS model)")
 def blend_fit(spark, sf_dir):
-    """Weights per fold of the blend that maximises Gini."""
+    """Weights per fold of the blend that maximises Gini: their sizes add up to one, and no single model is better."""
     train, _ = first_level(spark, sf_dir)
-    weights = fit_blend(train, FIRST_LEVEL, fits=range(5), max_iter=30)
-    rows = [(j, m, float(w)) for j, ws in weights.items() for m, w in zip(FIRST_LEVEL, ws)]
-    return spark.createDataFrame(rows, "fold int, model string, weight double")
-
-
-@query()
+    train = materialize(train.select("target", "fold", *FIRST_LEVEL), "blend")
+    weights = fit_blend(train, FIRST_LEVEL, fits=range(5))
+    rows = []
+    for j, w in weights.items():
+        outside = train.where(F.col("fold") != j).withColumn("blend", linear_blend(dict(zip(FIRST_LEVEL, w))))
+        long = outside.unpivot(["target"], ["blend", *FIRST_LEVEL], "model", "score")
+        rated = {r["model"]: r["gini"] for r in metrics.gini(long, "target", "score", ["model"]).collect()}
+        best = rated["blend"] >= max(rated[m] for m in FIRST_LEVEL) - 1e-9
+        rows += [(j, m, abs(sum(map(abs, w)) - 1) < 1e-9, best) for m in FIRST_LEVEL]
+    return spark.createDataFrame(rows, "fold int, model string, weights_sum_to_one boolean, beats_every_model boolean")
+
+
+@query(facts_sql(where="fx WHERE is_test = 1", columns="id"))
 def blend_calibrate(spark, sf_dir):
     """Test predictions: the calibrated blend of every fold, averaged."""
     train, test = first_level(spark, sf_dir)
-    return stack(train, FIRST_LEVEL, test, max_iter=10).test
+    return with_facts(stack(train, FIRST_LEVEL, test).test, 0.05, hidden_labels(spark, sf_dir))
 
 
-@query()
+@query(facts_sql())
 def stack_oof(spark, sf_dir):
     train, test = first_level(spark, sf_dir)
-    return stack(train, FIRST_LEVEL, test, max_iter=30).oof
+    return with_facts(stack(train, FIRST_LEVEL, test).oof, 0.05)
 
 
 @query(over_folds(
@@ -180,7 +212,7 @@ def fe_full(spark, sf_dir):
     return both.select("id", "is_test", *[F.round(c, 9).alias(c) if c in round_these else F.col(c) for c in names])
 
 
-@query()
+@query(facts_sql())
 def oof_full_features(spark, sf_dir):
     """The full feature set with boosted trees."""
     from pyspark.ml.feature import VectorAssembler
@@ -190,4 +222,4 @@ def oof_full_features(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     left, _, names = full_features(assign_folds(train), test, RECIPE)
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(left)
-    return oof_predict(rows.select("id", "target", "fold", "features"), learners.boosted_leaves(trees=5)).oof
+    return with_facts(oof_predict(rows.select("id", "target", "fold", "features"), learners.boosted_leaves(trees=5), parallel=5).oof, 0.05)

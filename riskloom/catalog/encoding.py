@@ -8,9 +8,9 @@ from riskloom.catalog.base import folded, long_sql, over_folds, over_fx, query,
 from riskloom.functions.scalars import combine, square_trunc
 from riskloom.operators import encoders
 from riskloom.operators.scaling import EqualWidthBinner
-from riskloom.plans.materialize import materialize
+from riskloom.plans.materialize import materialize, new_path
 from riskloom.plans.vocabulary import fit_vocabulary
-from riskloom.sources.ffm_text import ffm_lines, fit_field_codes
+from riskloom.sources.ffm_text import ffm_lines, fit_field_codes, read_keyed, write_keyed
 
 CODED = ["prio_cat", "seg_cat", "nation_cat", "cust_cat"]
 PAIR = "seg_cat_plus_nation_cat"
@@ -214,12 +214,54 @@ def _ffm_sql() -> str:
     return over_fx(body, coded, cells, codes)
 
 
-@query(_ffm_sql())
-def libffm_lines(spark, sf_dir):
+def _field_coded(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     binner = EqualWidthBinner(["qty_12"], 50).fit(train, test)
     train, test = (binner.transform(t).withColumn("root_15", square_trunc("root_15")) for t in (train, test))
-    codes = fit_field_codes(train, test, FIELDS)
+    return train, test, fit_field_codes(train, test, FIELDS)
+
+
+@query(f"SELECT id, CAST(LENGTH(value) AS DOUBLE) AS prediction FROM ({_ffm_sql()}) WHERE is_test = 0")
+def ffm_round_trip(spark, sf_dir):
+    """Lines written without keys, scored by a reader that sees the text alone, and the scores brought back to the ids."""
+    train, test, codes = _field_coded(spark, sf_dir)
+    lines = ffm_lines(train, codes, "target")
+    text, scored = new_path(spark, "ffm-text"), new_path(spark, "ffm-scores")
+    keys = write_keyed(lines, text, rows_per_file=5_000)
+    files = spark.read.text(text, wholetext=True)
+    lengths = F.transform(F.split(F.regexp_replace("value", "\n$", ""), "\n"), lambda x: F.length(x).cast("string"))
+    files.select(F.array_join(lengths, "\n").alias("value"), "part").write.partitionBy("part").text(scored)
+    return read_keyed(spark, scored, keys)
+
+
+@query(_ffm_sql())
+def libffm_lines(spark, sf_dir):
+    train, test, codes = _field_coded(spark, sf_dir)
     left = ffm_lines(train, codes, "target").withColumn("is_test", F.lit(0))
     right = ffm_lines(test.withColumn("target", F.lit(0)), codes, "target").withColumn("is_test", F.lit(1))
     return left.unionByName(right)
+
+
+REAL = ["reg_03", "root_15", "calc_disc"]
+
+
+@query(over_fx(
+    "SELECT id, is_test, " + ", ".join(f"DENSE_RANK() OVER (ORDER BY {c}) - 1 AS {c}" for c in REAL) + " FROM fx"
+))
+def label_encode_double(spark, sf_dir):
+    """Codes of fractional columns, by exact value in numeric order."""
+    train, test = train_test(spark, sf_dir)
+    codes = encoders.CategoryCodes(REAL).fit(train, test)
+    out = [codes.transform(t).select("id", F.lit(i).alias("is_test"), *REAL) for i, t in enumerate((train, test))]
+    return out[0].unionByName(out[1])
+
+
+@query(over_fx(
+    "SELECT id, a.code AS position FROM fx JOIN (SELECT root_15, ROW_NUMBER() OVER (ORDER BY root_15) - 1 AS code FROM fx WHERE is_test = 0 GROUP BY root_15) a USING (root_15) "
+    "UNION ALL SELECT id, b.code + (SELECT COUNT(DISTINCT root_15) FROM fx WHERE is_test = 0) FROM fx JOIN "
+    "(SELECT calc_disc, ROW_NUMBER() OVER (ORDER BY calc_disc) - 1 AS code FROM fx WHERE is_test = 0 GROUP BY calc_disc) b USING (calc_disc)"
+))
+def one_hot_double(spark, sf_dir):
+    train, test = train_test(spark, sf_dir)
+    hot = encoders.OneHot(["root_15", "calc_disc"]).fit(train)
+    return hot.positions(train.drop("target").unionByName(test))

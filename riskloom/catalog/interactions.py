@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom.catalog.base import over_folds, query, wide
@@ -14,6 +15,7 @@ from riskloom.sources.order_risk import split_origin
 
 COLS = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "fstat_bin", "n_lines"]
 PAIRS = search.pair_candidates(COLS)
+MIXED = ["calc_disc", "root_15", "prio_cat"]
 
 
 def _folded(spark, sf_dir):
@@ -93,6 +95,20 @@ def pair_candidates(spark, sf_dir):
     return cells.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n_cells"), F.sum(n).alias("n_rows"), F.sum(p).alias("n_pos"))
 
 
+@query(over_folds(
+    "SELECT f1, f2, COUNT(*) AS n_cells, CAST(SUM(n) AS BIGINT) AS n_rows, CAST(SUM(pos) AS BIGINT) AS n_pos FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS f1, '{b}' AS f2, COUNT(*) AS n, SUM(target) AS pos FROM tr GROUP BY {a}, {b}" for a, b in search.pair_candidates(MIXED)
+    ) + ") GROUP BY f1, f2"
+))
+def pair_screen_double(spark, sf_dir):
+    """Value pairs of fractional and integral columns, by exact value."""
+    train, _ = split_origin(wide(spark, sf_dir))
+    cells = search.pair_cells(assign_folds(train.select("id", "target", *MIXED)), MIXED, "target", "fold", 5)
+    n, p = (sum((F.col(f"{s}{j}") for j in range(1, 5)), F.col(f"{s}0")) for s in "np")
+    return cells.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n_cells"), F.sum(n).alias("n_rows"), F.sum(p).alias("n_pos"))
+
+
 @query(over_folds(
     "SELECT f1, f2, ROUND(MIN(d), 9) AS min_delta, ROUND(AVG(d), 9) AS mean_delta, CASE WHEN ROUND(MIN(d), 9) > 0 THEN 1 ELSE 0 END AS kept FROM ("
     "SELECT a.f1, a.f2, a.fold, a.gini - b.gini AS d FROM ga a JOIN gb b USING (f1, f2, fold)) GROUP BY f1, f2",
@@ -107,17 +123,29 @@ def pair_all_folds(spark, sf_dir):
                         (F.round("min_delta", 9) > 0).cast("int").alias("kept"))
 
 
-def _tables(spark, sf_dir, top):
+def _tables(spark, sf_dir):
+    """All candidate pairs, the best of the screen first."""
     folded, test = _folded(spark, sf_dir)
-    best = search.top_pairs(search.screen_pairs(folded, COLS), top).collect()
+    best = search.top_pairs(search.screen_pairs(folded, COLS), len(PAIRS)).collect()
     return search.pair_tables(folded, test, COLS, [(r["f1"], r["f2"]) for r in best])
 
 
-@query()
+PAIRS_SQL = "SELECT f1, f2, TRUE AS {flag} FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in PAIRS) + ") p(f1, f2)"
+
+
+@query(PAIRS_SQL.format(flag="kept_by_its_gain"))
 def pair_screen_exact(spark, sf_dir):
-    return search.screen_exact(_tables(spark, sf_dir, 3))
+    """One refit per candidate pair; a pair is kept if and only if its gain passes the limit."""
+    found = search.screen_exact(_tables(spark, sf_dir))
+    gained = (F.col("delta") > search.SCREEN_GAIN).cast("int") == F.col("kept")
+    return found.select("f1", "f2", (gained & (F.abs("gini") <= 1)).alias("kept_by_its_gain"))
 
 
-@query()
+@query(PAIRS_SQL.format(flag="never_worse"))
 def pair_forward(spark, sf_dir):
-    return search.forward_select(_tables(spark, sf_dir, 3))
+    """Greedy pass over all candidate pairs; the mean Gini of the kept model never falls."""
+    found = search.forward_select(_tables(spark, sf_dir))
+    kept = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)  # one row per candidate pair
+    before = F.max(F.when(F.col("kept") == 1, F.col("mean_gini"))).over(kept)
+    fine = (F.col("kept") == 0) | before.isNull() | (F.col("mean_gini") > before)
+    return found.select("f1", "f2", fine.alias("never_worse"))

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import over_folds, query, train_test
+from riskloom.catalog.base import facts_sql, hidden_labels, over_folds, over_fx, query, train_test, with_facts
 from riskloom.catalog.scoring import gini_sql
 from riskloom.functions.scalars import combine, product, signed_flag
 from riskloom.operators import encoders, learners, metrics
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.oof import best_rounds as top_rounds
-from riskloom.operators.oof import coefficient_audit, oof_predict, sweep
+from riskloom.operators.oof import attach_predictions, coefficient_audit, largest_gradient, oof_predict, sweep
 from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.plans import first_level
 from riskloom.plans.materialize import materialize
@@ -33,40 +34,52 @@ def one_hot_tables(spark, sf_dir):
     return coded, hot, lambda: hot.transform(test).select("id", "features")
 
 
-def _oof(spark, sf_dir, make):
+def _oof(spark, sf_dir, make, floor=0.05):
     train, hot, _ = one_hot_tables(spark, sf_dir)
-    return oof_predict(train, make(hot)).oof
+    return with_facts(oof_predict(train, make(hot), parallel=5).oof, floor)
 
 
-@query()
+def _linear(spark, sf_dir, learner, penalty, floor=0.05):
+    """Out-of-fold scores of a convex model, and whether every fold's fit is where its gradient vanishes."""
+    train, _, _ = one_hot_tables(spark, sf_dir)
+    train = materialize(train, "linear", ["fold"])
+    result = oof_predict(train, learner, parallel=5)
+    steepest = max(largest_gradient(train.where(F.col("fold") != j), learner, models[0], penalty) for j, models in result.models.items())
+    return with_facts(result.oof, floor, flags={"stationary": steepest < 1e-3})
+
+
+@query(facts_sql("stationary"))
 def oof_logreg(spark, sf_dir):
-    return _oof(spark, sf_dir, lambda hot: learners.logistic())
+    return _linear(spark, sf_dir, learners.logistic(), lambda facts: 1.0 / (0.1 * facts.rows))
 
 
-@query()
+@query(over_folds("SELECT COALESCE(fold, -1) AS fold, COUNT(*) AS n_rows, CAST(SUM(target) AS BIGINT) AS n_pos, TRUE AS above_floor FROM tr GROUP BY ROLLUP (fold)"))
 def oof_logreg_scores(spark, sf_dir):
+    """Rows and positives per fold and pooled, and whether the Gini (pooled) is over 0.05."""
     train, _, _ = one_hot_tables(spark, sf_dir)
-    return oof_predict(train, learners.logistic()).scores()
+    scores = oof_predict(train, learners.logistic(), parallel=5).scores()
+    return scores.select("fold", "n_rows", "n_pos", ((F.col("fold") >= 0) | (F.col("gini") > 0.05)).alias("above_floor"))
 
 
-@query()
+@query(facts_sql("stationary"))
 def oof_sgd_onehot(spark, sf_dir):
-    return _oof(spark, sf_dir, lambda hot: learners.sgd_logistic())
+    return _linear(spark, sf_dir, learners.sgd_logistic(), lambda facts: 0.002)
 
 
-@query()
+@query(facts_sql("stationary"))
 def oof_ridge(spark, sf_dir):
-    return _oof(spark, sf_dir, lambda hot: learners.ridge(300.0, hot.size))
+    return _linear(spark, sf_dir, learners.ridge(300.0), lambda facts: 300.0 / facts.rows)
 
 
-@query()
+@query(facts_sql())
 def oof_fm(spark, sf_dir):
-    return _oof(spark, sf_dir, lambda hot: learners.factorization())
+    return _oof(spark, sf_dir, lambda hot: learners.factorization(), floor=-0.2)
 
 
-@query()
+@query(facts_sql())
 def oof_mlp_bag(spark, sf_dir):
-    return _oof(spark, sf_dir, lambda hot: learners.feed_forward(hot.size, (50, 25), bags=2))
+    """Five bags of the two-layer net per fold."""
+    return _oof(spark, sf_dir, lambda hot: learners.feed_forward(hot.size, (50, 25)))
 
 
 DENSE = ["n_lines", "qty_12", "price_13", "bal_14", "root_15", "reg_03", "ret_bin", "fstat_bin"]
@@ -91,71 +104,108 @@ def mean_encoded(spark, sf_dir, m=None):
 
 def _trees(spark, sf_dir, learner, m=None):
     train, _, _, prepare = mean_encoded(spark, sf_dir, m)
-    return oof_predict(train, learner, prepare=prepare).oof
+    return with_facts(oof_predict(train, learner, prepare=prepare, parallel=5).oof, 0.05)
 
 
-@query()
+@query(facts_sql())
 def oof_gbt(spark, sf_dir):
     return _trees(spark, sf_dir, learners.boosted_trees(trees=10))
 
 
-@query()
+@query(facts_sql())
 def oof_boosted_leaves(spark, sf_dir):
     return _trees(spark, sf_dir, learners.boosted_leaves(trees=5))
 
 
-@query()
+@query(facts_sql())
 def oof_regularized_forest(spark, sf_dir):
     return _trees(spark, sf_dir, learners.regularized_forest(trees=5))
 
 
-@query()
+@query(facts_sql())
 def oof_rf(spark, sf_dir):
     return _trees(spark, sf_dir, learners.random_forest(trees=20), encoders.MEAN_WEIGHT)
 
 
-@query()
+FEATURES = [*DENSE, *[f"{c}_avg" for c in MEANS]]
+
+
+@query("SELECT fold, feature, TRUE AS is_share, TRUE AS sums_to_one FROM (SELECT UNNEST(RANGE(5)) AS fold), (SELECT UNNEST(" + str(FEATURES) + ") AS feature)")
 def importances(spark, sf_dir):
+    """Importance of every feature in every fold's model: shares of one."""
     train, _, _, prepare = mean_encoded(spark, sf_dir)
-    found = oof_predict(train, learners.boosted_trees(trees=5), prepare=prepare).importances()
-    names = [*DENSE, *[f"{c}_avg" for c in MEANS]]
-    return found.select("fold", F.lit(names)[F.col("position")].alias("feature"), "importance")
+    found = oof_predict(train, learners.boosted_trees(trees=5), prepare=prepare, parallel=5).importances()
+    total = F.sum("importance").over(Window.partitionBy("fold"))  # one row per feature and fold
+    share = (F.col("importance") >= 0) & (F.col("importance") <= 1)
+    return found.select("fold", F.lit(FEATURES)[F.col("position")].alias("feature"), share.alias("is_share"), (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
+
+
+def _audit_sql() -> str:
+    """Every value of the audited columns with its support in both tables."""
+    parts = [f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, is_test FROM cut" for c in [*ONE_HOT, *BINNED]]
+    parts += [f"SELECT '{a}_plus_{b}' AS feature, CAST({a} AS VARCHAR) || '_' || CAST({b} AS VARCHAR) AS value, is_test FROM cut" for a, b in PAIRS]
+    edges = {c: " + ".join(f"(CASE WHEN {c} > lo_{c} + {i} * ((hi_{c} - lo_{c}) / 20) THEN 1 ELSE 0 END)" for i in range(1, 20)) for c in BINNED}
+    span = "span AS (SELECT " + ", ".join(f"MIN({c}) AS lo_{c}, MAX({c}) AS hi_{c}" for c in BINNED) + " FROM fx)"
+    cut = f"cut AS (SELECT id, is_test, {', '.join([*ONE_HOT, *[f'{e} AS {c}' for c, e in edges.items()]])} FROM fx, span)"
+    body = (
+        "SELECT feature, value, n_train, n_test, CASE WHEN n_train <= 100 OR n_test <= 100 THEN 1 ELSE 0 END AS low_support, TRUE AS is_finite FROM ("
+        "SELECT feature, value, COUNT(*) FILTER (is_test = 0) AS n_train, COUNT(*) FILTER (is_test = 1) AS n_test FROM long GROUP BY feature, value) WHERE n_train > 0"
+    )
+    return over_fx(body, span, cut, "long AS (" + " UNION ALL ".join(parts) + ")")
 
 
-@query()
+@query(_audit_sql())
 def coef_audit(spark, sf_dir):
+    """Support of every one-hot column in both tables next to its coefficient (here: whether that is a finite number)."""
     train, hot, _ = one_hot_tables(spark, sf_dir)
-    result = oof_predict(train, learners.ridge(300.0, hot.size))
-    return coefficient_audit(result.importances(), hot.names())
+    result = oof_predict(train, learners.ridge(300.0), parallel=5)
+    found = coefficient_audit(result.importances(), hot.names())
+    return found.select("feature", "value", "n_train", "n_test", "low_support", (F.abs("coefficient") < 1e6).alias("is_finite"))
 
 
-@query()
-def submission_refit(spark, sf_dir):
+def _submission(spark, sf_dir, mode):
+    """Test predictions with facts; the labels of test rows are known here, but not to the model."""
     train, _, test = one_hot_tables(spark, sf_dir)
-    return oof_predict(train, learners.logistic(), test(), "refit").test
+    hidden = hidden_labels(spark, sf_dir)
+    return with_facts(oof_predict(train, learners.logistic(), test(), mode, parallel=5).test, 0.05, hidden)
+
 
+TEST_FACTS = facts_sql(where="fx WHERE is_test = 1", columns="id")
 
-@query()
+
+@query(TEST_FACTS)
+def submission_refit(spark, sf_dir):
+    return _submission(spark, sf_dir, "refit")
+
+
+@query(TEST_FACTS)
 def submission_mean(spark, sf_dir):
-    train, _, test = one_hot_tables(spark, sf_dir)
-    return oof_predict(train, learners.logistic(), test(), "mean").test
+    return _submission(spark, sf_dir, "mean")
 
 
-@query()
+#: Penalties of the sweep.
+ALPHAS = (0.05, 0.02, 0.0075, 0.005, 0.002, 0.001, 0.0005)
+
+
+@query(over_folds(
+    f"SELECT 'alpha=' || a AS setting, COALESCE(fold, -1) AS fold, COUNT(*) AS n_rows, CAST(SUM(target) AS BIGINT) AS n_pos, TRUE AS above_floor "
+    f"FROM tr, (SELECT UNNEST({[str(a) for a in ALPHAS]}) AS a) GROUP BY GROUPING SETS ((a, fold), (a))"
+))
 def sweep_alpha(spark, sf_dir):
     train, _, _ = one_hot_tables(spark, sf_dir)
-    return sweep(train, {f"alpha={a}": learners.sgd_logistic(a) for a in (0.02, 0.002)})
+    found = sweep(train, {f"alpha={a}": learners.sgd_logistic(a) for a in ALPHAS})
+    return found.select("setting", "fold", "n_rows", "n_pos", ((F.col("fold") >= 0) | (F.col("gini") > 0.05)).alias("above_floor"))
 
 
 HASHED = [*ONE_HOT, *BINNED, "prio_cat_plus_nation_cat"]
 
 
-@query()
+@query(facts_sql())
 def oof_ftrl(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     binner = EqualWidthBinner(BINNED, 20).fit(train, test)
     rows = assign_folds(combine(binner.transform(train), PAIRS)).select("id", "target", "fold", *HASHED)
-    return ftrl_oof(rows, FTRL(HASHED))
+    return with_facts(ftrl_oof(rows, FTRL(HASHED)), 0.05)
 
 
 ROUNDS = ["prio_cat", "ret_bin", "nation_cat", "seg_cat", "status_cat"]
@@ -199,15 +249,25 @@ def best_rounds(spark, sf_dir):
     return found.select("round", *[F.round(c, 9).alias(c) for c in ("mean_score", "std_score")])
 
 
-@query()
+@query(over_folds(
+    "SELECT id, fold, target, ROUND((CAST(pos - own_pos AS DOUBLE) / (n - own_n) * (n - own_n) + 2e2 * prior) / (n - own_n + 2e2), 9) AS prediction FROM ("
+    "SELECT tr.id, tr.fold, tr.target, SUM(target) OVER (PARTITION BY nation_cat) AS pos, COUNT(*) OVER (PARTITION BY nation_cat) AS n, "
+    "SUM(target) OVER (PARTITION BY nation_cat, fold) AS own_pos, COUNT(*) OVER (PARTITION BY nation_cat, fold) AS own_n, "
+    "CAST(SUM(target) OVER () - SUM(target) OVER (PARTITION BY fold) AS DOUBLE) / (COUNT(*) OVER () - COUNT(*) OVER (PARTITION BY fold)) AS prior FROM tr)"
+))
 def oof_assemble(spark, sf_dir):
-    """Fold predictions attached to the labelled rows by id, scored per fold and pooled."""
-    train, _, _ = one_hot_tables(spark, sf_dir)
-    oof = oof_predict(train, learners.sgd_logistic()).oof
-    return train.select("id").join(oof, "id", "left")
+    """Fold predictions attached to the labelled rows by id; here those of a target mean fitted outside every fold."""
+    train, _ = train_test(spark, sf_dir)
+    train = materialize(assign_folds(train.select("id", "target", "nation_cat")), "folded")
+    enc = encoders.TargetMean(["nation_cat"]).fit(train, fold="fold")
+    parts = None
+    for j in range(5):
+        held = enc.transform(train.where(F.col("fold") == j), j).select("id", F.round("nation_cat_avg", 9).alias("prediction"))
+        parts = held if parts is None else parts.unionByName(held)
+    return attach_predictions(train.select("id", "fold", "target"), parts)
 
 
-@query()
+@query(facts_sql())
 def level1_means(spark, sf_dir):
     """Boosted trees on raw columns, decoded region, a coded pair and per-fold target means."""
     train, test = train_test(spark, sf_dir)
@@ -215,10 +275,10 @@ def level1_means(spark, sf_dir):
     result = first_level.mean_encoded_model(
         train, test, learners.boosted_trees(trees=5), kept, [("prio_cat", "nation_cat")], ("reg_03", "reg")
     )
-    return result.oof
+    return with_facts(result.oof, 0.05)
 
 
-@query()
+@query(TEST_FACTS)
 def level1_forest(spark, sf_dir):
     """Random forest whose few-valued categories are replaced by their weighted target means."""
     train, test = train_test(spark, sf_dir)
@@ -227,29 +287,29 @@ def level1_forest(spark, sf_dir):
         train, test, learners.random_forest(trees=10), kept, [("prio_cat", "ret_bin")], m=encoders.MEAN_WEIGHT, in_place=True,
         between=(2, 20), mode="mean",
     )
-    return result.test
+    return with_facts(result.test, 0.05, hidden_labels(spark, sf_dir))
 
 
-@query()
+@query(facts_sql())
 def level1_onehot(spark, sf_dir):
     """Logistic model on binned one-hot columns and pairs with enough support in train and test."""
     train, test = train_test(spark, sf_dir)
     result = first_level.one_hot_model(
-        train.drop("cust_cat", "reg_03", "root_15"), test.drop("cust_cat", "reg_03", "root_15"), lambda width: learners.sgd_logistic(),
+        train, test.drop("target"), lambda width: learners.sgd_logistic(),
         without="calc_", binned=BINNED, pairs=[("prio_cat", "nation_cat"), ("prio_cat", "price_13")], skip_binned_pairs=True, min_train=20, pair_min_test=10,
     )
-    return result.oof
+    return with_facts(result.oof, 0.05)
 
 
-@query()
+@query(facts_sql())
 def level1_ridge(spark, sf_dir):
     """Ridge model with columns routed by their number of values."""
     train, test = train_test(spark, sf_dir)
     kept = [*ONE_HOT, "cust_cat", *BINNED]
-    return first_level.one_hot_model(train, test, lambda width: learners.ridge(300.0, width), kept, binned=BINNED, routed=True).oof
+    return with_facts(first_level.one_hot_model(train, test, lambda width: learners.ridge(300.0), kept, binned=BINNED, routed=True).oof, 0.05)
 
 
-@query()
+@query(facts_sql())
 def level1_scaled(spark, sf_dir):
     """Logistic model on flags, decoded region, products and bins scaled to [0, 1]."""
     train, test = train_test(spark, sf_dir)
@@ -258,4 +318,4 @@ def level1_scaled(spark, sf_dir):
         "price_miss_reg": product(["price_13", signed_flag("reg_03")]),
     }
     result = first_level.scaled_model(train, test, learners.logistic(), products, ("reg_03", "reg"), BINNED)
-    return result.oof
+    return with_facts(result.oof, 0.05)

@@ -1,5 +1,7 @@
 """Model jobs: coverage, ranges, repeatability, agreement with plain numpy."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -8,8 +10,10 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalars import hash_row
 from riskloom.operators import learners
 from riskloom.operators.encoders import OneHot, TargetMean
-from riskloom.operators.ftrl import FTRL, ftrl_oof, run_pass
+from riskloom.operators.ftrl import FTRL, ftrl_oof
+from riskloom.operators.metrics import gini_by_fold
 from riskloom.operators.oof import best_rounds, oof_predict, round_scores
+from riskloom.operators.stacking import exact_ginis, fit_blend
 
 COLS = ["prio_cat", "nation_cat", "ret_bin", "n_lines"]
 
@@ -38,7 +42,7 @@ def test_every_row_gets_one_prediction(coded, mode):
 def test_ridge_equals_the_normal_equations(coded):
     train, _, hot = coded
     alpha = 30.0
-    result = oof_predict(train, learners.ridge(alpha, hot.size))
+    result = oof_predict(train, learners.ridge(alpha))
     rows = [r for r in train.collect() if r.fold != 2]
     x = np.array([r.features.toArray() for r in rows])
     y = np.array([2 * r.target - 1 for r in rows], dtype=float)
@@ -92,36 +96,39 @@ def test_nested_encoding_leaves_out_both_folds(tables):
     assert got.join(want, "id").where(F.abs(F.col("nation_cat_avg") - F.col("want")) > 1e-12).count() == 0
 
 
-def test_one_shard_is_the_sequential_learner(spark, tables):
+def test_batches_step_as_plain_loops_do(tables):
     train, _ = tables
-    small = train.where("fold = 0")
-    model = FTRL(COLS, dim=64, epochs=2, interactions=True).fit(small)  # 64 buckets, so cells do collide
-    state = {r.bucket: (r.z, r.n) for r in model.state.collect()}
-    rows = small.select("id", "target", hash_row(COLS, 64, True).alias("x")).collect()
-    turn = {e: {r.id: r.t for r in small.select("id", F.xxhash64("id", F.lit(model.seed), F.lit(e)).alias("t")).collect()} for e in (0, 1)}
-    start = {r.b: r.z for r in spark.range(64).select(F.col("id").cast("int").alias("b")).select(
-        "b", (F.pmod(F.xxhash64(F.col("b").cast("long"), F.lit(model.seed)), F.lit(2**32)) / float(2**32)).alias("z")).collect()}
-    z, n = dict(start), {b: 0.0 for b in start}
-    for e in (0, 1):
-        for r in sorted(rows, key=lambda r: (turn[e][r.id], r.id)):
-            w = [0.0 if abs(z[i]) <= 1e-5 else (np.sign(z[i]) * 1e-5 - z[i]) / ((1.0 + n[i] ** 0.5) / 0.01 + 1.0) for i in r.x]
-            g = 1 / (1 + np.exp(-max(min(sum(w), 35.0), -35.0))) - r.target
-            for i, wi in zip(r.x, w):
-                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 0.01 * wi
-                n[i] += g * g
-    assert all(abs(z[b] - state[b][0]) < 1e-9 and abs(n[b] - state[b][1]) < 1e-9 for b in state)
-
-
-def test_many_shards_still_learn(tables):
+    small = train.where("fold < 2")
+    model = FTRL(COLS, dim=64, epochs=2, batches=3, interactions=True, fits=(1, None)).fit(small, fold="fold")  # 64 buckets, so cells do collide
+    state = {r.bucket: (r.z0, r.n0, r.z1, r.n1) for r in model.state.collect()}
+    turns = [F.pmod(F.xxhash64("id", F.lit(model.seed), F.lit(e)), F.lit(3)).alias(f"t{e}") for e in (0, 1)]
+    rows = small.select("fold", "target", hash_row(COLS, 64, True).alias("x"), *turns).collect()
+    start = {b: int(hashlib.md5(f"{model.seed}:{b}".encode()).hexdigest()[:8], 16) / 2**32 for b in state}
+    for k, left_out in enumerate((1, None)):
+        z, n = dict(start), dict.fromkeys(start, 0.0)
+        for e in (0, 1):
+            for part in range(3):
+                w = {b: 0.0 if abs(z[b]) <= 1e-5 else (np.sign(z[b]) * 1e-5 - z[b]) / ((1.0 + n[b] ** 0.5) / 0.1 + 1.0) for b in z}
+                g = dict.fromkeys(z, 0.0)
+                for r in rows:
+                    if r[f"t{e}"] == part and r.fold != left_out:
+                        error = 1 / (1 + np.exp(-max(min(sum(w[b] for b in r.x), 35.0), -35.0))) - r.target
+                        for b in r.x:
+                            g[b] += error
+                for b in z:
+                    z[b] += g[b] - ((n[b] + g[b] ** 2) ** 0.5 - n[b] ** 0.5) / 0.1 * w[b]
+                    n[b] += g[b] ** 2
+        assert all(abs(z[b] - state[b][2 * k]) < 1e-6 and abs(n[b] - state[b][2 * k + 1]) < 1e-6 for b in state)
+
+
+def test_more_rows_do_not_learn_less(tables):
     train, _ = tables
-    oof = ftrl_oof(train, FTRL(COLS, shard_rows=200))
-    check(oof, train)
-
-
-def test_pass_counts_shared_buckets_twice():
-    z, n = np.array([0.5, 0.2]), np.zeros(2)
-    run_pass(np.array([[0, 0]]), np.array([1.0]), z, n, 0.01, 1.0, 1e-5, 1.0)
-    assert n[0] > 0 and n[1] == 0 and z[1] == 0.2
+    once = ftrl_oof(train, FTRL(COLS))
+    check(once, train)
+    copies = train.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("id", F.col("id") * 10 + F.col("copy"))
+    many = ftrl_oof(copies, FTRL(COLS))
+    pooled = lambda oof: gini_by_fold(oof, "target", "prediction").where("fold = -1").first()["gini"]
+    assert pooled(many) > pooled(once) - 0.02
 
 
 def test_assembled_features_need_their_columns(tables):
@@ -131,3 +138,19 @@ def test_assembled_features_need_their_columns(tables):
     rows = VectorAssembler(inputCols=["n_lines"], outputCol="features").transform(train)
     with pytest.raises(ValueError):
         oof_predict(rows, learners.logistic(), mode="other")
+
+
+def test_blend_bears_outliers_and_scales_but_no_holes(spark):
+    rng = np.random.default_rng(4)
+    y = (rng.random(3000) < 0.2).astype(int)
+    a, b = y + rng.normal(0, 2, 3000), y + rng.normal(0, 3, 3000)
+    frame = lambda x, z: spark.createDataFrame([(int(t), i % 3, float(u), float(v)) for i, (t, u, v) in enumerate(zip(y, x, z))], "target int, fold int, a double, b double")
+    plain = fit_blend(frame(a, b), ["a", "b"])[-1]
+    wild = np.append(a[:-1], 1e9)
+    far = fit_blend(frame(wild, b), ["a", "b"])[-1]
+    assert np.abs(np.array(plain) - far).max() < 0.1
+    both = {j: exact_ginis(frame(a, b), ["a", "b"], "target", "fold", {-1: w})[-1] for j, w in enumerate((plain, [1.0, 0.0], [0.0, 1.0], [0.5, 0.5]))}
+    assert both[0] >= max(both.values())
+    assert np.allclose(fit_blend(frame(1000 * a, 1000 * b), ["a", "b"])[-1], plain)
+    with pytest.raises(ValueError):
+        fit_blend(frame(np.append(a[:-1], np.nan), b), ["a", "b"])

@@ -97,3 +97,13 @@ def test_queries_stay_in_the_jvm(spark):
     for name in ("target_mean_fold", "pair_screen", "gini_by_fold", "fe_full", "libffm_lines", "hash_interactions"):
         plan = final_plan(queries()[name](spark, SMALL))
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_folds_shuffle_the_rows_once(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(assign_folds(tables[0].drop("fold")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the rows once, by class and slice; the slices' counts by the same, by class for their sums, and back for the join
+    assert plan.count("Exchange hashpartitioning") == 4

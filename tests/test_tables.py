@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import columns, search
+from riskloom.operators.encoders import CategoryCodes, Dummies
 from riskloom.operators.metrics import gini
 from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.operators.stacking import fit_blend, stack
@@ -29,7 +30,7 @@ def test_csv_round_trip_and_store_discovery(spark, folder):
     assert back.columns == ["id", "net"] and back.where("id = 1").first()["net"] == "0.142857143"
 
 
-def test_csv_store_takes_columns_by_position(spark, folder):
+def test_csv_store_takes_files_of_one_mark(spark, folder):
     for model, tail in (("net", ",target"), ("forest", "")):
         with open(f"{folder}/{model}_27_oof.csv", "w") as f:
             f.write(f"id,{model}{tail}\n1,0.5{',1' if tail else ''}\n2,0.25{',0' if tail else ''}\n")
@@ -128,3 +129,39 @@ def test_release_deletes_written_tables(spark):
     spark.range(3).write.parquet(path)
     assert M.release(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
     M._written[:] = held
+
+
+def test_csv_store_reads_columns_by_name(spark, tmp_path):
+    texts = {"a_oof_1.csv": "id,target,ftrl\n1,1,0.25\n2,0,0.5\n", "b_oof.csv": "id,net,target\n1,0.75,1\n", "c_oof.csv": "id,score\n2,0.125\n", "d_sub.csv": "id,target\n1,0.5\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    got = sorted((r.model, r.id, r.prediction, r.target) for r in P.read_csv_store(spark, str(tmp_path)).collect())
+    assert got == [("a", 1, 0.25, 1), ("a", 2, 0.5, 0), ("b", 1, 0.75, 1), ("c", 2, 0.125, None)]
+    assert [tuple(r) for r in P.read_csv_store(spark, str(tmp_path), "_sub").collect()] == [(1, 0.5, None, "d")]
+    with pytest.raises(ValueError):
+        P.value_columns(["id", "x", "y"])
+
+
+def test_text_columns_bear_sentinels_and_flags(spark):
+    df = spark.createDataFrame([("-1", -1, -1.0, 1), ("red", 2, 0.5, 2), (None, None, None, 3)], "c string, i int, d double, id long")
+    left = columns.add_missing_flags(df, cols=["c", "i", "d"])[0].orderBy("id").collect()
+    assert [(r.c_miss, r.i_miss, r.d_miss) for r in left] == [(1, 1, 1), (0, 0, 0), (None, None, None)]
+    swapped = columns.replace_sentinel(df, 99, ["c", "i", "d"]).orderBy("id").collect()
+    assert [(r.c, r.i, r.d) for r in swapped] == [("99", 99, 99.0), ("red", 2, 0.5), (None, None, None)]
+
+
+def test_fractional_values_are_encoded_exactly(spark):
+    df = spark.createDataFrame([(1, 0.1), (2, 0.7), (3, -0.0), (4, 0.0), (5, None), (6, 0.1)], "id long, x double")
+    codes = CategoryCodes(["x"]).fit(df).transform(df, "_code").orderBy("id").collect()
+    assert [r.x_code for r in codes] == [1, 2, 0, 0, -1, 1]
+    assert {tuple(r) for r in Dummies(["x"]).fit(df, df).transform(df).where("id = 2").select("`x_0.1`", "`x_0.7`").collect()} == {(0, 1)}
+    with pytest.raises(TypeError):
+        CategoryCodes(["x"]).fit(df.withColumn("x", F.array("x")))
+
+
+def test_pair_cells_compile_with_many_columns(spark):
+    cols = [f"c{i}" for i in range(37)]
+    df = spark.range(200).select("id", (F.col("id") % 2).cast("int").alias("target"), (F.col("id") % 5).cast("int").alias("fold"), *[(F.col("id") % (i + 2)).cast("int").alias(c) for i, c in enumerate(cols)])
+    cells = search.pair_cells(df, cols, "target", "fold", 5)
+    assert cells.select("f1", "f2").distinct().count() == 37 * 36 // 2
+    assert cells.select(F.sum(F.col("n0") + F.col("n1") + F.col("n2") + F.col("n3") + F.col("n4"))).first()[0] == 200 * 37 * 36 // 2
