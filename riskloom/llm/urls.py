@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.base import most_frequent
 from riskloom.plans.materialize import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -43,11 +44,11 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 
 def lexicon(texts: DataFrame, text: str, max_words: int = 30_000, longest: int = 24) -> dict[str, int]:
-    """The most frequent words of all texts and their counts; markup, scripts and styles are left out."""
+    """The most frequent words of all texts and their counts, at most `max_words`; markup, scripts and styles are left out."""
     plain = F.regexp_replace(F.lower(F.col(text)), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
     words = texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where((F.length("word") > 0) & (F.length("word") <= longest))
-    top = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(max_words)
-    return {r["word"]: r["n"] for r in top.collect()}
+    counts = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    return {r["word"]: r["n"] for r in most_frequent(counts, "n", max_words).collect()}
 
 
 class Segmenter:
@@ -122,9 +123,9 @@ def judge(
     for word, what in (prior_words or {}).items():
         seen = seen.unionAll(spark.sql(f"SELECT '{what}' AS ruled, 'h:{word}' AS token"))
     block, allow = F.count_if(F.col("ruled") == "block"), F.count_if(F.col("ruled") == "allow")
-    counts = seen.groupBy("token").agg(block.alias("b"), allow.alias("a"))
+    counts = materialize(seen.groupBy("token").agg(block.alias("b"), allow.alias("a"), F.count(F.lit(1)).alias("n")), "tokens")
     total = counts.agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("n")).first()
-    top = counts.orderBy(F.desc(F.col("a") + F.col("b")), "token").limit(max_tokens).collect()
+    top = most_frequent(counts, "n", max_tokens).collect()
     if total["b"] or total["a"]:
         space = total["n"] + 1
         base = math.log(((total["a"] or 0) + space) / ((total["b"] or 0) + space))
