@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog.base import facts_sql, hidden_labels, over_folds, over_fx, query, train_test, with_facts
 from riskloom.catalog.scoring import gini_sql
-from riskloom.functions.scalars import combine, product, signed_flag
+from riskloom.functions.scalars import combine, product, sigmoid, signed_flag
 from riskloom.operators import encoders, learners, metrics
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.oof import best_rounds as top_rounds
-from riskloom.operators.oof import attach_predictions, coefficient_audit, largest_gradient, oof_predict, sweep
+from riskloom.operators.oof import attach_predictions, coefficient_audit, largest_gradient, oof_predict, round_margins, sweep, training_scores
 from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.plans import first_level
 from riskloom.plans.materialize import materialize
@@ -127,6 +127,38 @@ def oof_rf(spark, sf_dir):
     return _trees(spark, sf_dir, learners.random_forest(trees=20), encoders.MEAN_WEIGHT)
 
 
+@query(over_folds(
+    "SELECT fold, round, COUNT(*) AS n_rows, CAST(SUM(target) AS BIGINT) AS n_pos, TRUE AS in_range, TRUE AS learns, TRUE AS ends_at_the_model "
+    "FROM tr, (SELECT UNNEST(RANGE(1, 11)) AS round) GROUP BY fold, round"
+))
+def round_curve(spark, sf_dir):
+    """Validation AUC after every boosting round; after the last one over one half in the mean, with the margins of the whole model."""
+    train, _, _, prepare = mean_encoded(spark, sf_dir)
+    train = materialize(train, "rounds", ["fold"])
+    result = oof_predict(train, learners.boosted_trees(trees=10), prepare=prepare, parallel=5, store=False)
+    margins = materialize(round_margins(result, train, range(1, 11), prepare), "margins")
+    last = margins.where("round = 10").join(result.oof.select("id", "prediction"), "id")
+    apart = last.agg(F.max(F.abs(sigmoid(2 * F.col("margin")) - F.col("prediction")))).first()[0]
+    curve = materialize(metrics.auc(margins, "target", "margin", ["fold", "round"]), "curve")
+    learns = curve.where("round = 10").agg(F.avg("auc")).first()[0] > 0.5
+    return curve.select("fold", "round", "n_rows", "n_pos", F.col("auc").between(0, 1).alias("in_range"), F.lit(learns).alias("learns"), F.lit(apart < 1e-9).alias("ends_at_the_model"))
+
+
+@query(over_folds(
+    "SELECT j AS fold, COUNT(*) FILTER (fold <> j) AS n_train, COUNT(*) FILTER (fold = j) AS n_val, TRUE AS fits_its_rows_better "
+    "FROM tr, (SELECT UNNEST(RANGE(5)) AS j) GROUP BY j"
+))
+def train_val_summary(spark, sf_dir):
+    """Training Gini next to the validation Gini of every fold's model; means over the folds are compared."""
+    train, _, _ = one_hot_tables(spark, sf_dir)
+    train = materialize(train, "both", ["fold"])
+    result = oof_predict(train, learners.logistic(), parallel=5, store=False)
+    seen = training_scores(result, train).select("fold", F.col("n_rows").alias("n_train"), F.col("gini").alias("train_gini"))
+    both = materialize(seen.join(result.scores().select("fold", F.col("n_rows").alias("n_val"), F.col("gini").alias("val_gini")), "fold"), "summary")
+    mean = both.agg(F.avg("train_gini").alias("t"), F.avg("val_gini").alias("v")).first()
+    return both.select("fold", "n_train", "n_val", F.lit(mean["t"] > mean["v"]).alias("fits_its_rows_better"))
+
+
 FEATURES = [*DENSE, *[f"{c}_avg" for c in MEANS]]
 
 

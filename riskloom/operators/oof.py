@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.columns import require_columns
 from riskloom.operators.learners import Facts, Learner, mean_score
-from riskloom.operators.metrics import gini_by_fold
+from riskloom.operators.metrics import auc, gini, gini_by_fold
 from riskloom.plans.materialize import materialize
 
 # (table, fold or None for the fit on all rows) -> table with a `features` vector
@@ -115,9 +118,6 @@ def largest_gradient(rows: DataFrame, learner: Learner, model: Model, penalty: C
     The objective is the weighted mean loss (squared or logistic, by the learner) plus half of `penalty` times the squared
     coefficients. At an optimum it is zero up to the solver's tolerance.
     """
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.stat import Summarizer
-
     one = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("p")).first()
     facts = Facts(one["n"], one["p"])
     weight = learner.weight(facts, label) if learner.weight is not None else F.lit(1.0)
@@ -175,31 +175,49 @@ def best_rounds(curve: DataFrame, top: int = 3, value: str = "auc") -> DataFrame
     )
 
 
+def leaf_values(tree: Model) -> list[float]:
+    """Predictions of a regression tree's leaves, in the order in which Spark numbers them (left before right)."""
+    return [float(x) for x in re.findall(r"Predict: (\S+)", tree.toDebugString)]
+
+
 def round_scores(result: OofResult, train: DataFrame, rounds: Sequence[int], prepare: Prepare | None = None,
                  label: str = "target", fold: str = "fold", id: str = "id") -> DataFrame:
-    """(fold, round, auc): validation AUC of the boosted model cut after each of `rounds` trees.
+    """(fold, round, n_rows, n_pos, auc): validation AUC of the boosted models cut after each of `rounds` trees."""
+    long = round_margins(result, train, rounds, prepare, label, fold, id)
+    return auc(long, label, "margin", [fold, "round"])
 
-    A row's margin after r trees is a prefix sum of its tree outputs, so each tree is evaluated once per row.
-    """
-    from pyspark.ml.functions import vector_to_array
 
-    from riskloom.operators.metrics import auc
+def round_margins(result: OofResult, train: DataFrame, rounds: Sequence[int], prepare: Prepare | None = None,
+                  label: str = "target", fold: str = "fold", id: str = "id") -> DataFrame:
+    """(id, fold, label, round, margin) of the validation rows of every fold.
 
+    A row falls through all trees once, which gives its leaf in each of them; margins are running sums over an array of leaf
+    values, so the plan does not grow with the number of trees.
+    """
     ready = prepare or (lambda df, j: df)
     parts = None
     for j, models in result.models.items():
-        model = models[0]
-        df = ready(train.where(F.col(fold) == j), j).select(id, fold, label, "features")
-        weights, margin, cuts = model.treeWeights, F.lit(0.0), []
-        for i, tree in enumerate(model.trees[: max(rounds)]):
-            out = tree.transform(df)
-            margin = F.col("_margin") if i else F.lit(0.0)
-            df = out.withColumn("_next", margin + F.lit(float(weights[i])) * F.col("prediction"))
-            drop = [c for c in ("prediction", "_margin") if c in df.columns]
-            df = df.drop(*drop).withColumnRenamed("_next", "_margin")
-            if i + 1 in rounds:
-                df = df.withColumn(f"_cut{i + 1}", F.col("_margin"))
-                cuts.append(i + 1)
-        long = df.select(fold, label, F.inline(F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"_cut{r}").alias("margin")) for r in cuts])))
+        model = models[0].copy()
+        df = model.setLeafCol("_leaf").transform(ready(train.where(F.col(fold) == j), j))
+        flat, start = [], []
+        for tree, weight in zip(model.trees, model.treeWeights):
+            start.append(len(flat))
+            flat += [weight * v for v in leaf_values(tree)]
+        terms = F.transform(vector_to_array("_leaf"), lambda leaf, i: F.lit(flat)[F.lit(start)[i] + leaf.cast("int")])
+        running = F.aggregate(terms, F.array(F.lit(0.0)), lambda sums, x: F.array_append(sums, F.element_at(sums, -1) + x))
+        cut = F.explode(F.lit([r for r in rounds if r <= len(start)]))
+        long = df.select(id, fold, label, running.alias("_sums")).select(id, fold, label, "_sums", cut.alias("round"))
+        long = long.select(id, fold, label, "round", F.col("_sums")[F.col("round")].alias("margin"))
         parts = long if parts is None else parts.unionByName(long)
-    return auc(parts, label, "margin", [fold, "round"])
+    return parts
+
+
+def training_scores(result: OofResult, train: DataFrame, prepare: Prepare | None = None, label: str = "target", fold: str = "fold") -> DataFrame:
+    """(fold, n_rows, n_pos, gini) of every fold's model on the rows that it was fitted on: how much more it knows of them."""
+    ready = prepare or (lambda df, j: df)
+    parts = None
+    for j, models in result.models.items():
+        seen = ready(train.where(F.col(fold) != j), j).withColumn(fold, F.lit(j))
+        part = mean_score(result.learner, models, seen).select(fold, F.col(label).alias("target"), "prediction")
+        parts = part if parts is None else parts.unionByName(part)
+    return gini(parts, "target", "prediction", [fold])
