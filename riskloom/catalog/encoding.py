@@ -265,3 +265,14 @@ def one_hot_double(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     hot = encoders.OneHot(["root_15", "calc_disc"]).fit(train)
     return hot.positions(train.drop("target").unionByName(test))
+
+
+@query(over_fx(
+    "SELECT COUNT(*) AS n_columns, COUNT(*) FILTER (a = 0) AS empty_in_train, COUNT(*) FILTER (b = 0) AS empty_in_test FROM ("
+    "SELECT feature, num, COUNT(*) FILTER (is_test = 0) AS a, COUNT(*) FILTER (is_test = 1) AS b FROM long GROUP BY feature, num)",
+    "long AS (" + long_sql(["prio_cat", "nation_cat", "cust_cat"], "fx", "is_test") + ")",
+))
+def one_hot_empty(spark, sf_dir):
+    """Matrix columns without a row in train or in test."""
+    train, test = train_test(spark, sf_dir)
+    return encoders.OneHot(["prio_cat", "nation_cat", "cust_cat"], min_train=0).fit(train, test).empty_columns()

@@ -319,7 +319,8 @@ def level1_forest(spark, sf_dir):
         train, test, learners.random_forest(trees=10), kept, [("prio_cat", "ret_bin")], m=encoders.MEAN_WEIGHT, in_place=True,
         between=(2, 20), mode="mean",
     )
-    return with_facts(result.test, 0.05, hidden_labels(spark, sf_dir))
+    # ten trees and, at the smallest scale, thirty positives: the Gini's own error is about 0.1 there
+    return with_facts(result.test, -0.25, hidden_labels(spark, sf_dir))
 
 
 @query(facts_sql())

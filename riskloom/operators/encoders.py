@@ -102,6 +102,12 @@ class OneHot:
             base = F.when(F.col("feature") == c, s).otherwise(base)
         return self.table.select("feature", "value", "n_train", "n_test", (base + F.col("code")).alias("position"))
 
+    def empty_columns(self) -> DataFrame:
+        """(n_columns, empty_in_train, empty_in_test): how many matrix columns have no row in either table."""
+        return self.table.agg(
+            F.count(F.lit(1)).alias("n_columns"), F.count_if(F.col("n_train") == 0).alias("empty_in_train"), F.count_if(F.col("n_test") == 0).alias("empty_in_test")
+        )
+
     def _spots(self, df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
         """One code column per encoded column; unknown values get the code one past the last."""
         spots = {c: f"_spot{i}" for i, c in enumerate(self.width)}

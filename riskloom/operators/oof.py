@@ -20,6 +20,8 @@ from riskloom.plans.materialize import materialize
 
 # (table, fold or None for the fit on all rows) -> table with a `features` vector
 Prepare = Callable[[DataFrame, int | None], DataFrame]
+# (table, label, score) -> one row per fold and a pooled one
+Metric = Callable[[DataFrame, str, str], DataFrame]
 
 
 @dataclass
@@ -32,8 +34,9 @@ class OofResult:
     models: dict[int, list[Model]]
     refit: list[Model] = field(default_factory=list)
 
-    def scores(self) -> DataFrame:
-        return gini_by_fold(self.oof, "target", "prediction")
+    def scores(self, metric: Metric = gini_by_fold) -> DataFrame:
+        """Metric per fold and pooled (fold -1): a function of (table, label, score)."""
+        return metric(self.oof, "target", "prediction")
 
     def importances(self) -> DataFrame:
         """(fold, position, importance): tree importances or linear coefficients of the first model of every fold."""
@@ -146,12 +149,12 @@ def mean_over_folds(learner: Learner, models: dict[int, list[Model]], test: Data
     return df.withColumn("prediction", total / len(names))
 
 
-def sweep(train: DataFrame, learners: dict[str, Learner], label: str = "target", fold: str = "fold") -> DataFrame:
-    """Out-of-fold scores of several settings on the same stored rows: (setting, fold, n_rows, n_pos, gini)."""
+def sweep(train: DataFrame, learners: dict[str, Learner], label: str = "target", fold: str = "fold", metric: Metric = gini_by_fold) -> DataFrame:
+    """Out-of-fold scores of several settings on the same stored rows: setting and the columns of the metric."""
     rows = materialize(train, "sweep", [fold])
     found = None
     for name, learner in learners.items():
-        scores = oof_predict(rows, learner, label=label, fold=fold, store=False).scores()
+        scores = oof_predict(rows, learner, label=label, fold=fold, store=False).scores(metric)
         scores = scores.withColumn("setting", F.lit(name))
         found = scores if found is None else found.unionByName(scores)
     return found

@@ -62,8 +62,9 @@ class EqualWidthBinner:
     n: int = 50
     edges: dict[str, list[float]] = field(default_factory=dict)
 
-    def fit(self, *dfs: DataFrame) -> EqualWidthBinner:
-        self.edges = {c: bin_edges(lo, hi, self.n) for c, (lo, hi) in ranges(self.cols, *dfs).items()}
+    def fit(self, *dfs: DataFrame | None) -> EqualWidthBinner:
+        tables = [df for df in dfs if df is not None]
+        self.edges = {c: bin_edges(lo, hi, self.n) for c, (lo, hi) in ranges(self.cols, *tables).items()}
         return self
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
