@@ -32,6 +32,20 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`mapInArrow` with batches of about 8 MB: Spark's own 64 MB, held several times over, are much beside a small executor.
+
+    The bound is a setting of the session. One that the user has set already stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES, None) in (None, "67108864b", "64m", "64MB"):  # as Spark comes
+        conf.set(BATCH_BYTES, "8m")
+    return df.mapInArrow(run, schema)
+
+
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     """Rows of the highest classes of `n` (eighths of an octave) that fit whole into `most` rows.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.base import slices
+from riskloom.llm.base import map_batches, slices
 from riskloom.llm.chunks import ChunkEncoder
 
 _encoders: dict[tuple[str, str], ChunkEncoder] = {}
@@ -55,7 +55,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id: str = "doc_id", t
                     columns += [lists([a for a, _ in spans]), lists([b for _, b in spans])]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return map_batches(narrow, run, schema)
 
 
 def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -83,7 +83,7 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str, id: str = "doc_id"
                 raws = [b"".join(map(pieces.__getitem__, flat[bounds[k] : bounds[k + 1]].tolist())) for k in range(start, stop)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(raws, pa.binary())], names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return map_batches(narrow, run, schema)
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -103,4 +103,4 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str, id: str = "doc_id",
                 columns = [part.column(0), pa.array(list(map(len, ids)), pa.int64()), pa.array(written), pa.array(back)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return map_batches(narrow, run, schema)

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import blobs, slices, sums
+from riskloom.llm.base import blobs, map_batches, slices, sums
 
 EDGE = 0xFF  # stands before a text; no UTF-8 text holds it
 LETTER = regex.compile(r"\p{L}")
@@ -61,7 +61,8 @@ def gram_counts(rows: DataFrame, lang: str, text: str) -> DataFrame:
                     [pa.array([name] * len(gram)), pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"]
                 )
 
-    part = rows.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")).mapInArrow(run, "lang string, gram long, n long")
+    narrow = rows.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"))
+    part = map_batches(narrow, run, "lang string, gram long, n long")
     return part.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -173,4 +174,4 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", returned:
                 kept = [part.column(c) for c in part.schema.names if c != "_text"]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(score)], names=schema.names)
 
-    return whole.mapInArrow(run, schema)
+    return map_batches(whole, run, schema)

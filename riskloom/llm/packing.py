@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import slices
+from riskloom.llm.base import map_batches, slices
 from riskloom.llm.chunks import ChunkEncoder
 from riskloom.plans.materialize import materialize
 
@@ -57,7 +57,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end: in
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return narrow.mapInArrow(run, schema)
+    return map_batches(narrow, run, schema)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +113,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, group: int = 16384, fan_in: in
         yield from rows.to_batches()
 
     dealt = pieces.repartition(n, *[F.col(c) for c in ("doc_id", "piece")])
-    rows = materialize(dealt.mapInArrow(first, packed), "packed")
+    rows = materialize(map_batches(dealt, first, packed), "packed")
 
     open_ = rows.where(F.col("_used") < capacity - slack).groupBy("_bin").agg(F.first("_used").alias("used"))
     open_ = open_.select(F.col("_bin").alias("bin"), "used", F.shiftright("_bin", 32).alias("part"))

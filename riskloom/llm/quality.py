@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import blobs, slices
+from riskloom.llm.base import blobs, map_batches, slices
 
 TERMS = 1024
 CLASSES = 40
@@ -101,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column, id: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([part.column(id), part.column("_label"), pa.array([c.tobytes() for c in counts], pa.binary())], names=["_id", "_label", "_counts"])
 
     kind = docs.schema[id].dataType
-    found = rows.mapInArrow(run, f"_id {kind.simpleString()}, _label int, _counts binary")
+    found = map_batches(rows, run, f"_id {kind.simpleString()}, _label int, _counts binary")
     got = found.orderBy(F.xxhash64(F.lit("votes"), F.col("_id")), "_id", "_counts").limit(max_labelled).toArrow()
     if not got.num_rows:
         return None
@@ -133,4 +133,4 @@ def score(docs: DataFrame, space: LabelledSpace | None, id: str = "doc_id", text
                 got = np.full(part.num_rows, 0.5) if model is None else model.votes(term_counts(*blobs(part.column("_text"))), k, power)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got)], names=schema.names)
 
-    return narrow.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= cut).cast("int"))
+    return map_batches(narrow, run, schema).withColumn("predicted", (F.col("score") >= cut).cast("int"))

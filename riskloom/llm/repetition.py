@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.base import blobs, slices, sums
+from riskloom.llm.base import blobs, map_batches, slices, sums
 
 #: Limits in percent of characters in repeated n-grams, by n, and in repeated lines. They step down by 1 from 5 to 10 words as
 #: the published ones do, but stand 10 higher: short clean texts with one repeated line reach 14 in the labelled tables.
@@ -135,4 +135,4 @@ def rate(
     over = 100 * F.col(f"{prefix}line_chars") > line_limit * word_chars
     for k, n in enumerate(lengths):
         over = over | (100 * F.col(f"{prefix}gram_chars")[k] > limits[n] * word_chars)
-    return whole.mapInArrow(run, schema).withColumns({f"{prefix}base_failed": failed, f"{prefix}kept": ~failed & ~over})
+    return map_batches(whole, run, schema).withColumns({f"{prefix}base_failed": failed, f"{prefix}kept": ~failed & ~over})

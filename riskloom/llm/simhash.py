@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import blobs, parallelism, slices
+from riskloom.llm.base import blobs, map_batches, parallelism, slices
 from riskloom.llm.components import component_labels, spanning_edges
 from riskloom.plans.materialize import materialize
 
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
                 columns = [part.column(c) for c in part.schema.names[:-1]] + [pa.array(fp.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "fp"])
 
-    return narrow.mapInArrow(run, schema)
+    return map_batches(narrow, run, schema)
 
 
 def quarters(fp: np.ndarray) -> np.ndarray:
@@ -175,7 +175,7 @@ def links(fps: DataFrame, radius: int = 4, tile: int = 16384) -> DataFrame:
                     [pa.array(nodes[i].view(np.int64)), pa.array(nodes[j].view(np.int64))], names=["a", "b"]
                 )
 
-    return work.mapInArrow(run, "a long, b long")
+    return map_batches(work, run, "a long, b long")
 
 
 def simhash_components(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 4, shingle: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm.base import map_batches
 from riskloom.plans.materialize import materialize
 
 
@@ -101,7 +102,7 @@ def packed(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
             row = [[TaskContext.get().partitionId()], [body.shape[1]], [ids.tobytes()], [body.tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=[name, f"{name}_width", f"{name}_ids", f"{name}_body"])
 
-    blocks = rows.repartition(n).mapInArrow(run, f"{name} int, {name}_width int, {name}_ids binary, {name}_body binary")
+    blocks = map_batches(rows.repartition(n), run, f"{name} int, {name}_width int, {name}_ids binary, {name}_body binary")
     return materialize(blocks, f"topk-{name}"), n
 
 
@@ -136,6 +137,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id
                     found, score = index.top(vector, k, own, ids)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), q)), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    found = map_batches(pairs, run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

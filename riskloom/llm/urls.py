@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import most_frequent
+from riskloom.llm.base import map_batches, most_frequent
 from riskloom.plans.materialize import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -118,7 +118,7 @@ def judge(
             tokens = [cut.tokens(h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
 
-    cut = materialize(ruled.mapInArrow(segment, schema), "urls")
+    cut = materialize(map_batches(ruled, segment, schema), "urls")
     seen = cut.where("ruled IS NOT NULL").select("ruled", F.explode("tokens").alias("token"))
     for word, what in (prior_words or {}).items():
         seen = seen.unionAll(spark.sql(f"SELECT '{what}' AS ruled, 'h:{word}' AS token"))
@@ -141,6 +141,6 @@ def judge(
             kept = [batch.column(c) for c in batch.schema.names if c != "tokens"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(value, pa.float64())], names=[c for c in batch.schema.names if c != "tokens"] + ["block_odds"])
 
-    rated = cut.mapInArrow(rate, schema.rsplit(",", 1)[0] + ", block_odds double")
+    rated = map_batches(cut, rate, schema.rsplit(",", 1)[0] + ", block_odds double")
     final = F.coalesce("ruled", F.when(F.col("block_odds") > 0, "block").otherwise("allow"))
     return rated.select(id, "host", "path", "rule", final.alias("verdict"), "block_odds")

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm.base import map_batches
 from riskloom.plans.materialize import new_path
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -95,7 +96,7 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*.gz") -> Data
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("content")
     schema = "record_id string, type string, target string, number long, digest string, refers_to string, payload binary"
-    return files.mapInArrow(_parse, schema)
+    return map_batches(files, _parse, schema)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

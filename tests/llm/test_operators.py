@@ -420,3 +420,12 @@ def test_licences_by_canonical_text(spark, none):
     assert {(r.doc_id, r.license_id, r.notice_ids) for r in got} == {
         (1, "MIT", ""), (2, "MIT", ""), (3, None, ""), (4, None, "CC-BY-NC-4.0,MIT"), (5, None, ""), (6, None, ""), (None, "MIT", ""), (7, None, "")}
     assert licences.scan(none.select("doc_id", "text"), licences.known_licences(spark)).count() == 0
+
+
+def test_most_frequent_takes_whole_classes(spark):
+    from riskloom.llm.base import most_frequent
+
+    counts = spark.createDataFrame([("a", 1000), ("b", 1000), ("c", 30), ("d", 2), ("e", 2), ("f", 2)], "w string, n long")
+    kept = lambda most: sorted(r.w for r in most_frequent(counts, "n", most).collect())
+    assert [kept(most) for most in (1, 2, 3, 5, 6)] == [[], ["a", "b"], ["a", "b", "c"], ["a", "b", "c"], list("abcdef")]
+    assert most_frequent(counts.where("n = 0"), "n", 5).count() == 0
