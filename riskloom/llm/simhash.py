@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.base import blobs, map_batches, parallelism, slices
@@ -104,56 +104,65 @@ def tile_links(a: np.ndarray, b: np.ndarray, radius: int, same: bool, cell: int
 
 
 def tiles(distinct: DataFrame, tile: int) -> DataFrame:
-    """Distinct fingerprints packed into tiles of about `tile` words that cover a narrow range of population counts.
+    """Distinct fingerprints packed into tiles of about `tile` words with close population counts of their 16-bit quarters.
 
-    Words are dealt by (population count, slice of a hash), so a common count is cut into as many tiles as it needs.
-    Columns: tile (0, 1, ...), lo and hi (population counts), words (binary, little-endian).
+    Words with equal counts are a cell. There are at most 17**4 cells, whatever the number of words, so their sizes may be listed
+    on the driver and their tiles broadcast. Cells are put into tiles in the order of (sum, first, second, third count); a cell of
+    more than `tile` words is cut into even parts by a hash. Columns: tile (0, 1, ...), lo and hi (least and greatest sum), box
+    (least and greatest count of each quarter), words (binary, little-endian).
     """
-    counted = distinct.select("fp", F.bit_count("fp").alias("pop"))
-    sizes = {r["pop"]: r["n"] for r in counted.groupBy("pop").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 65 rows
-    first, cuts, held = [0] * 65, [1] * 65, 0
-    number = -1
-    for pop in range(65):  # rare counts share a tile, common ones get several
-        n = sizes.get(pop, 0)
-        cuts[pop] = max(1, -(-n // tile))
-        if cuts[pop] > 1 or number < 0 or held + n > tile:
-            number += 1
-            held = 0
-        first[pop] = number
-        held += n
-        if cuts[pop] > 1:
-            number += cuts[pop] - 1
-            held = tile
-    at = F.array(*[F.lit(x) for x in first])[F.col("pop")]
-    many = F.array(*[F.lit(x) for x in cuts])[F.col("pop")]
-    dealt = counted.select("fp", "pop", (at + F.pmod(F.xxhash64("fp"), many).cast("int")).alias("tile"))
-
-    packed = dealt.groupBy("tile").applyInArrow(_pack, "tile int, lo int, hi int, words binary")
+    spark = distinct.sparkSession
+    quarter = [F.bit_count(F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF))).alias(f"q{k}") for k in range(4)]
+    key = ["q0", "q1", "q2", "q3"]
+    counted = distinct.select("fp", *quarter)
+    sizes = counted.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 17**4 rows
+    plan, number, held = [], -1, tile
+    for r in sorted(sizes, key=lambda r: (sum(r[k] for k in key), *(r[k] for k in key))):
+        cuts = -(-r["n"] // tile)
+        if held + r["n"] > tile:
+            number, held = number + 1, 0
+        plan.append((*(r[k] for k in key), number, cuts))
+        number, held = number + cuts - 1, held + r["n"]
+    where = spark.createDataFrame(plan, ", ".join(f"{k} int" for k in key) + ", first int, cuts int")
+    dealt = counted.join(F.broadcast(where), key).select(
+        "fp", (F.col("first") + F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")).alias("tile")
+    )
+    packed = dealt.groupBy("tile").applyInArrow(_pack, "tile int, lo int, hi int, box array<int>, words binary")
     return materialize(packed, "simhash-tiles")
 
 
 def _pack(group: pa.Table) -> pa.Table:
     words = np.sort(group.column("fp").to_numpy().astype(np.int64))
-    pop = group.column("pop").to_numpy()
+    q = quarters(words.view(np.uint64)).astype(int)
+    box = [*q.min(axis=0).tolist(), *q.max(axis=0).tolist()]
     return pa.table({
-        "tile": pa.array([group.column("tile")[0].as_py()], pa.int32()), "lo": pa.array([int(pop.min())], pa.int32()),
-        "hi": pa.array([int(pop.max())], pa.int32()), "words": pa.array([words.tobytes()], pa.binary()),
+        "tile": pa.array([group.column("tile")[0].as_py()], pa.int32()), "lo": pa.array([int(q.sum(axis=1).min())], pa.int32()),
+        "hi": pa.array([int(q.sum(axis=1).max())], pa.int32()), "box": pa.array([box], pa.list_(pa.int32())),
+        "words": pa.array([words.tobytes()], pa.binary()),
     })
 
 
+def box_gap(a: str, b: str) -> Column:
+    """Least sum of differences between counts in two boxes, so the fewest bits in which words of the two tiles can differ."""
+    apart = [
+        F.greatest(F.col(a)[k] - F.col(b)[4 + k], F.col(b)[k] - F.col(a)[4 + k], F.lit(0)) for k in range(4)
+    ]
+    return apart[0] + apart[1] + apart[2] + apart[3]
+
+
 def links(fps: DataFrame, radius: int = 4, tile: int = 16384) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect all words within `radius` bits of each other.
 
-    Exact: every pair of tiles whose ranges of population counts come within the radius is compared in full. Each pair of
+    Exact: every pair of tiles whose population counts, in sum and by quarters, come within the radius is compared in full. Each pair of
     tiles gives a spanning forest of its links, so a large group of near copies gives as many edges as it has members.
     """
     distinct = fps.select("fp").distinct()
     packed = tiles(distinct, tile)
     left = packed.select(*[F.col(c).alias(f"{c}_a") for c in packed.columns])
     # pairs of tile numbers come first, from the ranges alone; the words are then fetched by number
-    reach = left.select("tile_a", F.explode(F.sequence(F.col("lo_a") - radius, F.col("hi_a") + radius)).alias("pop"))
-    counts = packed.select("tile", F.explode(F.sequence("lo", "hi")).alias("pop"))
-    pairs = reach.join(counts, "pop").where("tile_a <= tile").select("tile_a", "tile").distinct()
+    reach = left.select("tile_a", "box_a", F.explode(F.sequence(F.col("lo_a") - radius, F.col("hi_a") + radius)).alias("pop"))
+    counts = packed.select("tile", "box", F.explode(F.sequence("lo", "hi")).alias("pop"))
+    pairs = reach.join(counts, "pop").where("tile_a <= tile").where(box_gap("box_a", "box") <= radius).select("tile_a", "tile").distinct()
     n = max(parallelism(packed.sparkSession), 1)
     work = (
         pairs.join(left.select("tile_a", "words_a"), "tile_a")
