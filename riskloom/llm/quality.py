@@ -91,7 +91,9 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column, id: str = "doc_id", t
     """
     usable = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).where(where)
     order = F.xxhash64(F.lit("votes"), F.col(id))
-    chosen = usable.groupBy(id).agg(F.max(label).cast("int").alias("_label")).orderBy(order, id).limit(max_labelled)
+    share = max_labelled / max(usable.count(), 1)  # about so many pass the hash; the order and the limit make the bound strict
+    picked = usable.where(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20))
+    chosen = picked.groupBy(id).agg(F.max(label).cast("int").alias("_label")).orderBy(order, id).limit(max_labelled)
     rows = docs.select(id, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text")).join(F.broadcast(chosen), id)  # chosen: at most max_labelled rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
