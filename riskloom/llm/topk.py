@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,8 +90,6 @@ def packed(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
     n = max(1, -(-rows.count() // size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         held = [b for b in batches if b.num_rows]
         if held:
             whole = pa.Table.from_batches(held).sort_by([("vec_id", "ascending")])
@@ -99,10 +98,12 @@ def packed(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
             sizes = np.diff(lists.offsets.to_numpy())
             body = np.zeros((len(ids), max(int(sizes.max()), 1)), np.int64)  # shorter vectors end in zeros
             body[np.arange(body.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy()
-            row = [[TaskContext.get().partitionId()], [body.shape[1]], [ids.tobytes()], [body.tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=[name, f"{name}_width", f"{name}_ids", f"{name}_body"])
+            least, most = int(body.min()), int(body.max())
+            kind = next(k for k in ("<i2", "<i4", "<i8") if np.iinfo(k).min <= least and most <= np.iinfo(k).max)  # the narrowest that holds them
+            row = [[TaskContext.get().partitionId()], [kind], [ids.tobytes()], [body.astype(kind).tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.string(), pa.binary(), pa.binary()))], names=[name, f"{name}_kind", f"{name}_ids", f"{name}_body"])
 
-    blocks = map_batches(rows.repartition(n), run, f"{name} int, {name}_width int, {name}_ids binary, {name}_body binary")
+    blocks = map_batches(rows.repartition(n), run, f"{name} int, {name}_kind string, {name}_ids binary, {name}_body binary")
     return materialize(blocks, f"topk-{name}"), n
 
 
@@ -127,8 +128,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id
         for batch in batches:
             for row in batch.to_pylist():
                 ids, asked_ids = np.frombuffer(row["block_ids"], np.int64), np.frombuffer(row["asked_ids"], np.int64)
-                body = np.frombuffer(row["block_body"], np.int64).reshape(len(ids), -1)
-                wanted = np.frombuffer(row["asked_body"], np.int64).reshape(len(asked_ids), -1)
+                body = np.frombuffer(row["block_body"], row["block_kind"]).reshape(len(ids), -1).astype(np.int64)
+                wanted = np.frombuffer(row["asked_body"], row["asked_kind"]).reshape(len(asked_ids), -1).astype(np.int64)
                 width = min(body.shape[1], wanted.shape[1])
                 if number != (row["block"], width):
                     index, number = BlockIndex(body[:, :width]), (row["block"], width)
