@@ -102,18 +102,26 @@ def build_trees(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.
         row[codes] = len(table) + np.arange(len(codes), dtype=np.int32)
         table = np.concatenate((table, made))
     table[:, 0] /= max(1, 256 - (k - 1))  # one of the bytes of class 0
-    return ContextTrees(languages, symbol, row, -np.log2(np.maximum(table, 1e-30)).astype(np.float32))
-
-
-def _blend(below: np.ndarray, context: np.ndarray, follows: np.ndarray, lang: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Probabilities (context x class x language) from counts, escaping to `below` of the same shape."""
-    count = np.zeros(below.shape)
-    np.add.at(count, (context, follows, lang), n)
-    total, kinds, hit = count.sum(axis=1), (count > 0).sum(axis=1), count > 0
-    left = np.where(hit, 0.0, below)
-    scale = kinds / np.maximum(total + kinds, 1) / left.sum(axis=1)  # class 0 follows nothing, so something is always left
-    mixed = np.where(hit, count / np.maximum(total + kinds, 1)[:, None], left * scale[:, None])
-    return np.where((total > 0)[:, None], mixed, below)
+    np.maximum(table, 1e-30, out=table)
+    return ContextTrees(languages, symbol, row, np.negative(np.log2(table, out=table), out=table))
+
+
+def _blend(below: np.ndarray, context: np.ndarray, follows: np.ndarray, lang: np.ndarray, n: np.ndarray, block: int = 1024) -> np.ndarray:
+    """Probabilities (context x class x language) from counts, escaping to `below` of the same shape; some contexts at a time."""
+    order = np.argsort(context, kind="stable")
+    ends = np.searchsorted(context[order], np.arange(0, len(below) + block, block))
+    out = np.empty(below.shape, np.float32)
+    for k, start in enumerate(range(0, len(below), block)):
+        own = order[ends[k] : ends[k + 1]]
+        under = below[start : start + block].astype(np.float64)
+        count = np.zeros(under.shape)
+        np.add.at(count, (context[own] - start, follows[own], lang[own]), n[own])
+        total, kinds, hit = count.sum(axis=1), (count > 0).sum(axis=1), count > 0
+        left = np.where(hit, 0.0, under)
+        scale = kinds / np.maximum(total + kinds, 1) / left.sum(axis=1)  # class 0 follows nothing, so something is always left
+        mixed = np.where(hit, count / np.maximum(total + kinds, 1)[:, None], left * scale[:, None])
+        out[start : start + block] = np.where((total > 0)[:, None], mixed, under)
+    return out
 
 
 def fit(
@@ -133,7 +141,7 @@ def fit(
     bound = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])[F.col(lang)]
     picked = F.pmod(F.xxhash64(F.lit("ppm"), F.col(id)), F.lit(1 << 20)) < bound * (1 << 20)
     counts = gram_counts(rows.where(picked), lang, text)
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")  # a sample's distinct runs
     top = counts.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= max_grams).drop("_r").toArrow()
     languages = sorted(set(top.column("lang").to_pylist()))
     number = {x: i for i, x in enumerate(languages)}
