@@ -12,7 +12,9 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 #: White space of the split pattern. A run of it after another character always starts a new match of the pattern.
 SPACE = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-INNER = re.compile(f"[{SPACE}].*[^{SPACE}]", re.S)
+SPACES = frozenset(re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001)))))
+#: Marks of which any run behind a letter is a match of the pattern by itself.
+MARKS = ".,;:!?#&$%*|"
 
 
 def byte_characters() -> dict[int, str]:
@@ -41,28 +43,35 @@ class ChunkEncoder:
 
     Each match of the split pattern is encoded by itself, and matches never reach over the start of a chunk (see SPACE), so a
     text's ids are its chunks' ids in turn. New chunks are encoded together, joined to one text, and cut by the byte lengths of
-    the tokens. The cache is emptied when it holds `cache` chunks; chunks over `longest` characters are not kept.
+    the tokens; marks behind a letter are a match by themselves, so such chunks are put together from stem and marks. The cache has
+    two generations of about `cache` / 2 chunks: when the younger is full the older is forgotten, and what is met again comes
+    over. Chunks over `longest` characters are not kept.
     """
 
-    def __init__(self, tokenizer: Tokenizer, cache: int = 400_000, longest: int = 48):
-        self.tokenizer, self.size, self.longest = tokenizer, cache, longest
-        self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+    def __init__(self, tokenizer: Tokenizer, special: dict[str, int] | None = None, cache: int = 500_000, longest: int = 48):
+        self.tokenizer, self.special, self.size, self.longest = tokenizer, special or {}, cache, longest
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         back = {c: b for b, c in byte_characters().items()}
-        size = tokenizer.get_vocab_size(with_added_tokens=True)
-        self.pieces = [b""] * size
-        for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
+        vocabulary = tokenizer.get_vocab() | self.special
+        self.pieces = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
             self.pieces[i] = token.encode() if token in self.special else bytes(back[c] for c in token)
-        self.widths = np.fromiter(map(len, self.pieces), np.int64, size)
+        self.widths = np.fromiter(map(len, self.pieces), np.int64, len(self.pieces))
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def from_json(cls, path: str, **options) -> ChunkEncoder:
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
-        if kind.get("normalizer") or (kind.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+        split = kind.get("pre_tokenizer") or {}
+        if kind.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
             raise ValueError(f"{path} is not a plain byte-level vocabulary")
-        return cls(Tokenizer.from_file(path), **options)
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in kind["model"]["merges"]]
+        # the library's own cache of words is off, since it sees every chunk once
+        tokenizer = Tokenizer(models.BPE(vocab=kind["model"]["vocab"], merges=merges, cache_capacity=0, ignore_merges=kind["model"].get("ignore_merges", False)))
+        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+        return cls(tokenizer, {t["content"]: t["id"] for t in kind.get("added_tokens", [])}, **options)
 
     @classmethod
     def from_ranks(cls, path: str, pattern: str, **options) -> ChunkEncoder:
@@ -70,7 +79,7 @@ class ChunkEncoder:
         ranks, chars = read_ranks(path), byte_characters()
         text = {t: "".join(map(chars.__getitem__, t)) for t in ranks}
         model = models.BPE(
-            vocab={text[t]: i for t, i in ranks.items()}, merges=[(text[a], text[b]) for a, b in merges_of(ranks)], ignore_merges=True
+            vocab={text[t]: i for t, i in ranks.items()}, merges=[(text[a], text[b]) for a, b in merges_of(ranks)], ignore_merges=True, cache_capacity=0
         )
         tokenizer = Tokenizer(model)
         tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
@@ -82,14 +91,14 @@ class ChunkEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_new(self, chunks: list[str], together: int = 2048) -> dict[str, bytes]:
-        inner = [c for c in chunks if INNER.fullmatch(c)]  # these can stand behind one another
-        alone = [c for c in chunks if not INNER.fullmatch(c)]
+        inner = [c for c in chunks if c[0] in SPACES and c[-1] not in SPACES]  # these can stand behind one another
+        alone = [c for c in chunks if c[0] not in SPACES or c[-1] in SPACES]
         found = dict(zip(alone, self._plain(alone), strict=True))
         for start in range(0, len(inner), together):
             part = inner[start : start + together]
             raw = self._plain(["".join(part)])[0]
             ends = np.cumsum(self.widths[np.frombuffer(raw, "<u4")])
-            wanted = np.cumsum(np.fromiter((len(c.encode()) for c in part), np.int64, len(part)))
+            wanted = np.cumsum(np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)))
             cut = np.searchsorted(ends, wanted)
             if not np.array_equal(ends[cut], wanted):
                 raise AssertionError("a token reaches over the start of a chunk")
@@ -110,7 +119,9 @@ class ChunkEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known, out, open_ = self.cache, [None] * len(texts), []
+        if len(self.cache) > self.size // 2:
+            self.older, self.cache = self.cache, {}
+        known, older, out, open_ = self.cache, self.older, [None] * len(texts), []
         for k, text in enumerate(texts):
             chunks = self._segments(text)
             try:
@@ -119,12 +130,17 @@ class ChunkEncoder:
                 open_.append((k, chunks))
         if not open_:
             return out
-        new = {c for _, chunks in open_ for c in chunks}.difference(known)
-        special = {c for c in new if isinstance(c, bytes)}
-        found = self._encode_new([c for c in new if c not in special]) | {c: c for c in special}
-        if len(known) + len(found) > self.size:
-            found = {c: known[c] for _, chunks in open_ for c in chunks if c in known} | found
-            known.clear()
+        new: set[str | bytes] = set()
+        for _, chunks in open_:
+            new.update(chunks)
+        new.difference_update(known)
+        found = {c: older[c] if c in older else c for c in new if c in older or isinstance(c, bytes)}  # bytes: special ids
+        new.difference_update(found)
+        stems = {c: s for c in new if c[-1] in MARKS and (s := c.rstrip(MARKS))[-1:].isalpha()}
+        plain = new.difference(stems).union(stems.values(), [c[len(s) :] for c, s in stems.items()]).difference(known)
+        found.update([(c, older[c]) for c in plain if c in older])
+        found.update(self._encode_new([c for c in plain if c not in found]))
+        found.update([(c, (found.get(s) or known[s]) + (found.get(m := c[len(s) :]) or known[m])) for c, s in stems.items()])
         known.update(found)
         for k, chunks in open_:
             out[k] = b"".join(map(known.__getitem__, chunks))
