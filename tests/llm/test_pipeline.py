@@ -12,7 +12,7 @@ import plain  # noqa: E402
 from test_operators import ODD, SMALL, check_packing  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from riskloom.llm import repetition  # noqa: E402
+from riskloom.llm import jaccard, repetition  # noqa: E402
 
 
 def kept_by_rules(text: str) -> bool:
@@ -46,3 +46,46 @@ def test_stages_keep_columns_and_bear_odd_rows(spark):
     assert [(r.doc_id, r.text) for r in docs.collect()] == [(20, long)]
     assert corpus_pipeline.packing_stage(spark, empty, SMALL).count() == 0
     assert corpus_pipeline.packing_stage(spark, docs, SMALL).agg(F.sum("length")).first()[0] > 80
+
+
+def test_near_copies_of_similarity_from_80_percent_go(spark):
+    rng = np.random.default_rng(8)
+    sets = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    rows, wanted = [], set()
+    for k, words in enumerate([60, 150, 400, 1000] * 6):
+        text = [f"w{x}" for x in rng.integers(0, 5000, words)]
+        rows.append((100 * k, " ".join(text)))
+        wanted.add(100 * k)
+        for j, goal in enumerate([0.70, 0.76, 0.80, 0.85, 0.90, 0.95], 1):
+            copy = list(text)
+            for x in range(words):  # change words at random places until the next change would go under the goal
+                changed = list(copy)
+                changed[rng.integers(words)] = f"new{k}_{j}_{x}"
+                a, b = sets(text), sets(changed)
+                if len(a & b) / len(a | b) < goal:
+                    break
+                copy = changed
+            a, b = sets(text), sets(copy)
+            rows.append((100 * k + j, " ".join(copy)))
+            if len(a & b) / len(a | b) < 0.8:  # similar to the first one only in part, and less to the other copies
+                wanted.add(100 * k + j)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates_stage(spark, docs, SMALL).collect()} == wanted
+
+
+def test_near_copies_are_the_groups_of_all_pairs(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(docs.where("doc_id % 3 = 0").selectExpr("doc_id + 1000000", "concat_ws(' ', text, 'one', 'more', 'line')"))
+    docs = docs.unionAll(spark.createDataFrame([(-1, None), (-2, ""), (-3, "a b"), (-4, "A  b")], docs.schema))
+    words = {r.doc_id: (r.text or "").encode().lower().split() for r in docs.collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, min(len(w), 1)))} for i, w in words.items()}
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if j < i and (sets[i] == sets[j] or 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])) > 0):
+                a, b = root[i], root[j]
+                root = {k: min(a, b) if r in (a, b) else r for k, r in root.items()}
+    got = {}
+    for r in jaccard.near_copies(docs).collect():
+        got.setdefault(r.component, set()).add(r.doc_id)
+    assert {min(g): g for g in got.values()} == {r: {i for i in root if root[i] == r} for r in root.values()}
