@@ -5,17 +5,17 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import map_batches, most_frequent
+from riskloom.llm.base import map_batches
 from riskloom.plans.materialize import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN = re.compile(r"[^\W_]+")
+LONGEST = 24  # characters of a word
 
 
 def host_of(url: Column) -> Column:
@@ -43,28 +43,27 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
     return name, verdict
 
 
-def lexicon(texts: DataFrame, text: str, max_words: int = 30_000, longest: int = 24) -> dict[str, int]:
-    """The most frequent words of all texts and their counts, at most `max_words`; markup, scripts and styles are left out."""
+def lexicon(texts: DataFrame, text: str, longest: int = LONGEST) -> DataFrame:
+    """All words of all texts, up to `longest` characters, and their counts: word, n. Markup, scripts and styles are left out."""
     plain = F.regexp_replace(F.lower(F.col(text)), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
     words = texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where((F.length("word") > 0) & (F.length("word") <= longest))
-    counts = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
-    return {r["word"]: r["n"] for r in most_frequent(counts, "n", max_words).collect()}
+    return materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
 
 
 class Segmenter:
     """Splits a concatenated name into its most probable words under a unigram model (Viterbi).
 
     A word of the lexicon has its share of all counts as its probability; any other run of n characters has 1 / (total * 10^n).
+    `counts` need only hold the words that are in the name, if `total` gives the sum of all counts.
     """
 
-    def __init__(self, counts: dict[str, int], cache: int = 100_000):
-        total = max(sum(counts.values()), 1)
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = max(sum(counts.values()) if total is None else total, 1)
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
         self.longest = max(map(len, counts), default=1)
         self.base, self.per = math.log(total), math.log(10)
-        self.words = lru_cache(cache)(self._words)
 
-    def _words(self, name: str) -> tuple[str, ...]:
+    def words(self, name: str) -> tuple[str, ...]:
         best, back, known = [0.0], [0], [False]
         for j in range(1, len(name) + 1):
             # an unknown run may be of any length: the shortest reach is from the place before, or longer with one base cost
@@ -82,18 +81,36 @@ class Segmenter:
             j = back[j]
         return tuple(reversed(out))
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host, marked h:, and of the path, marked p:, names split at punctuation first; numbers are one token."""
-        out = []
-        for mark, text in (("h:", host), ("p:", path.lower())):
-            for name in TOKEN.findall(text):
-                out += [mark + "0"] if name.isdigit() else [mark + w for w in self.words(name)]
-        return out
+
+def segments(names: DataFrame, words: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """Columns name and words (array) of every distinct name that is not null, cut by the whole lexicon.
+
+    The distinct substrings of the names are looked up in the word counts by a join, so neither table has to fit anywhere.
+    """
+    total = words.agg(F.sum("n")).first()[0] or 0
+    names = materialize(names.select("name").where("name IS NOT NULL").distinct(), "names")
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                for start in range(0, len(name), 1024):  # a long name goes in pieces
+                    found = sorted({name[i:j] for i in range(start, min(start + 1024, len(name))) for j in range(i + 1, min(i + longest, len(name)) + 1)})
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(found)), pa.array(found)], names=["name", "word"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("name").to_pylist(), batch.column("held").to_pylist())
+            split = [Segmenter({r["word"]: r["n"] for r in held or ()}, total).words(name) for name, held in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(split, pa.list_(pa.string()))], names=["name", "words"])
+
+    met = map_batches(names, parts, "name string, word string").join(words, "word")
+    held = met.groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("held"))
+    return map_batches(names.join(held, "name", "left").select("name", "held"), cut, "name string, words array<string>")
 
 
 def judge(
     pages: DataFrame, rules: list[tuple[str, str]], id: str = "page_id", url: str = "url", text: str = "html",
-    max_words: int = 30_000, max_tokens: int = 100_000, prior_words: dict[str, str] | None = None,
+    prior_words: dict[str, str] | None = None,
 ) -> DataFrame:
     """`id`, host, path, rule, verdict and block_odds of every row.
 
@@ -102,45 +119,53 @@ def judge(
     against allow are summed over the words with add-one smoothing; above 0 is block, 0 and below allow. The class odds are taken
     as even, so that the share of urls that rules happen to reach does not decide. `prior_words` (word -> verdict) count as one
     more url each. Without any decided url all are allowed. Null urls and urls without `://` have empty host and path.
-    Lexicon and token table are broadcast; max_words and max_tokens bound them.
+    Names are cut and rated once each, by joins with all word counts and all token counts; every row then collects the log odds
+    of its names and adds them exactly, whatever their order.
     """
     host, path = host_of(F.col(url)), path_of(F.col(url))
     name, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     rows = pages.select(id, host.alias("host"), path.alias("path"))
     ruled = rows.select(id, "host", "path", name.alias("rule"), verdict.alias("ruled"))
     spark = pages.sparkSession
-    split = spark.sparkContext.broadcast(lexicon(pages, text, max_words))
-    schema = f"{id} {pages.schema[id].dataType.simpleString()}, host string, path string, rule string, ruled string, tokens array<string>"
+    rows = materialize(ruled.withColumn("_row", F.monotonically_increasing_id()), "urls")
+    schema = "_row long, ruled string, mark string, name string"
 
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Segmenter(split.value)
+    def names_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [cut.tokens(h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
-
-    cut = materialize(map_batches(ruled, segment, schema), "urls")
-    seen = cut.where("ruled IS NOT NULL").select("ruled", F.explode("tokens").alias("token"))
-    for word, what in (prior_words or {}).items():
-        seen = seen.unionAll(spark.sql(f"SELECT '{what}' AS ruled, 'h:{word}' AS token"))
+            out = []
+            for row, what, host, path in zip(*(batch.column(c).to_pylist() for c in ("_row", "ruled", "host", "path"))):
+                for mark, body in (("h:", host), ("p:", path.lower())):
+                    out += [(row, what, mark, None if name.isdigit() else name) for name in TOKEN.findall(body)]  # numbers are one token
+            columns = zip(*out) if out else [()] * 4
+            types = (pa.int64(), pa.string(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["_row", "ruled", "mark", "name"])
+
+    named = materialize(map_batches(rows.select("_row", "ruled", "host", "path"), names_of, schema), "names")
     block, allow = F.count_if(F.col("ruled") == "block"), F.count_if(F.col("ruled") == "allow")
-    counts = materialize(seen.groupBy("token").agg(block.alias("b"), allow.alias("a"), F.count(F.lit(1)).alias("n")), "tokens")
-    total = counts.agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("n")).first()
-    top = most_frequent(counts, "n", max_tokens).collect()
-    if total["b"] or total["a"]:
-        space = total["n"] + 1
-        base = math.log(((total["a"] or 0) + space) / ((total["b"] or 0) + space))
-        odds = {r["token"]: math.log((r["b"] + 1) / (r["a"] + 1)) + base for r in top}
-    else:
-        base, odds = 0.0, {}
-    shared = spark.sparkContext.broadcast((odds, base))
-
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, other = shared.value
+    tally = named.groupBy("mark", "name").agg(block.alias("b"), allow.alias("a"))
+    split = segments(named, lexicon(pages, text))
+    token = F.explode(F.transform(F.coalesce("words", F.array(F.lit("0"))), lambda w: F.concat("mark", w))).alias("token")
+    # from here on a name is one row per mark, however frequent; numbers are names of their own (null)
+    cut = materialize(tally.join(split, "name", "left").select("mark", "name", "b", "a", token), "tokens")
+    seen = cut.select("token", "b", "a").where("b + a > 0")
+    for word, what in (prior_words or {}).items():
+        seen = seen.unionAll(spark.sql(f"SELECT 'h:{word}' AS token, {int(what == 'block')}L AS b, {int(what == 'allow')}L AS a"))
+    counts = materialize(seen.groupBy("token").agg(F.sum("b").alias("tb"), F.sum("a").alias("ta")), "counts")
+    total = counts.agg(F.sum("tb").alias("b"), F.sum("ta").alias("a"), F.count(F.lit(1)).alias("n")).first()
+    space = total["n"] + 1
+    base = math.log(((total["a"] or 0) + space) / ((total["b"] or 0) + space)) if total["n"] else 0.0
+    own = F.log((F.coalesce("tb", F.lit(0)) + 1) / (F.coalesce("ta", F.lit(0)) + 1)) + F.lit(base)
+    odds = cut.join(counts, "token", "left").groupBy("mark", "name").agg(F.collect_list(own).alias("odds"))
+    # a name has one row of odds, so adaptive execution may split the rows of a frequent name over tasks
+    rated = named.join(odds, named.mark.eqNullSafe(odds.mark) & named.name.eqNullSafe(odds.name)).select("_row", "odds")
+    votes = rated.groupBy("_row").agg(F.flatten(F.collect_list("odds")).alias("odds"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            value = [math.fsum(table.get(t, other) for t in tokens) for tokens in batch.column("tokens").to_pylist()]
-            kept = [batch.column(c) for c in batch.schema.names if c != "tokens"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(value, pa.float64())], names=[c for c in batch.schema.names if c != "tokens"] + ["block_odds"])
+            value = pa.array([math.fsum(x) for x in batch.column("odds").to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), value], names=["_row", "block_odds"])
 
-    rated = map_batches(cut, rate, schema.rsplit(",", 1)[0] + ", block_odds double")
+    rated = rows.join(map_batches(votes, add, "_row long, block_odds double"), "_row", "left")
+    rated = rated.withColumn("block_odds", F.coalesce("block_odds", F.lit(0.0)))
     final = F.coalesce("ruled", F.when(F.col("block_odds") > 0, "block").otherwise("allow"))
     return rated.select(id, "host", "path", "rule", final.alias("verdict"), "block_odds")

@@ -407,6 +407,19 @@ def test_segmentation_and_votes(spark):
     assert got[200] == "block" and got[201] == "allow"
 
 
+def test_rare_words_and_tokens_count_in_large_tables(spark):
+    letters = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    rare = spark.range(110_000).selectExpr("id + 1000 AS page_id", "concat('http://b.net/q', id, 'q') AS url", "'' AS html")
+    words = " ".join(f"{letters(i)} {letters(i)}" for i in range(40_000))  # over 30,000 words more frequent than the two of the host
+    rows = [(1, "http://zebrafinch.org/fr/goodsign", "zebra finch"), (2, "http://a.com/goodsign", words), (3, "http://a.com/q5q", "")]
+    pages = rare.unionAll(spark.createDataFrame(rows, rare.schema)).repartition(4)
+    got = {r.page_id: r for r in urls.judge(pages, queries.URL_RULES).where("page_id < 1004").collect()}
+    # q5q was seen once under block; goodsign once under allow: the odds differ by two factors of two
+    assert got[3].block_odds - got[2].block_odds == pytest.approx(2 * np.log(2))
+    found = {r.name: tuple(r.words) for r in urls.segments(spark.createDataFrame([("zebrafinch",)], "name string"), urls.lexicon(pages, "html")).collect()}
+    assert found == {"zebrafinch": ("zebra", "finch")}
+
+
 # licences
 
 
