@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard, language, packing, repetition
+from riskloom.llm import language, packing, repetition, simhash
 from riskloom.plans.materialize import materialize
 
 ORACLE_SQL = None  # trees, fingerprints and token ids are beyond SQL; tests hold run() against a plain version
@@ -30,12 +30,12 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id (null ids last, then by text hash).
 
-    Near copies share 80 % or more of their five-word shingles (exact Jaccard similarity), directly or over other documents.
+    Near copies are linked as in `op7`: fingerprints of four-word shingles that differ in at most four bits, directly or over others.
     Exact repetitions of a row, and rows that share id and text, are one document and leave one row.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key")
     marked = docs.withColumns({"_key": key, "_hash": F.xxhash64("text")})
-    rows = jaccard.near_copies(marked, keep=("doc_id", "_key", "_hash"))
+    rows = simhash.simhash_components(marked, radius=4, shingle=4, keep=("_key", "_hash"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_key", "_hash")).alias("first")
     chosen = rows.groupBy("component").agg(first).select("first._key", "first._hash")
     met = marked.join(chosen, ["_key", "_hash"])
