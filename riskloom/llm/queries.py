@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bytebpe, language, licences, packing, quality, repetition, simhash, topk, urls, warc
+from riskloom.llm import bytebpe, language, licences, packing, quality, repetition, runs, simhash, topk, urls, warc
 from riskloom.llm.base import query, table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -154,3 +154,18 @@ FROM d LEFT JOIN l ON d.text_digest = l.digest LEFT JOIN h USING (r)"""
 @query(LICENCE_SQL)
 def op10_license_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), licences.known_licences(spark))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = """aggregate(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>), (b, r) ->
+      IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"""  # runs come by start, then period, so ties keep the first
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    told = runs.periodic_runs(docs).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.expr(best).alias("b"), F.sha2(F.expr(lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    return told.select(
+        "doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("b.length * 1000 div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )

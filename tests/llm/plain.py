@@ -74,3 +74,34 @@ def ppm_bits(training: dict[str, list[bytes]], text: bytes) -> dict[str, float]:
 
 def fold_of(doc_id: int, of: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % of
+
+
+def plant(doc_id: int, words: list[str]) -> list[str]:
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def runs(words: list, least: int = 24, repeats: int = 3) -> list[tuple[int, int, int]]:
+    """Every lag, every place: maximal stretches of words that come again `q` later, smallest periods only."""
+    n, out = len(words), {}
+    for q in range(1, n // repeats + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(least, repeats * q):
+                part = words[i : j + q]
+                if not any(part[k:] == part[:-k] for k in range(1, q)):
+                    out[i, q] = (i, len(part), q)
+            i = max(j, i + 1)
+    return [out[k] for k in sorted(out)]
+
+
+def collapse(words: list[str], found: list[tuple[int, int, int]]) -> list[str]:
+    return [w for i, w in enumerate(words) if not any(s + q <= i < s + n for s, n, q in found)]
