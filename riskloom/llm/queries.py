@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bytebpe, language, licences, packing, quality, repetition, runs, simhash, topk, urls, warc
+from riskloom.llm import bytebpe, language, licences, packing, quality, repetition, runs, simhash, topk, urls, variants, warc
 from riskloom.llm.base import query, table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -156,6 +156,12 @@ def op10_license_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), licences.known_licences(spark))
 
 
+@query()
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), typos=True)
+    return variants.spelling_forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query()
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = runs.planted(table(spark, sf_dir, "documents").select("doc_id", "text"))

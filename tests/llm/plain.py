@@ -105,3 +105,45 @@ def runs(words: list, least: int = 24, repeats: int = 3) -> list[tuple[int, int,
 
 def collapse(words: list[str], found: list[tuple[int, int, int]]) -> list[str]:
     return [w for i, w in enumerate(words) if not any(s + q <= i < s + n for s, n, q in found)]
+
+
+def word_table(rows: list[tuple[int, str | None]]) -> dict[str, int]:
+    """Counts of the words of at least six letters and five occurrences, with the planted typos."""
+    count = defaultdict(int)
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    return {w: n for w, n in count.items() if len(w) >= 6 and n >= 5}
+
+
+def near(a: str, b: str) -> bool:
+    """Exactly one inserted, deleted or replaced code point."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k:] == b[k + 1 :]
+
+
+def forms(count: dict[str, int]) -> set[tuple]:
+    by_size = defaultdict(list)
+    for w in count:
+        by_size[len(w)].append(w)
+    rows, form = {}, {}
+    for w, n in count.items():
+        others = [o for size in (len(w) - 1, len(w), len(w) + 1) for o in by_size[size] if near(w, o)]
+        best = min(others, key=lambda o: (-count[o], o), default=None)
+        form[w] = best if best is not None and count[best] >= 5 * n else None
+        rows[w] = len(others)
+    out = set()
+    for w, n in count.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.add((w, form[w], root, n, rows[w], count.get(form[w])))
+    return out
