@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bytebpe, language, licences, packing, quality, repetition, runs, simhash, topk, urls, variants, warc
+from riskloom.llm import bytebpe, language, licences, longmatches, packing, quality, repetition, runs, simhash, topk, urls, variants, warc
 from riskloom.llm.base import query, table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -175,3 +175,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(
         "doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("b.length * 1000 div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
     )
+
+
+@query()
+def op13_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = longmatches.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed")
+    return cleaned.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

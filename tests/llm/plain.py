@@ -147,3 +147,19 @@ def forms(count: dict[str, int]) -> set[tuple]:
             root = form[root]
         out.add((w, form[w], root, n, rows[w], count.get(form[w])))
     return out
+
+
+def without_repeats(rows: list[tuple], window: int) -> list[tuple]:
+    """(id, bytes, removed stretches, bytes left) of texts in corpus order: every window is looked up among all earlier ones."""
+    seen, out = set(), []
+    for doc_id, text in rows:
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - window + 1):
+            w = raw[i : i + window]
+            if w in seen:
+                gone[i : i + window] = bytes([1]) * window
+            seen.add(w)
+        spans = [(m.start(), m.end()) for m in re.finditer(b"\x01+", bytes(gone))]
+        out.append((doc_id, len(raw), spans, bytes(b for b, g in zip(raw, gone) if not g)))
+    return out
