@@ -35,10 +35,23 @@ def release(spark: SparkSession) -> int:
     """Delete the tables this process has written. Call it once results are saved: DataFrames built on them stop working."""
     gone = 0
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        gone += _delete(spark, _written.pop())
     return gone
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that `materialize` returned, once nothing will read it any more; tables it did not write are left alone."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        mine = next((path for path in _written if folder.rstrip("/").endswith(path.split(":", 1)[-1])), None)
+        if mine:
+            _written.remove(mine)
+            _delete(table.sparkSession, mine)
+
+
+def _delete(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _quoted(name: str) -> str:
     return f"`{name}`"

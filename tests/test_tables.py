@@ -1,5 +1,6 @@
 """Sources, sinks, stores, search and stacking."""
 
+import pathlib
 import tempfile
 
 import pytest
@@ -165,3 +166,18 @@ def test_pair_cells_compile_with_many_columns(spark):
     cells = search.pair_cells(df, cols, "target", "fold", 5)
     assert cells.select("f1", "f2").distinct().count() == 37 * 36 // 2
     assert cells.select(F.sum(F.col("n0") + F.col("n1") + F.col("n2") + F.col("n3") + F.col("n4"))).first()[0] == 200 * 37 * 36 // 2
+
+
+def test_discard_deletes_only_what_was_written(spark, tmp_path):
+    from riskloom.plans import materialize as m
+
+    own = str(tmp_path / "own")
+    spark.range(3).write.parquet(own)
+    m.discard(spark.read.parquet(own))
+    assert spark.read.parquet(own).count() == 3
+    table = m.materialize(spark.range(5), "gone")
+    (folder,) = {f.rsplit("/", 1)[0].split(":", 1)[-1] for f in table.inputFiles()}
+    folder = "/" + folder.lstrip("/")
+    assert pathlib.Path(folder).exists()
+    m.discard(table)
+    assert not pathlib.Path(folder).exists()
