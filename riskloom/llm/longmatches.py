@@ -20,8 +20,8 @@ from riskloom.plans.materialize import materialize
 GRAM = 32
 #: Windows of one segment; a longer stretch with one least hash (a periodic text) is cut, which loses no window.
 MOST_WINDOWS = 4096
-#: Bytes of new text that a bucket indexes at once, and of text in a bucket on average.
-CHUNK_BYTES, BUCKET_BYTES = 1 << 20, 2 << 20
+#: Bytes of new text that a bucket indexes at once (sorting it costs less than reading it through another index), and of text in a bucket on average.
+CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 2 << 20
 #: A gram with more occurrences is compared window by window instead of in one bucket.
 HOT = 20_000
 SPAN = ArrayType(StructType().add("start", "long").add("end", "long"))
@@ -168,7 +168,7 @@ def repeated_windows(docs: DataFrame, id: str, window: int, hot: int = HOT) -> D
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "body"):
+            for part in slices(batch, "body", max_bytes=1 << 18):  # arrays of a size that stays in the processor's cache
                 owner, first, windows, gram, twice = segments(*blobs(part.column("body")), window)
                 keys = part.column("key").to_numpy()[owner]
                 span = first << 13 | twice.astype(np.int64) << 12 | (windows - 1)
