@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from riskloom.llm.base import blobs, map_batches, parallelism, slices
 from riskloom.llm.runindex import RunIndex
-from riskloom.plans.materialize import materialize
+from riskloom.plans.materialize import discard, materialize
 
 #: Bytes of the grams whose least hash in a window decides where the window is compared. At most the shortest match.
 GRAM = 32
@@ -182,14 +183,14 @@ def repeated_windows(docs: DataFrame, id: str, window: int, hot: int = HOT) -> D
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "body"):
+            for part in unpacked(batch):
                 pair = pa.table({"i": part.column(id), "k": part.column("key")})
                 part = part.take(pc.sort_indices(pair, sort_keys=[("i", "ascending"), ("k", "ascending")], null_placement="at_end"))
                 key = part.column("key").to_numpy()
                 once = np.concatenate(([True], key[1:] != key[:-1]))  # a repeated row is the same document
                 yield from _emitted(part if once.all() else part.filter(pa.array(once)), id, window, schema)
 
-    parts = materialize(map_batches(texts.select(id, "key", "body").join(shared, "key"), emit, schema), "segments")
+    parts = materialize(map_batches(packed(texts.select(id, "key", "body")).join(shared, "key"), emit, schema), "segments")
     compared = parts.where("kind = 1")
     bytes_ = compared.agg(F.sum(F.length("body"))).first()[0] or 0
     buckets = max(1, -(-bytes_ // BUCKET_BYTES))
@@ -215,7 +216,30 @@ def repeated_windows(docs: DataFrame, id: str, window: int, hot: int = HOT) -> D
     earliest = single.groupBy("gram", "more").agg(F.min(F.struct(F.col(id).isNull().alias("late"), id, "key", "first")).alias("e"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = single.join(earliest.select("gram", "more", F.col("e.key").alias("k"), F.col("e.first").alias("f")), ["gram", "more"]).where("key != k OR first != f")
     known = parts.where("kind = 0").select("key", F.col("first").alias("start"), (F.col("first") + F.col("windows")).alias("end"))
-    return known.unionAll(found).unionAll(later.select("key", F.col("first").alias("start"), (F.col("first") + 1).alias("end")))
+    marks = known.unionAll(found).unionAll(later.select("key", F.col("first").alias("start"), (F.col("first") + 1).alias("end")))
+    marks = materialize(marks, "marks")
+    discard(parts)
+    return marks
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """`texts` with compressed bodies: they cross a shuffle in about half the room."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            at = batch.schema.get_field_index("body")
+            yield batch.set_column(at, "body", pa.array([pack(b) for b in batch.column(at).to_pylist()], pa.binary()))
+
+    return map_batches(texts, run, texts.schema)
+
+
+def unpacked(batch: pa.RecordBatch, at_once: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch of packed texts with their bodies, about `at_once` packed bytes at a time."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    at = batch.schema.get_field_index("body")
+    for part in slices(batch, "body", max_bytes=at_once):
+        yield part.set_column(at, "body", pa.array([unpack(b) for b in part.column(at).to_pylist()], pa.binary()))
 
 
 def _marks(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
@@ -286,13 +310,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", id: str = "doc_id", wind
     keyed = docs.select(F.col(id), body.alias("body")).withColumn("key", F.xxhash64(F.col(id).isNull(), id, "body"))
     marks = repeated_windows(keyed, id, window, hot)
     per_text = marks.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
-    joined = keyed.join(per_text, "key", "left").select(id, "body", "marks")
+    joined = packed(keyed).join(per_text, "key", "left").select(id, "body", "marks")
     schema = joined.select(id).schema.add("n_bytes", "long").add("spans", SPAN).add("kept", "binary")
     arrow_span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "body"):
+            for part in unpacked(batch):
                 marks = part.column("marks")
                 flat, edge = marks.flatten(), np.cumsum(np.concatenate(([0], pc.fill_null(pc.list_value_length(marks), 0).to_numpy())))
                 start, end = (flat.field(c).to_numpy() for c in ("start", "end"))
