@@ -108,7 +108,7 @@ class OneHot:
             F.count(F.lit(1)).alias("n_columns"), F.count_if(F.col("n_train") == 0).alias("empty_in_train"), F.count_if(F.col("n_test") == 0).alias("empty_in_test")
         )
 
-    def _spots(self, df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    def spots(self, df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
         """One code column per encoded column; unknown values get the code one past the last."""
         spots = {c: f"_spot{i}" for i, c in enumerate(self.width)}
         for c, spot in spots.items():
@@ -117,7 +117,7 @@ class OneHot:
 
     def positions(self, df: DataFrame, output: str = "position", keep: Sequence[str] = ("id",)) -> DataFrame:
         """Long form: one row per 1 in the matrix (keep..., position)."""
-        df, spots = self._spots(df.select(*keep, *[F.col(f"`{c}`") for c in self.width if c not in keep]))
+        df, spots = self.spots(df.select(*keep, *[F.col(f"`{c}`") for c in self.width if c not in keep]))
         offset, cells = 0, []
         for c, spot in spots.items():
             cells.append(F.when(F.col(spot) < self.width[c], F.col(spot) + offset))
@@ -131,7 +131,7 @@ class OneHot:
     def blocks(self, df: DataFrame, groups: dict[str, Sequence[str]], extra: Sequence[str] = ()) -> DataFrame:
         """Add one vector per group of columns (name -> columns), all in one pass; `extra` is appended to each of them."""
         keep = [F.col(f"`{c}`") for c in df.columns]
-        df, spots = self._spots(df)
+        df, spots = self.spots(df)
         # nominal metadata tells the encoder its width (one more for unknown values, dropped), so it needs no pass
         sized = {
             spot: F.col(spot).cast("double").alias(spot, metadata={"ml_attr": {"type": "nominal", "num_vals": self.width[c] + 1}})

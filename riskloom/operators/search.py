@@ -13,16 +13,18 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalars import combine
 from riskloom.operators.encoders import MEAN_WEIGHT, OneHot, smoothed_mean
 from riskloom.operators.folds import assign_folds
-from riskloom.operators.learners import Learner, sgd_logistic
+from riskloom.operators.learners import Learner
 from riskloom.operators.lookup import lookup_join
 from riskloom.operators.metrics import gini, gini_of_cells
 from riskloom.operators.oof import oof_predict
+from riskloom.operators.shared_fits import Codes, FoldFits, fit_shared, shared_scores
 from riskloom.plans.materialize import materialize
 from riskloom.plans.vocabulary import real_text, value_kind
 
-# fixed values: least gain of a screened and of a greedily added pair
+# fixed values: least gain of a screened and of a greedily added pair, penalty of the refitted model
 SCREEN_GAIN = 1e-5
 FORWARD_GAIN = 1e-6
+SCREEN_ALPHA = 0.0005
 
 
 def pair_candidates(cols: Sequence[str]) -> list[tuple[str, str]]:
@@ -126,18 +128,43 @@ def top_pairs(screen: DataFrame, top: int = 30, by: str = "gain") -> DataFrame:
 
 @dataclass
 class PairTables:
-    """Rows with a one-hot vector of the single columns (`base`) and one vector per candidate pair."""
+    """Rows with the single columns (block 0 to len(cols) - 1) and every candidate pair encoded by one vocabulary."""
 
-    rows: DataFrame
+    encoder: OneHot
+    combined: DataFrame
+    cols: list[str]
     pairs: list[tuple[str, str]]
+    made: list[str]
+    _rows: DataFrame | None = None
+    _codes: Codes | None = None
+
+    def codes(self) -> Codes:
+        """Positions per block, rows with equal positions and fold put together; written once."""
+        if self._codes is None:
+            columns = [*self.cols, *self.made]
+            df, spots = self.encoder.spots(self.combined)
+            code = F.array(*[F.col(spots[c]).cast("int") if c in spots else F.lit(0) for c in columns])
+            cells = df.groupBy("fold", code.alias("codes")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("target").cast("long")).alias("pos"))
+            cells = materialize(cells.withColumn("fold", F.col("fold").cast("int")), "pair-codes")
+            folds = sorted(r["fold"] for r in cells.select("fold").distinct().collect())
+            self._codes = Codes(cells, [self.encoder.width.get(c, 0) for c in columns], folds)
+        return self._codes
+
+    def blocks(self, chosen: Sequence[tuple[str, str]]) -> list[int]:
+        return [*range(len(self.cols)), *[len(self.cols) + self.pairs.index(p) for p in chosen]]
 
     def features(self, chosen: Sequence[tuple[str, str]]) -> DataFrame:
+        """The same as one vector per row, for learners that fit one model at a time."""
+        if self._rows is None:
+            groups = {"base": self.cols, **{f"pair{i}": [c] for i, c in enumerate(self.made)}}
+            rows = self.encoder.blocks(self.combined, groups).select("id", "target", "fold", *groups)
+            self._rows = materialize(rows, "pairs", ["fold"])
         blocks = ["base", *[f"pair{self.pairs.index(p)}" for p in chosen]]
-        return VectorAssembler(inputCols=blocks, outputCol="features").transform(self.rows).select("id", "target", "fold", "features")
+        return VectorAssembler(inputCols=blocks, outputCol="features").transform(self._rows).select("id", "target", "fold", "features")
 
 
 def pair_tables(train: DataFrame, test: DataFrame | None, cols: Sequence[str], pairs: Sequence[tuple[str, str]], label: str = "target") -> PairTables:
-    """Encode the single columns and all candidate pairs once and store them; candidates then only select blocks.
+    """Encode the single columns and all candidate pairs once; candidates then only select blocks.
 
     One vocabulary serves all of them, so neither the passes over the rows nor the plan's depth grow with the number of pairs.
     """
@@ -145,47 +172,68 @@ def pair_tables(train: DataFrame, test: DataFrame | None, cols: Sequence[str], p
     df = combine(train, pairs, name=name)
     other = combine(test, pairs, name=name) if test is not None else None
     made = [name.format(a=a, b=b) for a, b in pairs]
-    groups = {"base": list(cols), **{f"pair{i}": [c] for i, c in enumerate(made)}}
-    df = OneHot([*cols, *made]).fit(df, other).blocks(df, groups)
-    df = df.select("id", F.col(label).alias("target"), "fold", *groups)
-    return PairTables(materialize(df, "pairs", ["fold"]), list(pairs))
+    encoder = OneHot([*cols, *made]).fit(df, other)
+    return PairTables(encoder, df.withColumn("target", F.col(label)), list(cols), list(pairs), made)
 
 
-def _fit_scores(tables: PairTables, chosen: Sequence[tuple[str, str]], learner: Learner) -> dict[int, float]:
-    """Gini per fold and pooled (-1) with the chosen pairs added: a handful of numbers."""
-    result = oof_predict(tables.features(chosen), learner, store=False)
-    return {r["fold"]: r["gini"] for r in result.scores().collect()}
+class _Fits:
+    """Fold scores of the model with some pairs added: by shared passes for all choices at once or, with a learner, one model after the other."""
 
+    def __init__(self, tables: PairTables, alpha: float, learner: Learner | None):
+        self.tables, self.alpha, self.learner = tables, alpha, learner
+        self.models: dict[tuple[tuple[str, str], ...], FoldFits] = {}
 
-def screen_exact(tables: PairTables, learner: Learner | None = None, min_gain: float = SCREEN_GAIN) -> DataFrame:
-    """Refit the linear model once per candidate pair: (f1, f2, gini, delta, kept), against the model without pairs."""
-    learner = learner or sgd_logistic(0.0005)
-    base = _fit_scores(tables, [], learner)[-1]
-    rows = []
-    for a, b in tables.pairs:
-        found = _fit_scores(tables, [(a, b)], learner)[-1]
-        rows.append((a, b, found, found - base, int(found > base + min_gain)))
-    return tables.rows.sparkSession.createDataFrame(rows, "f1 string, f2 string, gini double, delta double, kept int")
+    def scores(self, choices: Sequence[Sequence[tuple[str, str]]], start: Sequence[tuple[str, str]] | None = None) -> list[dict[int, float]]:
+        """Gini per fold and pooled (-1) of each choice: a handful of numbers. `start` names a fitted choice to begin from."""
+        if self.learner is not None:
+            results = [oof_predict(self.tables.features(c), self.learner, store=False) for c in choices]
+            return [{r["fold"]: r["gini"] for r in x.scores().collect()} for x in results]
+        codes = self.tables.codes()
+        fits = fit_shared(codes, [self.tables.blocks(c) for c in choices], self.alpha, start=self.models[tuple(start)] if start is not None else None)
+        self.models = {k: v for k, v in self.models.items() if start is not None and k == tuple(start)} | {tuple(c): f for c, f in zip(choices, fits)}
+        return shared_scores(codes, fits)
 
 
-def forward_select(tables: PairTables, learner: Learner | None = None, min_gain: float = FORWARD_GAIN, all_folds: bool = False) -> DataFrame:
+def screen_exact(tables: PairTables, learner: Learner | None = None, min_gain: float = SCREEN_GAIN, alpha: float = SCREEN_ALPHA) -> DataFrame:
+    """Refit the linear model once per candidate pair: (f1, f2, gini, delta, kept), against the model without pairs.
+
+    The logistic models of all candidates and folds (penalty `alpha`) are fitted in shared passes, beginning at the model without pairs; another `learner` is fitted one
+    model at a time.
+    """
+    fits = _Fits(tables, alpha, learner)
+    base = fits.scores([[]])[0][-1]
+    found = fits.scores([[p] for p in tables.pairs], start=[])
+    rows = [(a, b, s[-1], s[-1] - base, int(s[-1] > base + min_gain)) for (a, b), s in zip(tables.pairs, found)]
+    return tables.combined.sparkSession.createDataFrame(rows, "f1 string, f2 string, gini double, delta double, kept int")
+
+
+def forward_select(
+    tables: PairTables, learner: Learner | None = None, min_gain: float = FORWARD_GAIN, all_folds: bool = False, alpha: float = SCREEN_ALPHA, ahead: int = 8
+) -> DataFrame:
     """Greedy pass over the candidates in their order: a pair stays if the mean fold score grows by more than
-    `min_gain` or, with all_folds, if the score of every fold grows. One row per step."""
-    learner = learner or sgd_logistic(0.0005)
+    `min_gain` or, with all_folds, if the score of every fold grows. One row per step.
+
+    The next `ahead` candidates are fitted together against the pairs kept so far; those after the first one that stays are fitted again
+    with it, so the outcome is that of one candidate at a time.
+    """
+    fits = _Fits(tables, alpha, learner)
     chosen: list[tuple[str, str]] = []
-    best = _fit_scores(tables, chosen, learner)
-    rows = []
-    for step, (a, b) in enumerate(tables.pairs):
-        found = _fit_scores(tables, [*chosen, (a, b)], learner)
-        gains = [found[j] - best[j] for j in best if j >= 0]
-        # mean AUC grows by half of what mean Gini grows
-        kept = min(gains) > 0 if all_folds else sum(gains) / len(gains) / 2.0 > min_gain
-        rows.append((step, a, b, sum(found[j] for j in found if j >= 0) / len(gains), min(gains), int(kept)))
-        if kept:
-            chosen.append((a, b))
-            best = found
+    best = fits.scores([chosen])[0]
+    rows, step = [], 0
+    while step < len(tables.pairs):
+        window = tables.pairs[step : step + (ahead if learner is None else 1)]
+        for (a, b), found in zip(window, fits.scores([[*chosen, p] for p in window], start=list(chosen))):
+            gains = [found[j] - best[j] for j in best if j >= 0]
+            # mean AUC grows by half of what mean Gini grows
+            kept = min(gains) > 0 if all_folds else sum(gains) / len(gains) / 2.0 > min_gain
+            rows.append((step, a, b, sum(found[j] for j in found if j >= 0) / len(gains), min(gains), int(kept)))
+            step += 1
+            if kept:
+                chosen.append((a, b))
+                best = found
+                break
     schema = "step int, f1 string, f2 string, mean_gini double, min_gain double, kept int"
-    return tables.rows.sparkSession.createDataFrame(rows, schema)
+    return tables.combined.sparkSession.createDataFrame(rows, schema)
 
 
 def improves_everywhere(deltas: DataFrame, by: Sequence[str] = ("f1", "f2"), delta: str = "delta") -> DataFrame:
