@@ -15,7 +15,8 @@ from riskloom.plans.materialize import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN = re.compile(r"[^\W_]+")
-LONGEST = 24  # characters of a word
+#: Letters of the keys by which words are looked up in names: shorter words whole, longer ones by their beginnings. No word is left out.
+FIRST, PIECE = 5, 24
 
 
 def host_of(url: Column) -> Column:
@@ -43,59 +44,91 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
     return name, verdict
 
 
-def lexicon(texts: DataFrame, text: str, longest: int = LONGEST) -> DataFrame:
-    """All words of all texts, up to `longest` characters, and their counts: word, n. Markup, scripts and styles are left out."""
+def lexicon(texts: DataFrame, text: str) -> DataFrame:
+    """All words of all texts and their counts: word, n. Markup, scripts and styles are left out."""
     plain = F.regexp_replace(F.lower(F.col(text)), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
-    words = texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where((F.length("word") > 0) & (F.length("word") <= longest))
+    words = texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where(F.length("word") > 0)
     return materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
 
 
 class Segmenter:
     """Splits a concatenated name into its most probable words under a unigram model (Viterbi).
 
-    A word of the lexicon has its share of all counts as its probability; any other run of n characters has 1 / (total * 10^n).
+    A word of the lexicon has its share of all counts as its probability; any other run of n characters has 1 / (total * 10^n). Two best
+    costs are kept per place, of splits that end in a word and of splits that end in an unknown run, since only the latter can go on
+    without a new base cost. Of equal costs a known word, and of those the longest, stands.
     `counts` need only hold the words that are in the name, if `total` gives the sum of all counts.
     """
 
     def __init__(self, counts: dict[str, int], total: int | None = None):
         total = max(sum(counts.values()) if total is None else total, 1)
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
-        self.longest = max(map(len, counts), default=1)
+        self.lengths = sorted({len(w) for w in counts}, reverse=True)
         self.base, self.per = math.log(total), math.log(10)
 
     def words(self, name: str) -> tuple[str, ...]:
-        best, back, known = [0.0], [0], [False]
+        cost, none = self.cost, math.inf
+        known, unknown = [0.0], [none]
+        known_from, unknown_from = [0], [0]  # where the last word, or the last unknown run, starts
         for j in range(1, len(name) + 1):
-            # an unknown run may be of any length: the shortest reach is from the place before, or longer with one base cost
-            options = [(best[i] + self.cost[w], i) for i in range(max(0, j - self.longest), j) if (w := name[i:j]) in self.cost]
-            i = j - 1
-            start = back[i] if i and not known[i] else i  # go on with an unknown run
-            unknown = (best[i] + self.per, start) if i and not known[i] else (best[i] + self.base + self.per, i)
-            cost, at = min([*options, unknown])
-            best.append(cost)
-            back.append(at)
-            known.append((cost, at) in options)
-        out, j = [], len(name)
+            best, at = none, 0
+            for size in self.lengths:
+                i = j - size
+                if i >= 0 and (c := cost.get(name[i:j])) is not None and (c := c + min(known[i], unknown[i])) < best:
+                    best, at = c, i
+            known.append(best)
+            known_from.append(at)
+            on, new = unknown[j - 1] + self.per, known[j - 1] + self.base + self.per
+            unknown.append(min(on, new))
+            unknown_from.append(unknown_from[j - 1] if on <= new else j - 1)
+        out, j, run = [], len(name), unknown[-1] < known[-1]
         while j:
-            out.append(name[back[j] : j])
-            j = back[j]
+            i = (unknown_from if run else known_from)[j]
+            out.append(name[i:j])
+            j, run = i, not run and unknown[i] < known[i]  # an unknown run starts behind a word
         return tuple(reversed(out))
 
 
-def segments(names: DataFrame, words: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """Columns name and words (array) of every distinct name that is not null, cut by the whole lexicon.
+def candidates(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(number, word, n): for every name (number, name) the words of the lexicon that can stand in it, by joins on equal keys alone.
 
-    The distinct substrings of the names are looked up in the word counts by a join, so neither table has to fit anywhere.
+    Words under FIRST letters are looked up whole. Places whose first FIRST letters begin no word are dropped; what is left is looked up in
+    every length up to PIECE. Longer words are found by their first PIECE letters; the segmenter compares the rest.
     """
-    total = words.agg(F.sum("n")).first()[0] or 0
-    names = materialize(names.select("name").where("name IS NOT NULL").distinct(), "names")
 
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shorts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, name in zip(batch.column("number").to_pylist(), batch.column("name").to_pylist()):
+                held = sorted({name[i : i + k] for k in range(1, FIRST) for i in range(len(name) - k + 1)})
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(held), pa.int64()), pa.array(held, pa.string())], names=["number", "word"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column("name").to_pylist():
-                for start in range(0, len(name), 1024):  # a long name goes in pieces
-                    found = sorted({name[i:j] for i in range(start, min(start + 1024, len(name))) for j in range(i + 1, min(i + longest, len(name)) + 1)})
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(found)), pa.array(found)], names=["name", "word"])
+            for number, name in zip(batch.column("number").to_pylist(), batch.column("name").to_pylist()):
+                for start in range(0, len(name) - FIRST + 1, 1 << 16):  # a long name goes in parts
+                    held = sorted({name[i : i + PIECE] for i in range(start, min(start + (1 << 16), len(name) - FIRST + 1))})
+                    yield pa.RecordBatch.from_arrays([pa.array([number] * len(held), pa.int64()), pa.array(held, pa.string())], names=["number", "piece"])
+
+    first = F.substring("word", 1, FIRST).alias("first")
+    begun = words.where(F.length("word") >= FIRST).select(first).distinct()
+    places = map_batches(names, pieces, "number long, piece string").withColumn("first", F.substring("piece", 1, FIRST))
+    places = materialize(places.join(begun, "first", "left_semi").select("number", "piece"), "places")
+    lengths = F.sequence(F.lit(FIRST), F.length("piece"))
+    middle = places.select("number", F.explode(F.transform(lengths, lambda k: F.substring("piece", F.lit(1), k))).alias("word")).distinct().join(words, "word")
+    short = map_batches(names, shorts, "number long, word string").join(words, "word")
+    beyond = words.where(F.length("word") > PIECE).withColumn("piece", F.substring("word", 1, PIECE))
+    longer = places.where(F.length("piece") == PIECE).join(beyond, "piece").select("number", "word", "n").distinct()
+    return short.select("number", "word", "n").unionAll(middle.select("number", "word", "n")).unionAll(longer)
+
+
+def segments(names: DataFrame, words: DataFrame) -> DataFrame:
+    """Columns name and words (array) of every distinct name that is not null, cut by the whole lexicon.
+
+    Names go by number into the joins that find their words (`candidates`), so a long name is never repeated.
+    """
+    total = words.agg(F.sum("n")).first()[0] or 0
+    names = names.select("name").where("name IS NOT NULL").distinct()
+    names = materialize(names.select(F.monotonically_increasing_id().alias("number"), "name"), "names")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,9 +136,8 @@ def segments(names: DataFrame, words: DataFrame, longest: int = LONGEST) -> Data
             split = [Segmenter({r["word"]: r["n"] for r in held or ()}, total).words(name) for name, held in rows]
             yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(split, pa.list_(pa.string()))], names=["name", "words"])
 
-    met = map_batches(names, parts, "name string, word string").join(words, "word")
-    held = met.groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("held"))
-    return map_batches(names.join(held, "name", "left").select("name", "held"), cut, "name string, words array<string>")
+    held = candidates(names, words).groupBy("number").agg(F.collect_list(F.struct("word", "n")).alias("held"))
+    return map_batches(names.join(held, "number", "left").select("name", "held"), cut, "name string, words array<string>")
 
 
 def judge(

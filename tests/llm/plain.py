@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -163,3 +164,52 @@ def without_repeats(rows: list[tuple], window: int) -> list[tuple]:
         spans = [(m.start(), m.end()) for m in re.finditer(b"\x01+", bytes(gone))]
         out.append((doc_id, len(raw), spans, bytes(b for b, g in zip(raw, gone) if not g)))
     return out
+
+
+def split_cost(parts: tuple[str, ...], counts: dict[str, int], total: int) -> float:
+    return sum(math.log(total / counts[w]) if w in counts else math.log(total) + len(w) * math.log(10) for w in parts)
+
+
+def best_split(name: str, counts: dict[str, int], total: int) -> tuple[str, ...]:
+    """Of all ways to cut a name the cheapest, by trying every start of the last part (an unknown part has any length)."""
+    best: list[tuple[float, tuple[str, ...]]] = [(0.0, ())]
+    for j in range(1, len(name) + 1):
+        best.append(min(((best[i][0] + split_cost((name[i:j],), counts, total), (*best[i][1], name[i:j])) for i in range(j)), key=lambda x: x[0]))
+    return best[-1][1]
+
+
+def url_verdicts(rows: list[tuple], rules: list[tuple[str, str]]) -> dict[int, tuple]:
+    """{page_id: (host, path, rule, verdict)}: rules, then naive Bayes over the words of host and path, one url after the other."""
+    import regex
+
+    counts: dict[str, int] = defaultdict(int)
+    for _, _, html in rows:
+        for w in regex.findall(r"\p{L}+", regex.sub(r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ", (html or "").lower())):
+            counts[w] += 1
+    total = sum(counts.values())
+    parsed, seen, splits = {}, {"block": defaultdict(int), "allow": defaultdict(int)}, {}
+    for page_id, url, _ in rows:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (re.sub("[A-Z]", lambda x: x[0].lower(), m[1]), m[2]) if m else ("", "")
+        fits = [(len(r), r, what) for r, what in rules for own, start in [(r[: r.index("/")], r[r.index("/") :])]
+                if (host == own or host.endswith("." + own)) and path.startswith(start)]
+        rule, ruled = max(fits)[1:] if fits else (None, None)
+        tokens = []
+        for mark, body in (("h:", host), ("p:", path.lower())):
+            for name in re.findall(r"[^\W_]+", body):
+                if name.isdigit():
+                    tokens.append(mark + "0")
+                    continue
+                if name not in splits:
+                    splits[name] = best_split(name, counts, total)
+                tokens += [mark + w for w in splits[name]]
+        parsed[page_id] = host, path, rule, ruled, tokens
+        for t in tokens if ruled else ():
+            seen[ruled][t] += 1
+    space = len({*seen["block"], *seen["allow"]}) + 1
+    size = {k: sum(v.values()) + space for k, v in seen.items()}
+    out = {}
+    for page_id, (host, path, rule, ruled, tokens) in parsed.items():
+        odds = math.fsum(math.log((seen["block"][t] + 1) / size["block"]) - math.log((seen["allow"][t] + 1) / size["allow"]) for t in tokens)
+        out[page_id] = host, path, rule, ruled or ("block" if odds > 0 else "allow"), odds
+    return out

@@ -407,6 +407,43 @@ def test_segmentation_and_votes(spark):
     assert got[200] == "block" and got[201] == "allow"
 
 
+def test_url_query_matches_plain(spark):
+    pages = [tuple(r) for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html").collect()]
+    wanted = plain.url_verdicts(pages, queries.URL_RULES)
+    got = {r.page_id: tuple(r)[1:] for r in REGISTRY["op9_url_verdicts"][0](spark, SMALL).collect()}
+    assert {k: v for k, v in got.items() if abs(wanted[k][4]) > 1e-9} == {k: v[:4] for k, v in wanted.items() if abs(v[4]) > 1e-9}
+    assert len(got) == len(pages)
+
+
+def test_names_are_cut_at_the_least_cost(spark):
+    from itertools import combinations
+
+    rng = np.random.default_rng(6)
+    for _ in range(400):
+        counts = {"".join(rng.choice(list("abcd"), rng.integers(1, 5))): int(rng.choice([1, 2, 50])) for _ in range(rng.integers(1, 8))}
+        total = sum(counts.values())
+        cut = urls.Segmenter(counts)
+        name = "".join(rng.choice(list("abcd"), rng.integers(1, 8)))
+        splits = [tuple(name[a:b] for a, b in zip((0, *c), (*c, len(name)))) for k in range(len(name)) for c in combinations(range(1, len(name)), k)]
+        least = min(plain.split_cost(x, counts, total) for x in splits)
+        assert plain.split_cost(cut.words(name), counts, total) == pytest.approx(least, abs=1e-9)
+        assert plain.split_cost(plain.best_split(name, counts, total), counts, total) == pytest.approx(least, abs=1e-9)
+    assert urls.Segmenter({"bb": 50, "c": 2, "a": 50}).words("ccddcbc") == ("ccddcbc",)
+
+
+def test_long_names_and_long_words(spark):
+    rng = np.random.default_rng(7)
+    noise = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 1_000_000))
+    word = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    texts = f"{word} {word[:30]}xyz long words and one of 30,000 letters {'ab' * 15_000} {'ab' * 15_000}"
+    rows = [(1, f"http://{noise}.com/", texts), (2, f"http://long{word}words.org/{'ab' * 15_000}", None), (3, "http://b.net/", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    found = {r.name: r.words for r in urls.segments(spark.createDataFrame([(f"long{word}words",), ("ab" * 15_000,), (noise,)], "name string"), urls.lexicon(pages, "html")).collect()}
+    assert found[f"long{word}words"] == ["long", word, "words"] and found["ab" * 15_000] == ["ab" * 15_000]
+    assert "".join(found[noise]) == noise
+    assert urls.judge(pages, queries.URL_RULES).count() == 3
+
+
 def test_rare_words_and_tokens_count_in_large_tables(spark):
     letters = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
     rare = spark.range(110_000).selectExpr("id + 1000 AS page_id", "concat('http://b.net/q', id, 'q') AS url", "'' AS html")
