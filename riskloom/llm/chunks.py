@@ -48,7 +48,7 @@ class ChunkEncoder:
     over. Chunks over `longest` characters are not kept.
     """
 
-    def __init__(self, tokenizer: Tokenizer, special: dict[str, int] | None = None, cache: int = 500_000, longest: int = 48):
+    def __init__(self, tokenizer: Tokenizer, special: dict[str, int] | None = None, cache: int = 1_000_000, longest: int = 48):
         self.tokenizer, self.special, self.size, self.longest = tokenizer, special or {}, cache, longest
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         back = {c: b for b, c in byte_characters().items()}
@@ -122,28 +122,45 @@ class ChunkEncoder:
         if len(self.cache) > self.size // 2:
             self.older, self.cache = self.cache, {}
         known, older, out, open_ = self.cache, self.older, [None] * len(texts), []
+        new: set[str | bytes] = set()
         for k, text in enumerate(texts):
             chunks = self._segments(text)
-            try:
-                out[k] = b"".join(map(known.__getitem__, chunks))
-            except KeyError:
-                open_.append((k, chunks))
+            ids = list(map(known.get, chunks))
+            missing, at = [], -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                missing.append(at)
+            if not missing:
+                out[k] = b"".join(ids)
+                continue
+            open_.append((k, chunks, ids, missing))
+            new.update([chunks[i] for i in missing])
         if not open_:
             return out
-        new: set[str | bytes] = set()
-        for _, chunks in open_:
-            new.update(chunks)
-        new.difference_update(known)
-        found = {c: older[c] if c in older else c for c in new if c in older or isinstance(c, bytes)}  # bytes: special ids
-        new.difference_update(found)
-        stems = {c: s for c in new if c[-1] in MARKS and (s := c.rstrip(MARKS))[-1:].isalpha()}
-        plain = new.difference(stems).union(stems.values(), [c[len(s) :] for c, s in stems.items()]).difference(known)
-        found.update([(c, older[c]) for c in plain if c in older])
-        found.update(self._encode_new([c for c in plain if c not in found]))
-        found.update([(c, (found.get(s) or known[s]) + (found.get(m := c[len(s) :]) or known[m])) for c, s in stems.items()])
+        found: dict[str | bytes, bytes] = {}
+        fresh, stems = [], []
+        for c in new:
+            if (held := older.get(c)) is not None:
+                found[c] = held
+            elif isinstance(c, bytes):  # special ids
+                found[c] = c
+            elif c[-1] in MARKS and (s := c.rstrip(MARKS))[-1:].isalpha():
+                stems.append((c, s, c[len(s) :]))
+            else:
+                fresh.append(c)
+        parts = {p for _, s, m in stems for p in (s, m)}.difference(found, fresh)
+        for p in parts:
+            if (held := known.get(p) or older.get(p)) is not None:
+                found[p] = held
+            else:
+                fresh.append(p)
+        found.update(self._encode_new(fresh))
+        found.update([(c, found[s] + found[m]) for c, s, m in stems])
         known.update(found)
-        for k, chunks in open_:
-            out[k] = b"".join(map(known.__getitem__, chunks))
+        for k, chunks, ids, missing in open_:
+            for i in missing:
+                ids[i] = found[chunks[i]]
+            out[k] = b"".join(ids)
         for c in [c for c in found if len(c) > self.longest]:
             del known[c]
         return out
