@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 import json
 import re
 
@@ -119,6 +120,16 @@ class ChunkEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. The cyclic collector waits meanwhile: nothing here makes a cycle, and it would walk the whole cache."""
+        waits = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if waits:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.size // 2:
             self.older, self.cache = self.cache, {}
         known, older, out, open_ = self.cache, self.older, [None] * len(texts), []
