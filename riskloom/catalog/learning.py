@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.catalog.base import facts_sql, hidden_labels, over_folds, over_fx, query, train_test, with_facts
@@ -196,10 +198,10 @@ def coef_audit(spark, sf_dir):
 
 
 def _submission(spark, sf_dir, mode):
-    """Test predictions with facts; the labels of test rows are known here, but not to the model."""
+    """The result of a fit on labelled rows with predictions of the test rows, and the test rows with their features."""
     train, _, test = one_hot_tables(spark, sf_dir)
-    hidden = hidden_labels(spark, sf_dir)
-    return with_facts(oof_predict(train, learners.logistic(), test(), mode, parallel=5).test, 0.05, hidden)
+    rows = materialize(test(), "test")
+    return oof_predict(train, learners.logistic(), rows, mode, parallel=5), rows
 
 
 TEST_FACTS = facts_sql(where="fx WHERE is_test = 1", columns="id")
@@ -207,12 +209,19 @@ TEST_FACTS = facts_sql(where="fx WHERE is_test = 1", columns="id")
 
 @query(TEST_FACTS)
 def submission_refit(spark, sf_dir):
-    return _submission(spark, sf_dir, "refit")
+    """The labels of test rows are known here, but not to the model."""
+    return with_facts(_submission(spark, sf_dir, "refit")[0].test, 0.05, hidden_labels(spark, sf_dir))
 
 
-@query(TEST_FACTS)
+@query(over_folds("SELECT id, TRUE AS in_range, TRUE AS is_mean FROM fx WHERE is_test = 1"))
 def submission_mean(spark, sf_dir):
-    return _submission(spark, sf_dir, "mean")
+    """Each test prediction is the mean of what the five fold models, asked one by one, say of the row."""
+    result, rows = _submission(spark, sf_dir, "mean")
+    single = [result.learner.score(models[0], rows, "one").select("id", "one") for models in result.models.values()]
+    asked = reduce(DataFrame.unionByName, single).groupBy("id").agg(F.avg("one").alias("wanted"), F.count("one").alias("n"))
+    told = result.test.join(asked, "id")
+    close = (F.abs(F.col("prediction") - F.col("wanted")) < 1e-12) & (F.col("n") == 5)
+    return told.select("id", F.col("prediction").between(0, 1).alias("in_range"), close.alias("is_mean"))
 
 
 #: Penalties of the sweep.

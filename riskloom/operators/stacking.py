@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import linear_blend
-from riskloom.operators.metrics import gini, gini_by_fold
+from riskloom.operators.metrics import gini_by_fold, gini_of_cells
 from riskloom.plans.materialize import materialize
 
-# bins of the search's histograms, and rows of the sample that places their edges
+# bins of the search's histograms, and size of the quantile sketches that place their edges (exact up to about as many distinct scores)
 SCORE_BINS = 4096
-EDGE_ROWS = 20_000
+SKETCH = 4096
 FULL = -1
 
 
@@ -33,41 +33,56 @@ def require_complete(df: DataFrame, models: Sequence[str]) -> None:
         raise ValueError(f"predictions are missing (model: rows): {bad}; fill or drop them first")
 
 
-def _edge_sample(rows: DataFrame, models: Sequence[str]) -> np.ndarray:
-    """Scores of at most EDGE_ROWS rows, chosen by their hash. They only place bin edges; every row is counted."""
-    hashed = F.xxhash64(*[F.col(f"`{m}`") for m in models])
-    picked = rows.select(*[F.col(f"`{m}`").cast("double") for m in models]).orderBy(hashed).limit(EDGE_ROWS)
-    return picked.toPandas().to_numpy(float)
+def tuple_counts(rows: DataFrame, models: Sequence[str], label: str, fold: str) -> DataFrame:
+    """(label, fold, models..., _n): rows with equal predictions, fold and label put together, so few-valued predictions make a small table."""
+    scores = [F.col(f"`{m}`").cast("double").alias(m) for m in models]
+    return rows.select(F.col(label).cast("long").alias(label), fold, *scores).groupBy(label, fold, *[F.col(f"`{m}`") for m in models]).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, trials: list[tuple], sample: np.ndarray) -> dict[int, float]:
-    """Gini of every trial (key, fit, weights) from one pass over the rows, up to ties within a bin.
+def _edges(cells: DataFrame, models: Sequence[str], fold: str, trials: list[tuple]) -> list[np.ndarray]:
+    """Bin edges of every trial: quantiles of its score over all distinct tuples outside its fold, from sketches that tasks build and Spark merges.
 
-    Each row is scored by all trials whose fit does not hold the row's fold out. A task scores a batch of rows against
+    A tuple counts once however many rows it has, so a value of many rows costs one bin.
+    """
+    ranks = F.expr("CAST(split('" + ",".join(repr(i / SCORE_BINS) for i in range(1, SCORE_BINS)) + "', ',') AS ARRAY<DOUBLE>)")
+    out: list[np.ndarray] = []
+    for start in range(0, len(trials), 32):  # as many expressions as one plan bears well
+        part = trials[start : start + 32]
+        scores = [F.when(F.col(fold) != j, linear_blend(dict(zip(models, w)))) for _, j, w in part]
+        quantiles = [F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(z, SKETCH), ranks).alias(f"q{i}") for i, z in enumerate(scores)]
+        for q in cells.agg(*quantiles).first():
+            at = np.unique(np.asarray(q, float))
+            out.append((at[1:] + at[:-1]) / 2)  # between two scores, so that the last digit of a sum does not move a score
+    return out
+
+
+def _candidate_ginis(cells: DataFrame, models: Sequence[str], label: str, fold: str, trials: list[tuple]) -> dict[int, float]:
+    """Gini of every trial (key, fit, weights) from one pass over the distinct tuples, up to ties within a bin.
+
+    Each tuple is scored by all trials whose fit does not hold its fold out. A task scores a batch against
     all trials by one matrix product and counts the scores in at most SCORE_BINS bins per trial, so the shuffle carries at
-    most trials x bins rows per task, whatever the number of rows. Bins hold about equally many rows of the sample, so an
-    outlier or another scale takes no resolution from the rest.
+    most trials x bins rows per task, whatever the number of rows. Bins hold about equally many distinct tuples (`_edges`), so an
+    outlier or another scale takes no resolution from the rest, and up to SCORE_BINS distinct scores each have their own bin.
     """
     w = np.array([t[2] for t in trials], dtype=float).T
     fits = np.array([t[1] for t in trials])
-    share = np.linspace(0, 1, SCORE_BINS + 1)[1:-1]
-    edges = [np.unique(np.quantile(scores, share)) for scores in (sample @ w).T]
+    edges = _edges(cells, models, fold, trials)
     names, size = list(models), len(trials)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, pos = np.zeros((size, SCORE_BINS), np.int64), np.zeros((size, SCORE_BINS), np.int64)
         for batch in batches:
             scores = batch[names].to_numpy(float) @ w
-            y, f = batch["_y"].to_numpy() == 1, batch["_f"].to_numpy()
+            y, f, rows = batch["_y"].to_numpy() == 1, batch["_f"].to_numpy(), batch["_n"].to_numpy()
             for t in range(size):
                 use = f != fits[t]
                 spots = np.searchsorted(edges[t], scores[use, t], side="right")
-                n[t] += np.bincount(spots, minlength=SCORE_BINS)
-                pos[t] += np.bincount(spots[y[use]], minlength=SCORE_BINS)
+                np.add.at(n[t], spots, rows[use])
+                np.add.at(pos[t], spots[y[use]], rows[use][y[use]])
         trial, spot = np.nonzero(n)
         yield pd.DataFrame({"trial": trial, "spot": spot, "pos": pos[trial, spot], "n": n[trial, spot]})
 
-    scored = rows.select(F.col(label).cast("long").alias("_y"), F.col(fold).cast("int").alias("_f"), *[F.col(f"`{m}`").cast("double") for m in names])
+    scored = cells.select(F.col(label).alias("_y"), F.col(fold).cast("int").alias("_f"), "_n", *[F.col(f"`{m}`") for m in names])
     counted = scored.mapInPandas(count, "trial long, spot long, pos long, n long")
     bins = counted.groupBy("trial", "spot").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     neg = F.col("n") - F.col("pos")
@@ -79,10 +94,12 @@ def _candidate_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: s
 
 
 def exact_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, blends: dict[int, Sequence[float]]) -> dict[int, float]:
-    """Exact Gini of one blend per fit over the rows outside its fold, all fits in one job."""
-    cells = [F.struct(F.lit(j).alias("_fit"), linear_blend(dict(zip(models, w))).alias("_z")) for j, w in blends.items()]
-    long = rows.select(label, fold, F.inline(F.array(*cells))).where(F.col(fold) != F.col("_fit"))
-    return {r["_fit"]: r["gini"] for r in gini(long, label, "_z", ["_fit"]).collect()}
+    """Exact Gini of one blend per fit over the rows outside its fold, all fits in one job. A column `_n` counts rows."""
+    n = F.col("_n") if "_n" in rows.columns else F.lit(1)
+    blended = [F.struct(F.lit(j).alias("_fit"), linear_blend(dict(zip(models, w))).alias("score")) for j, w in blends.items()]
+    long = rows.select(label, fold, n.alias("_n"), F.inline(F.array(*blended))).where(F.col(fold) != F.col("_fit"))
+    cells = long.groupBy("_fit", "score").agg(F.sum(F.col(label).cast("long") * F.col("_n")).alias("pos"), F.sum("_n").cast("long").alias("n"))
+    return {r["_fit"]: r["gini"] for r in gini_of_cells(cells, ["_fit"]).collect()}
 
 
 def _normed(w: Sequence[float]) -> list[float]:
@@ -102,9 +119,8 @@ def fit_blend(
     model is taken where its exact rating beats the blend. Weights are scaled so
     that their absolute values add up to 1. Null and NaN predictions are an error.
     """
-    rows = materialize(rows.select(label, fold, *models), "blend")
+    rows = materialize(tuple_counts(rows, models, label, fold), "blend")
     require_complete(rows, models)
-    sample = _edge_sample(rows, models)
     weights = {j: _normed([1.0] * len(models)) for j in fits}
     proven = dict(weights)
     exact = exact_ginis(rows, models, label, fold, weights)
@@ -126,7 +142,7 @@ def fit_blend(
             for w in options:
                 owner[len(trials)] = (j, w)
                 trials.append((len(trials), j, w))
-        found = _candidate_ginis(rows, models, label, fold, trials, sample)
+        found = _candidate_ginis(rows, models, label, fold, trials)
         stuck = []
         for j in open_fits:
             mine = [(g, owner[t][1]) for t, g in found.items() if owner[t][0] == j]

@@ -13,7 +13,8 @@ from riskloom.operators.encoders import OneHot, TargetMean
 from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.metrics import gini_by_fold
 from riskloom.operators.oof import best_rounds, oof_predict, round_scores
-from riskloom.operators.stacking import exact_ginis, fit_blend
+from riskloom.plans.materialize import materialize
+from riskloom.operators.stacking import _candidate_ginis, exact_ginis, fit_blend, tuple_counts
 
 COLS = ["prio_cat", "nation_cat", "ret_bin", "n_lines"]
 
@@ -154,3 +155,20 @@ def test_blend_bears_outliers_and_scales_but_no_holes(spark):
     assert np.allclose(fit_blend(frame(1000 * a, 1000 * b), ["a", "b"])[-1], plain)
     with pytest.raises(ValueError):
         fit_blend(frame(np.append(a[:-1], np.nan), b), ["a", "b"])
+
+
+def test_blend_of_few_valued_scores_over_many_rows_rates_exactly(spark):
+    rng = np.random.default_rng(11)
+    kinds = [(float(a), float(b)) for a, b in zip(rng.normal(0, 1, 50), rng.normal(0, 1, 50))]
+    pick = spark.createDataFrame([(i, a, b, float(1 / (1 + np.exp(1.5 - 0.8 * a - 0.5 * b)))) for i, (a, b) in enumerate(kinds)], "k int, a double, b double, p double")
+    rows = spark.range(1_000_000).selectExpr("CAST(xxhash64(id) % 1000 AS INT) AS u", "CAST(id % 3 AS INT) AS fold", "rand(5) AS r", "CAST(floor(50 * pow(rand(6), 3)) AS INT) AS k")
+    rows = materialize(rows.join(F.broadcast(pick), "k").select((F.col("r") < F.col("p")).cast("int").alias("target"), "fold", "a", "b"), "few")
+    cells = tuple_counts(rows, ["a", "b"], "target", "fold")
+    assert cells.count() <= 300
+    trials = [(t, -1, [np.cos(x), np.sin(x)]) for t, x in enumerate(np.linspace(0, 3, 9))]
+    rough = _candidate_ginis(cells, ["a", "b"], "target", "fold", trials)
+    for t, _, w in trials:
+        assert rough[t] == pytest.approx(exact_ginis(rows, ["a", "b"], "target", "fold", {-1: w})[-1], abs=1e-12)
+    found = fit_blend(rows, ["a", "b"])[-1]
+    best = max(exact_ginis(cells, ["a", "b"], "target", "fold", dict(enumerate([w for _, _, w in trials], 100))).values())
+    assert exact_ginis(cells, ["a", "b"], "target", "fold", {-1: found})[-1] >= best - 1e-4
