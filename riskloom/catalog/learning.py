@@ -15,7 +15,7 @@ from riskloom.operators import encoders, learners, metrics
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.oof import best_rounds as top_rounds
-from riskloom.operators.oof import attach_predictions, coefficient_audit, largest_gradient, oof_predict, round_margins, sweep, training_scores
+from riskloom.operators.oof import attach_predictions, coefficient_audit, largest_gradient, oof_predict, round_margins, round_scores, sweep, training_scores
 from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.plans import first_level
 from riskloom.plans.materialize import materialize
@@ -129,21 +129,45 @@ def oof_rf(spark, sf_dir):
     return _trees(spark, sf_dir, learners.random_forest(trees=20), encoders.MEAN_WEIGHT)
 
 
+ROUND_TREES = 40
+
+
+def _boosted_rounds(spark, sf_dir):
+    """Fold models of boosted trees, their validation scores after every round, and the rows and the step that they need."""
+    train, _, _, prepare = mean_encoded(spark, sf_dir)
+    train = materialize(train, "rounds", ["fold"])
+    result = oof_predict(train, learners.boosted_trees(trees=ROUND_TREES), prepare=prepare, parallel=5, store=False)
+    return result, train, prepare, materialize(round_scores(result, train, range(1, ROUND_TREES + 1), prepare), "curve")
+
+
 @query(over_folds(
     "SELECT fold, round, COUNT(*) AS n_rows, CAST(SUM(target) AS BIGINT) AS n_pos, TRUE AS in_range, TRUE AS learns, TRUE AS ends_at_the_model "
-    "FROM tr, (SELECT UNNEST(RANGE(1, 11)) AS round) GROUP BY fold, round"
+    f"FROM tr, (SELECT UNNEST(RANGE(1, {ROUND_TREES + 1})) AS round) GROUP BY fold, round"
 ))
 def round_curve(spark, sf_dir):
-    """Validation AUC after every boosting round; after the last one over one half in the mean, with the margins of the whole model."""
-    train, _, _, prepare = mean_encoded(spark, sf_dir)
-    train = materialize(train, "rounds", ["fold"])
-    result = oof_predict(train, learners.boosted_trees(trees=10), prepare=prepare, parallel=5, store=False)
-    margins = materialize(round_margins(result, train, range(1, 11), prepare), "margins")
-    last = margins.where("round = 10").join(result.oof.select("id", "prediction"), "id")
-    apart = last.agg(F.max(F.abs(sigmoid(2 * F.col("margin")) - F.col("prediction")))).first()[0]
-    curve = materialize(metrics.auc(margins, "target", "margin", ["fold", "round"]), "curve")
-    learns = curve.where("round = 10").agg(F.avg("auc")).first()[0] > 0.5
-    return curve.select("fold", "round", "n_rows", "n_pos", F.col("auc").between(0, 1).alias("in_range"), F.lit(learns).alias("learns"), F.lit(apart < 1e-9).alias("ends_at_the_model"))
+    """Validation AUC after every boosting round; after the last one over one half in the mean, and that of the whole model's own predictions."""
+    result, train, prepare, curve = _boosted_rounds(spark, sf_dir)
+    margins = round_margins(result, train, ROUND_TREES, prepare).join(result.oof.select("id", "prediction"), "id")
+    apart = margins.agg(F.max(F.abs(sigmoid(2 * F.col("margin")) - F.col("prediction")))).first()[0]
+    whole = metrics.auc(result.oof, "target", "prediction", ["fold"]).select("fold", F.col("auc").alias("exact"))
+    last = curve.where(F.col("round") == ROUND_TREES).join(whole, "fold")
+    off = last.agg(F.max(F.abs(F.col("auc") - F.col("exact")) - F.col("auc_error")).alias("off"), F.avg("auc").alias("auc")).first()
+    ends = F.lit(apart < 1e-9 and off["off"] < 1e-9)
+    return curve.select("fold", "round", "n_rows", "n_pos", F.col("auc").between(0, 1).alias("in_range"), F.lit(off["auc"] > 0.5).alias("learns"), ends.alias("ends_at_the_model"))
+
+
+@query("SELECT UNNEST([1, 2, 3]) AS place, TRUE AS in_order, TRUE AS confirmed")
+def boosted_best_rounds(spark, sf_dir):
+    """The three best rounds of boosted trees by mean validation AUC, each confirmed by the unbinned AUC of the model cut there."""
+    result, train, prepare, curve = _boosted_rounds(spark, sf_dir)
+    best = top_rounds(curve).collect()  # three rows
+    margins = [round_margins(result, train, r["round"], prepare).withColumn("round", F.lit(r["round"])) for r in best]
+    exact = metrics.auc(reduce(DataFrame.unionByName, margins), "target", "margin", ["round", "fold"]).withColumnRenamed("auc", "exact")
+    both = curve.join(exact.select("round", "fold", "exact"), ["round", "fold"])
+    off = both.groupBy("round").agg((F.max(F.abs(F.col("auc") - F.col("exact")) - F.col("auc_error")) < 1e-9).alias("near"), F.count("*").alias("folds"))
+    near = {r["round"]: r["near"] and r["folds"] == 5 for r in off.collect()}
+    sorted_right = all(a["mean_score"] >= b["mean_score"] for a, b in zip(best, best[1:]))
+    return spark.createDataFrame([(i + 1, sorted_right, near.get(r["round"], False)) for i, r in enumerate(best)], "place int, in_order boolean, confirmed boolean")
 
 
 @query(over_folds(

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.columns import require_columns
 from riskloom.operators.learners import Facts, Learner, mean_score
-from riskloom.operators.metrics import auc, gini, gini_by_fold
+from riskloom.operators.metrics import gini, gini_by_fold
 from riskloom.plans.materialize import materialize
 
 # (table, fold or None for the fit on all rows) -> table with a `features` vector
@@ -183,36 +186,100 @@ def leaf_values(tree: Model) -> list[float]:
     return [float(x) for x in re.findall(r"Predict: (\S+)", tree.toDebugString)]
 
 
-def round_scores(result: OofResult, train: DataFrame, rounds: Sequence[int], prepare: Prepare | None = None,
-                 label: str = "target", fold: str = "fold", id: str = "id") -> DataFrame:
-    """(fold, round, n_rows, n_pos, auc): validation AUC of the boosted models cut after each of `rounds` trees."""
-    long = round_margins(result, train, rounds, prepare, label, fold, id)
-    return auc(long, label, "margin", [fold, "round"])
+def _leaf_tables(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Leaf values of all trees in one array, times the weight of their tree, and the place at which each tree's leaves begin."""
+    values = [weight * np.array(leaf_values(tree)) for tree, weight in zip(model.trees, model.treeWeights)]
+    starts = np.cumsum([0, *[len(v) for v in values[:-1]]])
+    return np.concatenate(values), starts
 
 
-def round_margins(result: OofResult, train: DataFrame, rounds: Sequence[int], prepare: Prepare | None = None,
-                  label: str = "target", fold: str = "fold", id: str = "id") -> DataFrame:
-    """(id, fold, label, round, margin) of the validation rows of every fold.
+def _leaf_numbers(model: Model, rows: DataFrame, *keep: str) -> DataFrame:
+    """`keep` and `_leaf`, the number of the leaf that a row reaches in each tree."""
+    copy = model.copy()
+    return copy.setLeafCol("_leaf").transform(rows).select(*keep, vector_to_array("_leaf", "float32").alias("_leaf"))
+
+
+def round_cells(model: Model, rows: DataFrame, rounds: Sequence[int], centre: float, bins: int = 2048, label: str = "target") -> DataFrame:
+    """(round, bin, pos, n): rows and positives by round and by bin of their margin after it.
 
-    A row falls through all trees once, which gives its leaf in each of them; margins are running sums over an array of leaf
-    values, so the plan does not grow with the number of trees.
+    A row falls through all trees once. A task counts all rounds of its rows in one array and returns its filled cells, so what is
+    shuffled grows with tasks x rounds x bins and not with rows x rounds. Bins are equal steps of the probability that a margin stands for once
+    the odds at `centre` are moved to even, which spreads the scores of rare positives over all bins.
     """
+    values, starts = _leaf_tables(model)
+    chosen = np.array([r for r in rounds if r <= len(starts)], np.int64)
+    step = max(1, (1 << 20) // len(starts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, len(chosen) * bins), np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                leaf = part.column("_leaf").flatten().to_numpy().reshape(part.num_rows, -1).astype(np.int64)
+                margin = np.cumsum(values[starts + leaf], axis=1)[:, chosen - 1]
+                even = 1.0 / (1.0 + np.exp(np.clip(-2.0 * (margin - centre), -700, 700)))
+                cell = np.minimum((even * bins).astype(np.int64), bins - 1) + bins * np.arange(len(chosen))
+                positive = part.column("_y").to_numpy() == 1
+                for k in (0, 1):
+                    counts[k] += np.bincount(cell[positive == k].ravel(), minlength=counts.shape[1])
+        total = counts.sum(axis=0)
+        filled = np.flatnonzero(total)
+        columns = [pa.array(chosen[filled // bins].astype(np.int32)), pa.array((filled % bins).astype(np.int32)), pa.array(counts[1, filled]), pa.array(total[filled])]
+        yield pa.RecordBatch.from_arrays(columns, names=["round", "bin", "pos", "n"])
+
+    leaves = _leaf_numbers(model, rows.withColumn("_y", F.col(label).cast("int")), "_y")
+    counted = leaves.mapInArrow(run, "round int, bin int, pos long, n long")
+    return counted.groupBy("round", "bin").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+
+
+def auc_of_bins(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., n_rows, n_pos, auc, auc_error) of (by, bin, pos, n) cells, with pairs in one bin counted half.
+
+    The AUC of the unbinned scores differs from `auc` by at most `auc_error`, half the share of pairs of a positive and a negative that meet in a
+    bin. The windows hold at most one row per bin.
+    """
+    before = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    neg = F.col("n") - F.col("pos")
+    ranked = cells.withColumn("_below", F.coalesce(F.sum(neg).over(before), F.lit(0)))
+    wide = "decimal(38,0)"
+    won = F.col("pos").cast("decimal(18,0)") * (2 * F.col("_below") + neg).cast("decimal(18,0)")
+    tied = F.col("pos").cast("decimal(18,0)") * neg.cast("decimal(18,0)")
+    sums = ranked.groupBy(*by).agg(
+        F.sum("n").alias("n_rows"), F.sum("pos").alias("n_pos"), F.sum(won.cast(wide)).alias("_won"), F.sum(tied.cast(wide)).alias("_tied")
+    )
+    pairs = 2 * F.col("n_pos").cast("double") * (F.col("n_rows") - F.col("n_pos")).cast("double")
+    share = lambda c: F.when(pairs > 0, F.col(c).cast("double") / pairs)
+    return sums.select(*by, "n_rows", "n_pos", share("_won").alias("auc"), share("_tied").alias("auc_error"))
+
+
+def round_scores(result: OofResult, train: DataFrame, rounds: Sequence[int], prepare: Prepare | None = None,
+                 label: str = "target", fold: str = "fold", bins: int = 2048) -> DataFrame:
+    """(fold, round, n_rows, n_pos, auc, auc_error): validation AUC of the boosted models cut after each of `rounds` trees."""
     ready = prepare or (lambda df, j: df)
-    parts = None
+    facts = fold_facts(train, label, fold)
+    rate = sum(f.positives for f in facts.values()) / max(1, sum(f.rows for f in facts.values()))
+    centre = 0.5 * np.log(rate / (1 - rate)) if 0 < rate < 1 else 0.0
+    kind = train.schema[fold].dataType
+    parts = [
+        round_cells(models[0], ready(train.where(F.col(fold) == j), j), rounds, centre, bins, label).select(F.lit(j).cast(kind).alias(fold), "round", "bin", "pos", "n")
+        for j, models in result.models.items()
+    ]
+    return auc_of_bins(reduce(DataFrame.unionByName, parts), [fold, "round"])
+
+
+def round_margins(result: OofResult, train: DataFrame, at: int, prepare: Prepare | None = None,
+                  label: str = "target", fold: str = "fold", id: str = "id") -> DataFrame:
+    """(id, fold, label, margin) of the validation rows of every fold after `at` rounds."""
+    ready = prepare or (lambda df, j: df)
+    parts = []
     for j, models in result.models.items():
-        model = models[0].copy()
-        df = model.setLeafCol("_leaf").transform(ready(train.where(F.col(fold) == j), j))
-        flat, start = [], []
-        for tree, weight in zip(model.trees, model.treeWeights):
-            start.append(len(flat))
-            flat += [weight * v for v in leaf_values(tree)]
-        terms = F.transform(vector_to_array("_leaf"), lambda leaf, i: F.lit(flat)[F.lit(start)[i] + leaf.cast("int")])
-        running = F.aggregate(terms, F.array(F.lit(0.0)), lambda sums, x: F.array_append(sums, F.element_at(sums, -1) + x))
-        cut = F.explode(F.lit([r for r in rounds if r <= len(start)]))
-        long = df.select(id, fold, label, running.alias("_sums")).select(id, fold, label, "_sums", cut.alias("round"))
-        long = long.select(id, fold, label, "round", F.col("_sums")[F.col("round")].alias("margin"))
-        parts = long if parts is None else parts.unionByName(long)
-    return parts
+        values, starts = _leaf_tables(models[0])
+        if at > len(starts):
+            raise ValueError(f"{at} rounds of {len(starts)}")
+        leaves = _leaf_numbers(models[0], ready(train.where(F.col(fold) == j), j), id, fold, label)
+        terms = F.transform(F.slice("_leaf", 1, at), lambda leaf, i: F.lit(values.tolist())[F.lit(starts.tolist())[i] + leaf.cast("int")])
+        parts.append(leaves.select(id, fold, label, F.aggregate(terms, F.lit(0.0), lambda total, x: total + x).alias("margin")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def training_scores(result: OofResult, train: DataFrame, prepare: Prepare | None = None, label: str = "target", fold: str = "fold") -> DataFrame:

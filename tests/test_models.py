@@ -11,8 +11,8 @@ from riskloom.functions.scalars import hash_row
 from riskloom.operators import learners
 from riskloom.operators.encoders import OneHot, TargetMean
 from riskloom.operators.ftrl import FTRL, ftrl_oof
-from riskloom.operators.metrics import gini_by_fold
-from riskloom.operators.oof import best_rounds, oof_predict, round_scores
+from riskloom.operators.metrics import auc, gini_by_fold
+from riskloom.operators.oof import auc_of_bins, best_rounds, oof_predict, round_cells, round_margins, round_scores
 from riskloom.plans.materialize import materialize
 from riskloom.operators.stacking import _candidate_ginis, exact_ginis, fit_blend, tuple_counts
 
@@ -74,12 +74,41 @@ def test_bagged_net_averages_its_members(coded):
 def test_rounds_of_a_boosted_model(coded):
     train, _, _ = coded
     result = oof_predict(train, learners.boosted_trees(trees=4, depth=2, subsample=1.0))
-    curve = round_scores(result, train, [1, 2, 4])
+    curve = materialize(round_scores(result, train, [1, 2, 4, 9]), "curve")  # there is no ninth round
     assert curve.count() == 15
-    last = curve.where("round = 4").select("fold", "auc").collect()
+    for at in (1, 2, 4):
+        whole = auc(round_margins(result, train, at), "target", "margin", ["fold"]).withColumnRenamed("auc", "exact")
+        rows = curve.where(F.col("round") == at).join(whole, ["fold", "n_rows", "n_pos"]).collect()
+        assert len(rows) == 5 and all(abs(r.auc - r.exact) <= r.auc_error + 1e-12 for r in rows)
     full = {r.fold: (r.gini + 1) / 2 for r in result.scores().collect()}
-    assert all(abs(r.auc - full[r.fold]) < 1e-9 for r in last)
+    assert all(abs(r.auc - full[r.fold]) <= r.auc_error + 1e-12 for r in curve.where("round = 4").collect())
     assert best_rounds(curve, 2).count() == 2
+    with pytest.raises(ValueError):
+        round_margins(result, train, 5)
+
+
+def test_round_bins_count_every_row_in_every_round(coded):
+    train, _, _ = coded
+    result = oof_predict(train, learners.boosted_trees(trees=3, depth=2, subsample=1.0))
+    rows = train.where("fold = 0")
+    few = round_cells(result.models[0][0], rows.repartition(3), [1, 3], 0.0, bins=4).collect()
+    assert {r["round"] for r in few} == {1, 3} and all(0 <= r["bin"] < 4 and 0 <= r["pos"] <= r["n"] for r in few)
+    for at in (1, 3):
+        margins = [(r.margin, r.target) for r in round_margins(result, train, at).where("fold = 0").collect()]
+        want: dict[int, list[int]] = {}
+        for m, y in margins:
+            cell = want.setdefault(min(3, int(4 / (1 + np.exp(-2 * m)))), [0, 0])
+            cell[0] += y
+            cell[1] += 1
+        assert {r["bin"]: [r["pos"], r["n"]] for r in few if r["round"] == at} == want
+    assert round_cells(result.models[0][0], rows.where("id < 0"), [1], 0.0).count() == 0
+
+
+def test_area_of_bins_by_hand(spark):
+    cells = spark.createDataFrame([(0, 2, 1, 1), (0, 1, 1, 3), (0, 0, 0, 2), (1, 5, 0, 4)], "fold int, bin int, pos long, n long")
+    got = {r.fold: r for r in auc_of_bins(cells, ["fold"]).collect()}
+    assert (got[0].n_rows, got[0].n_pos, got[0].auc, got[0].auc_error) == (6, 2, (4 + 3) / 8, 1 / 8)
+    assert got[1].auc is None and got[1].auc_error is None
 
 
 def test_fold_encoding_ignores_the_targets_of_its_fold(tables):
