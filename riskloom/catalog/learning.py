@@ -12,6 +12,7 @@ from riskloom.catalog.base import facts_sql, hidden_labels, over_folds, over_fx,
 from riskloom.catalog.scoring import gini_sql
 from riskloom.functions.scalars import combine, product, sigmoid, signed_flag
 from riskloom.operators import encoders, learners, metrics
+from riskloom.operators.field_factors import FieldFactors, field_factors_oof
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.oof import best_rounds as top_rounds
@@ -78,6 +79,15 @@ def oof_fm(spark, sf_dir):
     return _oof(spark, sf_dir, lambda hot: learners.factorization(), floor=-0.2)
 
 
+@query(facts_sql())
+def oof_field_factors(spark, sf_dir):
+    """Field-aware factors on the coded columns, all folds in the same passes."""
+    train, test = train_test(spark, sf_dir)
+    binner = EqualWidthBinner(BINNED, 20).fit(train, test)
+    rows = assign_folds(binner.transform(train)).select("id", "target", "fold", *ONE_HOT, *BINNED)
+    return with_facts(field_factors_oof(rows, FieldFactors([*ONE_HOT, *BINNED])), 0.05)
+
+
 @query(facts_sql())
 def oof_mlp_bag(spark, sf_dir):
     """Five bags of the two-layer net per fold."""
