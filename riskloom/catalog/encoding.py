@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from riskloom.catalog.base import folded, long_sql, over_folds, over_fx, query, train_test
 from riskloom.functions.scalars import combine, square_trunc
 from riskloom.operators import encoders
+from riskloom.operators.folds import assign_folds
 from riskloom.operators.scaling import EqualWidthBinner
 from riskloom.plans.materialize import materialize, new_path
 from riskloom.plans.vocabulary import fit_vocabulary
-from riskloom.sources.ffm_text import ffm_lines, fit_field_codes, read_keyed, write_keyed
+from riskloom.sources.ffm_text import ffm_lines, fit_field_codes, fit_fold_codes, fold_lines, read_keyed, write_keyed
 
 CODED = ["prio_cat", "seg_cat", "nation_cat", "cust_cat"]
 PAIR = "seg_cat_plus_nation_cat"
@@ -242,6 +243,36 @@ def libffm_lines(spark, sf_dir):
     return left.unionByName(right)
 
 
+def _ffm_fold_sql() -> str:
+    cut = " + ".join(f"(CASE WHEN qty_12 > lo + {i} * ((hi - lo) / 50) THEN 1 ELSE 0 END)" for i in range(1, 50))
+    coded = (
+        "coded AS (SELECT id, fold, target, prio_cat, seg_cat, cust_cat, ret_bin, "
+        f"CAST(TRUNC(root_15 * root_15) AS INT) AS root_15, {cut} AS qty_12 FROM tr, (SELECT MIN(qty_12) AS lo, MAX(qty_12) AS hi FROM fx))"
+    )
+    cells = "cells AS (" + " UNION ALL ".join(
+        f"SELECT id, fold AS own, target, {i} AS field, CAST({c} AS BIGINT) AS num FROM coded" for i, c in enumerate(FIELDS)
+    ) + ")"
+    codes = (
+        "codes AS (SELECT j, field, num, ROW_NUMBER() OVER (PARTITION BY j ORDER BY a NULLS LAST, CASE WHEN a IS NULL THEN t END, field) AS code FROM ("
+        "SELECT j, field, num, MIN(id) FILTER (own <> j) AS a, MIN(id) AS t FROM cells, (SELECT UNNEST(RANGE(5)) AS j) GROUP BY j, field, num))"
+    )
+    body = (
+        "SELECT CAST(j AS INT) AS fold, CASE WHEN j = own THEN 'val' ELSE 'train' END AS part, id, "
+        "CAST(target AS VARCHAR) || ' ' || STRING_AGG(field || ':' || code || ':1', ' ' ORDER BY field) AS value "
+        "FROM cells JOIN codes USING (field, num) GROUP BY j, own, id, target"
+    )
+    return over_folds(body, coded, cells, codes)
+
+
+@query(_ffm_fold_sql())
+def libffm_fold_lines(spark, sf_dir):
+    """Train and validation lines of every fold, each fold with a code space of its own."""
+    train, test = train_test(spark, sf_dir)
+    binner = EqualWidthBinner(["qty_12"], 50).fit(train, test)
+    train = materialize(assign_folds(binner.transform(train).withColumn("root_15", square_trunc("root_15"))), "folded")
+    return fold_lines(train, fit_fold_codes(train, FIELDS), "target")
+
+
 REAL = ["reg_03", "root_15", "calc_disc"]
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.plans.materialize import materialize
 from riskloom.plans.ordering import global_rank
-from riskloom.plans.vocabulary import Vocabulary, fit_vocabulary
+from riskloom.plans.vocabulary import VALUE_COLUMNS, Vocabulary, fit_vocabulary, long_values
 
 
 @dataclass
@@ -76,6 +76,46 @@ def read_keyed(spark: SparkSession, path: str, keys: DataFrame, id: str = "id")
     return keys.join(scores, ["part", "line"], "left").select(id, "prediction")
 
 
+def fit_fold_codes(train: DataFrame, fields: Sequence[str], fold: str = "fold", k: int = 5, id: str = "id") -> FieldCodes:
+    """A code space from 1 for each held-out fold: its table has `codes`, an array over the folds, for every (field, value).
+
+    Space j holds the pairs in the order in which reading the rows outside fold j, then those of fold j, meets them. The smallest
+    id of every fold is found in one aggregation of the rows; all spaces are ranked at once.
+    """
+    fields = list(fields)
+    vocabulary = fit_vocabulary(train, None, fields, id=id)
+    firsts = [F.min(F.when(F.col(fold) == j, F.col(id))) for j in range(k)]
+    met = long_values(train, fields, [id, fold]).groupBy(*VALUE_COLUMNS).agg(F.count(F.lit(1)).alias("n_train"), F.array(*firsts).alias("first"))
+    met = materialize(met, "firsts")
+    spaces = [
+        F.struct(F.lit(j).alias("space"), F.array_min(F.array(*[F.col("first")[i] for i in range(k) if i != j])).alias("outside"), F.col("first")[j].alias("inside"))
+        for j in range(k)
+    ]
+    listed = met.select(*VALUE_COLUMNS, "n_train", F.inline(F.array(*spaces)))
+    late = F.when(F.col("outside").isNull(), F.col("inside"))
+    keys = [F.col("outside").asc_nulls_last(), late, F.array_position(F.lit(fields), F.col("feature"))]
+    ranked = global_rank(listed, keys, ["space"], "code")
+    codes = F.array(*[F.max(F.when(F.col("space") == j, F.col("code") + 1)) for j in range(k)])
+    table = ranked.groupBy(*VALUE_COLUMNS, "n_train").agg(codes.alias("codes")).withColumn("n_test", F.lit(0))
+    return FieldCodes(fields, vocabulary, materialize(table, "codes"))
+
+
+def fold_lines(train: DataFrame, codes: FieldCodes, label: str, fold: str = "fold", k: int = 5, id: str = "id") -> DataFrame:
+    """(fold, part, id, value): for every fold the lines of the rows outside it (`train`) and of its own (`val`), in its own code space.
+
+    A column is looked up once for all folds; null values are left out of the line.
+    """
+    spots = {c: f"_codes{i}" for i, c in enumerate(codes.fields)}
+    df = train
+    for c, spot in spots.items():
+        df = codes.vocabulary.attach(df, codes.table, c, {spot: ("codes", F.lit(None))}, spread=id)
+    listed = df.select(id, label, F.col(fold).alias("_own"), *spots.values(), F.explode(F.lit(list(range(k)))).alias("_space"))
+    cells = [F.concat(F.lit(f"{i}:"), F.col(spot)[F.col("_space")].cast("string"), F.lit(":1")) for i, spot in enumerate(spots.values())]
+    part = F.when(F.col("_space") == F.col("_own"), "val").otherwise("train")
+    line = F.concat_ws(" ", F.col(label).cast("int").cast("string"), *cells)
+    return listed.select(F.col("_space").alias(fold), part.alias("part"), id, line.alias("value"))
+
+
 def fold_files(train: DataFrame, codes: FieldCodes, label: str, k: int, fold: str = "fold") -> DataFrame:
     """(fold, part, id, value): for every fold the train and validation lines of the k-fold export.
 

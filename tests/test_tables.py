@@ -14,7 +14,7 @@ from riskloom.operators.stacking import fit_blend, stack
 from riskloom.functions.scalars import linear_blend
 from riskloom.plans.materialize import materialize
 from riskloom.sources import predictions as P
-from riskloom.sources.ffm_text import ffm_lines, fit_field_codes, fold_files, write_ffm
+from riskloom.sources.ffm_text import ffm_lines, fit_field_codes, fit_fold_codes, fold_files, fold_lines, write_ffm
 
 
 @pytest.fixture()
@@ -181,3 +181,17 @@ def test_discard_deletes_only_what_was_written(spark, tmp_path):
     assert pathlib.Path(folder).exists()
     m.discard(table)
     assert not pathlib.Path(folder).exists()
+
+
+def test_code_spaces_of_folds_follow_their_own_reading_order(spark):
+    kinds = [(3, 1, 0, "x", 7), (5, 0, 1, "y", None), (8, 0, 0, None, 7), (9, 1, 1, "z", 4), (12, 0, 2, "x", 9), (13, 1, 2, "y", 7)]
+    train = spark.createDataFrame(kinds, "id long, target int, fold int, a string, b int")
+    got = {(r.fold, r.id): (r.part, r.value) for r in fold_lines(train, fit_fold_codes(train, ["a", "b"], k=3), "target", k=3).collect()}
+    want = {}
+    for j in range(3):
+        codes: dict[tuple[int, object], int] = {}
+        for id_, y, fold, *values in sorted(kinds, key=lambda r: (r[2] == j, r[0])):
+            cells = [f"{i}:{codes.setdefault((i, v), len(codes) + 1)}:1" for i, v in enumerate(values) if v is not None]
+            want[j, id_] = ("val" if fold == j else "train", " ".join([str(y), *cells]))
+    assert got == want
+    assert fold_lines(train.where("id < 0"), fit_fold_codes(train.where("id < 0"), ["a", "b"], k=3), "target", k=3).count() == 0
