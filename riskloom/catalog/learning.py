@@ -272,6 +272,28 @@ def sweep_alpha(spark, sf_dir):
     return found.select("setting", "fold", "n_rows", "n_pos", ((F.col("fold") >= 0) | (F.col("gini") > 0.05)).alias("above_floor"))
 
 
+#: Shares of positives that the class weights of the sweep pretend to even out.
+SHARES = (0.5, 0.2, 0.1, 0.05)
+
+
+@query(over_folds(
+    "SELECT w AS share, fold, COUNT(*) AS n_rows, CAST(SUM(target) AS BIGINT) AS n_pos, TRUE AS in_range, TRUE AS leans "
+    f"FROM tr, (SELECT UNNEST({[str(w) for w in SHARES]}) AS w) GROUP BY w, fold"
+))
+def sweep_weight(spark, sf_dir):
+    """Class weights 1 / 2w of positives and 1 / 2(1 - w) of negatives; the smaller w, the higher every fold's mean score."""
+    train, _, _ = one_hot_tables(spark, sf_dir)
+
+    def scores(df, label, score):
+        return metrics.gini(df, label, score, ["fold"]).join(df.groupBy("fold").agg(F.avg(score).alias("mean")), "fold")
+
+    found = sweep(train, {str(w): learners.sgd_logistic(positive_weight=(1 - w) / w) for w in SHARES}, metric=scores)
+    found = materialize(found, "swept")  # a row per setting and fold
+    above = F.lag("mean").over(Window.partitionBy("fold").orderBy(F.col("setting").cast("double").desc()))
+    leans = F.coalesce(F.col("mean") > above, F.lit(True))
+    return found.select(F.col("setting").alias("share"), "fold", "n_rows", "n_pos", F.col("gini").between(-1, 1).alias("in_range"), leans.alias("leans"))
+
+
 HASHED = [*ONE_HOT, *BINNED, "prio_cat_plus_nation_cat"]
 
 
