@@ -241,7 +241,7 @@ def test_trees_give_exact_code_lengths(spark):
     trees = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
     texts = [b"abracadabra", b"zzz", b"banabra zab", "d\u00e9\u4e2dab".encode(), b"", b"\nba"]
     bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-    bits = trees.lengths(np.frombuffer(b"".join(texts), np.uint8), bounds)
+    bits = language.code_lengths(language.load(trees, ["aa", "bb"]), np.frombuffer(b"".join(texts), np.uint8), bounds)
     for text, got in zip(texts, bits):
         assert got == pytest.approx(list(plain.ppm_bits(training, text).values()), rel=1e-5)
 
@@ -254,6 +254,42 @@ def test_language_query(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.98
 
 
+def test_languages_in_groups_agree_with_one_pass(spark):
+    """A hundred languages, all of them learned; groups of trees, ties and clashing names change nothing."""
+    draw = np.random.default_rng(6)
+    rows = []
+    for j in range(100):
+        letters = draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 6, replace=False)
+        rows += [(100 * j + i, " ".join("".join(draw.choice(letters, 5)) for _ in range(40)), f"l{j:02d}", "x") for i in range(6)]
+    rows += [(20_000, None, "l00", "x"), (20_001, "", None, "x"), (20_002, "12 34", None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string")
+    trees = language.fit(docs, F.lit(True), max_contexts=512)
+    assert trees.count() == 100
+    size = max(r["size"] for r in trees.select("size").collect())
+    assert len(language.tree_groups(trees, 30 * size)) > 2
+    whole = {r.doc_id: r for r in language.predict(docs, trees).collect()}
+    parts = {r.doc_id: r for r in language.predict(docs, trees, max_bytes=30 * size).collect()}
+    assert len(whole) == len(rows) and {k: r.lang_pred for k, r in whole.items()} == {k: r.lang_pred for k, r in parts.items()}
+    assert all(r.score == pytest.approx(whole[k].score, rel=1e-9) and r._text == "x" for k, r in parts.items())
+    assert all(whole[d].lang_pred == (lang if d < 20_000 else "und") for d, _, lang, _ in rows)
+    training: dict[str, list[bytes]] = {}
+    for _, text, lang, _ in rows:
+        if text and lang:
+            training.setdefault(lang, []).append(text.encode())
+    few = {k: training[k] for k in ("l00", "l55", "l99")}
+    got = language.code_lengths(language.load(language.fit(docs.where(F.col("lang").isin(list(few))), F.lit(True)), ["l00", "l99"]), np.frombuffer(b"abc xyz", np.uint8), np.array([0, 7]))
+    assert got[0] == pytest.approx(list(plain.ppm_bits(few, b"abc xyz").values()), rel=1e-5)
+
+
+def test_a_rare_language_keeps_its_contexts(spark):
+    """Each language has limits of its own: a large neighbour changes no code length."""
+    small = [(1, "ab cd ab cd", "aa")]
+    large = [(10 + i, " ".join(f"{i * j:x}" for j in range(50)), "zz") for i in range(200)]
+    make = lambda rows: language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), max_contexts=8)
+    alone, beside = (language.load(make(rows), ["aa", "aa"])[0] for rows in (small, small + large))
+    assert (alone.bits == beside.bits).all() and (alone.row == beside.row).all()
+
+
 def test_language_of_odd_rows(spark, odd, none):
     trees = language.fit(odd, F.lit(True))
     rows = language.predict(odd, trees).collect()
