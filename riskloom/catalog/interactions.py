@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog.base import over_folds, query, wide
 from riskloom.catalog.scoring import gini_sql
-from riskloom.operators import search
+from riskloom.operators import learners, search
+from riskloom.operators.combination_search import combination_means, keep_if_improves
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.profile import pair_usage as usage_of
-from riskloom.plans.materialize import materialize
+from riskloom.plans.materialize import materialize, new_path
 from riskloom.sources.order_risk import split_origin
 
 COLS = ["prio_cat", "status_cat", "seg_cat", "nation_cat", "ret_bin", "fstat_bin", "n_lines"]
@@ -149,3 +150,22 @@ def pair_forward(spark, sf_dir):
     before = F.max(F.when(F.col("kept") == 1, F.col("mean_gini"))).over(kept)
     fine = (F.col("kept") == 0) | before.isNull() | (F.col("mean_gini") > before)
     return found.select("f1", "f2", fine.alias("never_worse"))
+
+
+TRIALS = [("prio_cat", "nation_cat"), ("seg_cat", "status_cat"), ("prio_cat", "seg_cat", "ret_bin")]
+TRIAL_NAMES = ["_plus_".join(c) for c in TRIALS]
+
+
+@query(
+    "SELECT step, combination, TRUE AS kept_by_its_gain, TRUE AS best_is_carried FROM (VALUES (-1, NULL), "
+    + ", ".join(f"({i}, '{c}')" for i, c in enumerate(TRIAL_NAMES)) + ") t(step, combination)"
+)
+def forest_combinations(spark, sf_dir):
+    """Combinations of two and three columns, each tried by a forest on target means; the log of all trials."""
+    folded, _ = _folded(spark, sf_dir)
+    tables = combination_means(folded, COLS, TRIALS)
+    log = keep_if_improves(tables, learners.random_forest(trees=20), new_path(spark, "trials"))
+    before = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)  # one row per candidate
+    best = F.max(F.when(F.col("kept") == 1, F.col("score"))).over(before)
+    by_gain = (F.col("step") == -1) | ((F.col("score") > F.col("best_before")) == (F.col("kept") == 1))
+    return log.select("step", "combination", by_gain.alias("kept_by_its_gain"), F.col("best_before").eqNullSafe(best).alias("best_is_carried"))

@@ -48,6 +48,11 @@ def discard(table: DataFrame) -> None:
             _delete(table.sparkSession, mine)
 
 
+def exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def _delete(spark: SparkSession, name: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
