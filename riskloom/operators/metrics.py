@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.scalars import logloss
+from riskloom.functions.scalars import LOGLOSS_EPS, logloss
 from riskloom.plans.ordering import global_rank, running_totals
 
 POOLED = -1
@@ -49,11 +50,8 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFr
 
 
 def gini_by_fold(df: DataFrame, label: str, score: str, fold: str = "fold") -> DataFrame:
-    """One row per fold and one pooled row (fold -1). Rows are aggregated once; only score cells are doubled."""
-    cells = score_cells(df, label, score, [fold])
-    cells = cells.withColumn(fold, F.explode(F.array(F.col(fold), F.lit(POOLED).cast(df.schema[fold].dataType))))
-    cells = cells.groupBy(fold, "score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
-    return gini_of_cells(cells, [fold])
+    """Gini per fold and pooled (fold -1)."""
+    return GINI.by_fold(df, label, score, fold)
 
 
 def gini_normalized(df: DataFrame, label: str, score: str, id: str = "id", by: Sequence[str] = ()) -> DataFrame:
@@ -81,6 +79,55 @@ def log_loss(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> D
     return df.groupBy(*by).agg(F.avg(logloss(score, label)).alias("log_loss"))
 
 
+@dataclass(frozen=True)
+class Metric:
+    """A metric that is worked out from (score, pos, n) cells, which tasks build and Spark merges by adding them up.
+
+    sign: 1 if more is better, -1 if less is. finish: cells and groups to (by..., n_rows, n_pos, value). term: for metrics that are means over the rows, what
+    a cell adds to the sum; such a metric needs no order of the scores, so any number of trial scores are rated by plain sums. Scores have to be
+    probabilities then. gain: what a gain of this metric is as a gain of AUC or of the mean loss, in which thresholds are given.
+    """
+
+    name: str
+    sign: int
+    finish: Callable[[DataFrame, Sequence[str]], DataFrame]
+    term: Callable[[Column, Column, Column], Column] | None = None
+    gain: float = 1.0
+
+    def rate(self, cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """(by..., n_rows, n_pos, <name>)."""
+        return self.finish(cells, by)
+
+    def by_fold(self, df: DataFrame, label: str, score: str, fold: str = "fold") -> DataFrame:
+        """One row per fold and one pooled row (fold -1). Rows are aggregated once; only score cells are doubled."""
+        cells = score_cells(df, label, score, [fold])
+        cells = cells.withColumn(fold, F.explode(F.array(F.col(fold), F.lit(POOLED).cast(df.schema[fold].dataType))))
+        cells = cells.groupBy(fold, "score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+        return self.rate(cells, [fold])
+
+
+def auc_of_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return gini_of_cells(cells, by).select(*by, "n_rows", "n_pos", ((F.col("gini") + 1.0) / 2.0).alias("auc"))
+
+
+def cell_loss(score: Column, pos: Column, n: Column, eps: float = LOGLOSS_EPS) -> Column:
+    """Log loss of a cell's rows together; a missing score has none."""
+    p = F.greatest(F.least(score, F.lit(1.0 - eps)), F.lit(eps))
+    return F.when(score.isNotNull(), -(pos * F.log(p) + (n - pos) * F.log(1.0 - p)))
+
+
+def log_loss_of_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    totals = cells.groupBy(*by).agg(
+        F.sum("n").alias("n_rows"), F.sum("pos").alias("n_pos"), F.sum(cell_loss(F.col("score"), F.col("pos"), F.col("n"))).alias("_loss")
+    )
+    return totals.select(*by, "n_rows", "n_pos", (F.col("_loss") / F.col("n_rows")).alias("log_loss"))
+
+
+GINI = Metric("gini", 1, gini_of_cells, gain=0.5)
+AUC = Metric("auc", 1, auc_of_cells)
+LOG_LOSS = Metric("log_loss", -1, log_loss_of_cells, cell_loss)
+
+
 def fold_summary(scores: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Mean and population standard deviation of fold scores."""
     return scores.groupBy(*by).agg(

@@ -15,7 +15,7 @@ from riskloom.operators.encoders import MEAN_WEIGHT, OneHot, smoothed_mean
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.learners import Learner
 from riskloom.operators.lookup import lookup_join
-from riskloom.operators.metrics import gini, gini_of_cells
+from riskloom.operators.metrics import GINI, Metric, gini_of_cells
 from riskloom.operators.oof import oof_predict
 from riskloom.operators.shared_fits import Codes, FoldFits, fit_shared, shared_scores
 from riskloom.plans.materialize import materialize
@@ -179,36 +179,40 @@ def pair_tables(train: DataFrame, test: DataFrame | None, cols: Sequence[str], p
 class _Fits:
     """Fold scores of the model with some pairs added: by shared passes for all choices at once or, with a learner, one model after the other."""
 
-    def __init__(self, tables: PairTables, alpha: float, learner: Learner | None):
-        self.tables, self.alpha, self.learner = tables, alpha, learner
+    def __init__(self, tables: PairTables, alpha: float, learner: Learner | None, metric: Metric):
+        self.tables, self.alpha, self.learner, self.metric = tables, alpha, learner, metric
         self.models: dict[tuple[tuple[str, str], ...], FoldFits] = {}
 
     def scores(self, choices: Sequence[Sequence[tuple[str, str]]], start: Sequence[tuple[str, str]] | None = None) -> list[dict[int, float]]:
-        """Gini per fold and pooled (-1) of each choice: a handful of numbers. `start` names a fitted choice to begin from."""
+        """Metric per fold and pooled (-1) of each choice: a handful of numbers. `start` names a fitted choice to begin from."""
         if self.learner is not None:
             results = [oof_predict(self.tables.features(c), self.learner, store=False) for c in choices]
-            return [{r["fold"]: r["gini"] for r in x.scores().collect()} for x in results]
+            return [{r["fold"]: r[self.metric.name] for r in x.scores(self.metric.by_fold).collect()} for x in results]
         codes = self.tables.codes()
         fits = fit_shared(codes, [self.tables.blocks(c) for c in choices], self.alpha, start=self.models[tuple(start)] if start is not None else None)
         self.models = {k: v for k, v in self.models.items() if start is not None and k == tuple(start)} | {tuple(c): f for c, f in zip(choices, fits)}
-        return shared_scores(codes, fits)
+        return shared_scores(codes, fits, self.metric)
 
 
-def screen_exact(tables: PairTables, learner: Learner | None = None, min_gain: float = SCREEN_GAIN, alpha: float = SCREEN_ALPHA) -> DataFrame:
+def screen_exact(tables: PairTables, learner: Learner | None = None, min_gain: float = SCREEN_GAIN, alpha: float = SCREEN_ALPHA, metric: Metric = GINI) -> DataFrame:
     """Refit the linear model once per candidate pair: (f1, f2, gini, delta, kept), against the model without pairs.
 
+    `delta` is positive where the pair helps, also for a loss; with another `metric` its value stands under its own name.
+
     The logistic models of all candidates and folds (penalty `alpha`) are fitted in shared passes, beginning at the model without pairs; another `learner` is fitted one
     model at a time.
     """
-    fits = _Fits(tables, alpha, learner)
+    fits = _Fits(tables, alpha, learner, metric)
     base = fits.scores([[]])[0][-1]
     found = fits.scores([[p] for p in tables.pairs], start=[])
-    rows = [(a, b, s[-1], s[-1] - base, int(s[-1] > base + min_gain)) for (a, b), s in zip(tables.pairs, found)]
-    return tables.combined.sparkSession.createDataFrame(rows, "f1 string, f2 string, gini double, delta double, kept int")
+    rated = [(pair, s[-1], metric.sign * (s[-1] - base)) for pair, s in zip(tables.pairs, found)]
+    rows = [(a, b, value, delta, int(delta > min_gain)) for (a, b), value, delta in rated]
+    return tables.combined.sparkSession.createDataFrame(rows, f"f1 string, f2 string, {metric.name} double, delta double, kept int")
 
 
 def forward_select(
-    tables: PairTables, learner: Learner | None = None, min_gain: float = FORWARD_GAIN, all_folds: bool = False, alpha: float = SCREEN_ALPHA, ahead: int = 8
+    tables: PairTables, learner: Learner | None = None, min_gain: float = FORWARD_GAIN, all_folds: bool = False, alpha: float = SCREEN_ALPHA, ahead: int = 8,
+    metric: Metric = GINI,
 ) -> DataFrame:
     """Greedy pass over the candidates in their order: a pair stays if the mean fold score grows by more than
     `min_gain` or, with all_folds, if the score of every fold grows. One row per step.
@@ -216,23 +220,23 @@ def forward_select(
     The next `ahead` candidates are fitted together against the pairs kept so far; those after the first one that stays are fitted again
     with it, so the outcome is that of one candidate at a time.
     """
-    fits = _Fits(tables, alpha, learner)
+    fits = _Fits(tables, alpha, learner, metric)
     chosen: list[tuple[str, str]] = []
     best = fits.scores([chosen])[0]
     rows, step = [], 0
     while step < len(tables.pairs):
         window = tables.pairs[step : step + (ahead if learner is None else 1)]
         for (a, b), found in zip(window, fits.scores([[*chosen, p] for p in window], start=list(chosen))):
-            gains = [found[j] - best[j] for j in best if j >= 0]
+            gains = [metric.sign * (found[j] - best[j]) for j in best if j >= 0]
             # mean AUC grows by half of what mean Gini grows
-            kept = min(gains) > 0 if all_folds else sum(gains) / len(gains) / 2.0 > min_gain
+            kept = min(gains) > 0 if all_folds else sum(gains) / len(gains) * metric.gain > min_gain
             rows.append((step, a, b, sum(found[j] for j in found if j >= 0) / len(gains), min(gains), int(kept)))
             step += 1
             if kept:
                 chosen.append((a, b))
                 best = found
                 break
-    schema = "step int, f1 string, f2 string, mean_gini double, min_gain double, kept int"
+    schema = f"step int, f1 string, f2 string, mean_{metric.name} double, min_gain double, kept int"
     return tables.combined.sparkSession.createDataFrame(rows, schema)
 
 
@@ -252,7 +256,3 @@ def search_pairs(train: DataFrame, test: DataFrame | None, cols: Sequence[str],
         return ranked
     pairs = [(r["f1"], r["f2"]) for r in ranked.collect()]
     return forward_select(pair_tables(folded, test, cols, pairs, label), learner)
-
-
-def fold_ginis(df: DataFrame, label: str, score: str, by: Sequence[str], fold: str = "fold") -> DataFrame:
-    return gini(df, label, score, [*by, fold])

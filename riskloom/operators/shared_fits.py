@@ -12,7 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.metrics import POOLED, gini_of_cells
+from riskloom.operators.metrics import GINI, POOLED, Metric
 
 #: Weights that one pass may carry (8 bytes each, sent to every executor once); more fits take several passes a step.
 MOST_WEIGHTS = 4_000_000
@@ -208,8 +208,8 @@ def fit_shared(
     raise RuntimeError(f"{len(open_)} of {len(out)} models have not converged after {max_passes} passes")
 
 
-def shared_scores(codes: Codes, fits: Sequence[FoldFits]) -> list[dict[int, float]]:
-    """Gini per fold and pooled (-1) of each of `fits`, every row scored by the model fitted outside its fold."""
+def shared_scores(codes: Codes, fits: Sequence[FoldFits], metric: Metric = GINI) -> list[dict[int, float]]:
+    """Metric per fold and pooled (-1) of each of `fits`, every row scored by the model fitted outside its fold."""
     widths, folds = list(codes.widths), list(codes.folds)
     sent = codes.cells.sparkSession.sparkContext.broadcast([(f.blocks, f.weights) for f in fits])
 
@@ -225,9 +225,11 @@ def shared_scores(codes: Codes, fits: Sequence[FoldFits]) -> list[dict[int, floa
                 )
 
     rows = codes.cells.mapInArrow(run, "fit int, fold int, score double, pos long, n long")
+    if metric.term is not None:  # a loss rates probabilities, a ranking the margins themselves
+        rows = rows.withColumn("score", 1.0 / (1.0 + F.exp(-F.col("score"))))
     rows = rows.withColumn("fold", F.explode(F.array("fold", F.lit(POOLED))))
     cells = rows.groupBy("fit", "fold", "score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     out: list[dict[int, float]] = [{} for _ in fits]
-    for r in gini_of_cells(cells, ["fit", "fold"]).collect():  # folds + 1 rows per fit
-        out[r["fit"]][r["fold"]] = r["gini"]
+    for r in metric.rate(cells, ["fit", "fold"]).collect():  # folds + 1 rows per fit
+        out[r["fit"]][r["fold"]] = r[metric.name]
     return out

@@ -1,4 +1,4 @@
-"""Linear blending of prediction tables: weights that maximise Gini, per-fold calibration, stacked predictions."""
+"""Linear blending of prediction tables: weights that are best by a metric, per-fold calibration, stacked predictions."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import linear_blend
-from riskloom.operators.metrics import gini_by_fold, gini_of_cells
+from riskloom.operators.metrics import GINI, Metric
 from riskloom.plans.materialize import materialize
 
 # bins of the search's histograms, and size of the quantile sketches that place their edges (exact up to about as many distinct scores)
@@ -93,13 +93,27 @@ def _candidate_ginis(cells: DataFrame, models: Sequence[str], label: str, fold:
     return {trials[r["trial"]][0]: r["w"] / (float(r["p"]) * float(r["q"])) - 1.0 for r in sums}
 
 
-def exact_ginis(rows: DataFrame, models: Sequence[str], label: str, fold: str, blends: dict[int, Sequence[float]]) -> dict[int, float]:
-    """Exact Gini of one blend per fit over the rows outside its fold, all fits in one job. A column `_n` counts rows."""
+def _candidate_losses(cells: DataFrame, models: Sequence[str], label: str, fold: str, trials: list[tuple], metric: Metric) -> dict[int, float]:
+    """Signed metric of every trial for a metric that is a mean over the rows: one sum per trial and task, no bins, exact."""
+    y, n = F.col(label) * F.col("_n"), F.col("_n")
+    sizes = {j: F.sum(F.when(F.col(fold) != j, n)).alias(f"n{i}") for i, j in enumerate(sorted({t[1] for t in trials}))}
+    rows = cells.agg(*sizes.values()).first()
+    held = dict(zip(sizes, rows))
+    out: dict[int, float] = {}
+    for start in range(0, len(trials), 32):  # as many expressions as one plan bears well
+        part = trials[start : start + 32]
+        sums = [F.sum(F.when(F.col(fold) != j, metric.term(linear_blend(dict(zip(models, w))), y, n))).alias(f"s{i}") for i, (_, j, w) in enumerate(part)]
+        out |= {key: metric.sign * s / held[j] for (key, j, _), s in zip(part, cells.agg(*sums).first())}
+    return out
+
+
+def exact_values(rows: DataFrame, models: Sequence[str], label: str, fold: str, blends: dict[int, Sequence[float]], metric: Metric = GINI) -> dict[int, float]:
+    """Exact metric, signed so that more is better, of one blend per fit over the rows outside its fold, all fits in one job. A column `_n` counts rows."""
     n = F.col("_n") if "_n" in rows.columns else F.lit(1)
     blended = [F.struct(F.lit(j).alias("_fit"), linear_blend(dict(zip(models, w))).alias("score")) for j, w in blends.items()]
     long = rows.select(label, fold, n.alias("_n"), F.inline(F.array(*blended))).where(F.col(fold) != F.col("_fit"))
     cells = long.groupBy("_fit", "score").agg(F.sum(F.col(label).cast("long") * F.col("_n")).alias("pos"), F.sum("_n").cast("long").alias("n"))
-    return {r["_fit"]: r["gini"] for r in gini_of_cells(cells, ["_fit"]).collect()}
+    return {r["_fit"]: metric.sign * r[metric.name] for r in metric.rate(cells, ["_fit"]).collect()}
 
 
 def _normed(w: Sequence[float]) -> list[float]:
@@ -109,9 +123,9 @@ def _normed(w: Sequence[float]) -> list[float]:
 
 def fit_blend(
     rows: DataFrame, models: Sequence[str], label: str = "target", fold: str = "fold", fits: Sequence[int] = (FULL,),
-    max_iter: int = 200, step: float = 0.25, min_step: float = 0.01, negative: bool = True,
+    max_iter: int = 200, step: float = 0.25, min_step: float = 0.01, negative: bool = True, metric: Metric = GINI,
 ) -> dict[int, list[float]]:
-    """Blend weights maximising Gini by coordinate ascent from equal weights, for all `fits` at once.
+    """Blend weights that are best by `metric` (Gini, AUC or log loss), by coordinate steps from equal weights, for all `fits` at once.
 
     Fit j uses the rows outside fold j (FULL: all rows). Every iteration rates the current weights and one step up and
     down per model for every unfinished fit in a single job. Where no step improves, the weights found with this step size are
@@ -123,7 +137,7 @@ def fit_blend(
     require_complete(rows, models)
     weights = {j: _normed([1.0] * len(models)) for j in fits}
     proven = dict(weights)
-    exact = exact_ginis(rows, models, label, fold, weights)
+    exact = exact_values(rows, models, label, fold, weights, metric)
     steps = {j: step for j in fits}
     best: dict[int, float] = {}
     for _ in range(max_iter):
@@ -142,32 +156,32 @@ def fit_blend(
             for w in options:
                 owner[len(trials)] = (j, w)
                 trials.append((len(trials), j, w))
-        found = _candidate_ginis(rows, models, label, fold, trials)
+        found = _candidate_ginis(rows, models, label, fold, trials) if metric.term is None else _candidate_losses(rows, models, label, fold, trials, metric)
         stuck = []
         for j in open_fits:
             mine = [(g, owner[t][1]) for t, g in found.items() if owner[t][0] == j]
             score, w = max(mine, key=lambda x: (x[0], x[1]))
-            if score > best.get(j, -2.0) + 1e-9:
+            if score > best.get(j, -np.inf) + 1e-9:
                 best[j], weights[j] = score, w
             else:
                 steps[j] /= 2.0
                 stuck.append(j)
         moved = {j: weights[j] for j in stuck if weights[j] != proven[j]}
-        _prove(rows, models, label, fold, moved, proven, exact)
+        _prove(rows, models, label, fold, moved, proven, exact, metric)
         for j in stuck:
             if weights[j] != proven[j]:
                 weights[j] = proven[j]
                 best.pop(j)
-    _prove(rows, models, label, fold, {j: weights[j] for j in fits if weights[j] != proven[j]}, proven, exact)
+    _prove(rows, models, label, fold, {j: weights[j] for j in fits if weights[j] != proven[j]}, proven, exact, metric)
     for i in range(len(models)):
-        _prove(rows, models, label, fold, {j: [float(k == i) for k in range(len(models))] for j in fits}, proven, exact)
+        _prove(rows, models, label, fold, {j: [float(k == i) for k in range(len(models))] for j in fits}, proven, exact, metric)
     return proven
 
 
-def _prove(rows: DataFrame, models: Sequence[str], label: str, fold: str, offered: dict[int, list[float]], proven: dict, exact: dict) -> None:
-    """Take the offered weights where their exact Gini is higher."""
+def _prove(rows: DataFrame, models: Sequence[str], label: str, fold: str, offered: dict[int, list[float]], proven: dict, exact: dict, metric: Metric) -> None:
+    """Take the offered weights where their exact rating is better."""
     if offered:
-        for j, value in exact_ginis(rows, models, label, fold, offered).items():
+        for j, value in exact_values(rows, models, label, fold, offered, metric).items():
             if value > exact[j]:
                 proven[j], exact[j] = list(offered[j]), value
 
@@ -180,8 +194,8 @@ class StackResult:
     test: DataFrame | None
     weights: DataFrame
 
-    def scores(self) -> DataFrame:
-        return gini_by_fold(self.oof, "target", "prediction")
+    def scores(self, metric: Metric = GINI) -> DataFrame:
+        return metric.by_fold(self.oof, "target", "prediction")
 
     def mean_weights(self) -> DataFrame:
         return self.weights.groupBy("model").agg(F.avg("weight").alias("weight"))
@@ -200,16 +214,16 @@ def calibrate(rows: DataFrame, score: str, label: str, n: int):
 
 def stack(
     oof: DataFrame, models: Sequence[str], test: DataFrame | None = None, label: str = "target", fold: str = "fold",
-    id: str = "id", max_iter: int = 200, negative: bool = True,
+    id: str = "id", max_iter: int = 200, negative: bool = True, metric: Metric = GINI,
 ) -> StackResult:
-    """Blend wide out-of-fold predictions fold by fold; test predictions are averaged over the folds row by row."""
+    """Blend wide out-of-fold predictions fold by fold, by `metric`; test predictions are averaged over the folds row by row."""
     spark = oof.sparkSession
     rows = materialize(oof.select(id, label, fold, *models), "stack")
     sizes = {r[fold]: r["n"] for r in rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
     folds = sorted(sizes)
     if test is not None:
         require_complete(test, models)
-    weights = fit_blend(rows, models, label, fold, folds, max_iter, negative=negative)
+    weights = fit_blend(rows, models, label, fold, folds, max_iter, negative=negative, metric=metric)
     blends = {j: linear_blend(dict(zip(models, weights[j]))) for j in folds}
 
     def fit(j: int):

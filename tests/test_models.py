@@ -14,7 +14,7 @@ from riskloom.operators.ftrl import FTRL, ftrl_oof
 from riskloom.operators.metrics import auc, gini_by_fold
 from riskloom.operators.oof import auc_of_bins, best_rounds, oof_predict, round_cells, round_margins, round_scores
 from riskloom.plans.materialize import materialize
-from riskloom.operators.stacking import _candidate_ginis, exact_ginis, fit_blend, tuple_counts
+from riskloom.operators.stacking import _candidate_ginis, exact_values, fit_blend, tuple_counts
 
 COLS = ["prio_cat", "nation_cat", "ret_bin", "n_lines"]
 
@@ -179,7 +179,7 @@ def test_blend_bears_outliers_and_scales_but_no_holes(spark):
     wild = np.append(a[:-1], 1e9)
     far = fit_blend(frame(wild, b), ["a", "b"])[-1]
     assert np.abs(np.array(plain) - far).max() < 0.1
-    both = {j: exact_ginis(frame(a, b), ["a", "b"], "target", "fold", {-1: w})[-1] for j, w in enumerate((plain, [1.0, 0.0], [0.0, 1.0], [0.5, 0.5]))}
+    both = {j: exact_values(frame(a, b), ["a", "b"], "target", "fold", {-1: w})[-1] for j, w in enumerate((plain, [1.0, 0.0], [0.0, 1.0], [0.5, 0.5]))}
     assert both[0] >= max(both.values())
     assert np.allclose(fit_blend(frame(1000 * a, 1000 * b), ["a", "b"])[-1], plain)
     with pytest.raises(ValueError):
@@ -197,7 +197,7 @@ def test_blend_of_few_valued_scores_over_many_rows_rates_exactly(spark):
     trials = [(t, -1, [np.cos(x), np.sin(x)]) for t, x in enumerate(np.linspace(0, 3, 9))]
     rough = _candidate_ginis(cells, ["a", "b"], "target", "fold", trials)
     for t, _, w in trials:
-        assert rough[t] == pytest.approx(exact_ginis(rows, ["a", "b"], "target", "fold", {-1: w})[-1], abs=1e-12)
+        assert rough[t] == pytest.approx(exact_values(rows, ["a", "b"], "target", "fold", {-1: w})[-1], abs=1e-12)
     found = fit_blend(rows, ["a", "b"])[-1]
-    best = max(exact_ginis(cells, ["a", "b"], "target", "fold", dict(enumerate([w for _, _, w in trials], 100))).values())
-    assert exact_ginis(cells, ["a", "b"], "target", "fold", {-1: found})[-1] >= best - 1e-4
+    best = max(exact_values(cells, ["a", "b"], "target", "fold", dict(enumerate([w for _, _, w in trials], 100))).values())
+    assert exact_values(cells, ["a", "b"], "target", "fold", {-1: found})[-1] >= best - 1e-4
