@@ -35,7 +35,7 @@ def release(spark: SparkSession) -> int:
     """Delete the tables this process has written. Call it once results are saved: DataFrames built on them stop working."""
     gone = 0
     while _written:
-        gone += _delete(spark, _written.pop())
+        gone += delete(spark, _written.pop())
     return gone
 
 
@@ -45,7 +45,7 @@ def discard(table: DataFrame) -> None:
         mine = next((path for path in _written if folder.rstrip("/").endswith(path.split(":", 1)[-1])), None)
         if mine:
             _written.remove(mine)
-            _delete(table.sparkSession, mine)
+            delete(table.sparkSession, mine)
 
 
 def exists(spark: SparkSession, name: str) -> bool:
@@ -53,7 +53,7 @@ def exists(spark: SparkSession, name: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def _delete(spark: SparkSession, name: str) -> bool:
+def delete(spark: SparkSession, name: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
