@@ -107,6 +107,58 @@ def csv_store_wide(spark, sf_dir):
     return P.csv_wide(P.read_csv_store(spark, folder, mark="", models_from="folder"), MODELS)
 
 
+@query(over_folds("SELECT id, fold, CAST(PRINTF('%.9f', 1e0 / (1e0 + prio_cat)) AS DOUBLE) AS prediction FROM tr"))
+def fold_files_read(spark, sf_dir):
+    """Through headerless prediction files, one folder per fold."""
+    folder = new_path(spark, "folds")
+    P.write_fold_predictions(folded(spark, sf_dir).select("id", "fold", (1.0 / (1.0 + F.col("prio_cat"))).alias("prediction")), folder)
+    return P.read_fold_predictions(spark, folder)
+
+
+RATED = ["prio_cat", "ret_bin", "n_lines", "price_13"]
+
+
+@query(over_folds(
+    "SELECT feature, ROUND(ABS(gini), 9) AS importance FROM g",
+    "sc AS (" + " UNION ALL ".join(f"SELECT target, '{c}' AS feature, CAST({c} AS DOUBLE) AS score FROM tr" for c in RATED) + ")",
+    "g AS (" + gini_sql("sc", "target", "score", "feature") + ")",
+))
+def importances_file(spark, sf_dir):
+    """How well each column alone ranks the rows, through the importances file."""
+    path = new_path(spark, "importances")
+    rows = folded(spark, sf_dir).select("target", *[F.col(c).cast("double").alias(c) for c in RATED])
+    rated = metrics.gini(rows.unpivot(["target"], RATED, "feature", "score"), "target", "score", ["feature"])
+    P.write_importances(rated.select("feature", F.abs("gini").alias("importance")), path)
+    return P.read_importances(spark, path).select("feature", F.round("importance", 9).alias("importance"))
+
+
+LOSSES = ["by_bal", "by_prio", "by_qty"]
+LOSS_ROWS = """
+lr AS (SELECT fold, target, (bal_14 + 1e3) / 2e4 AS by_bal, 1e0 / (1e0 + prio_cat) AS by_prio, (qty_12 + 2e0) / 1e3 AS by_qty FROM tr)"""
+
+
+@query(over_folds(
+    "SELECT f.fold, model, ROUND(-AVG(CASE WHEN target = 1 THEN LN(p) ELSE LN(1e0 - p) END), 9) AS log_loss, TRUE AS weights_sum_to_one, TRUE AS beats_every_model "
+    "FROM (SELECT UNNEST(RANGE(5)) AS fold) f JOIN (SELECT fold, target, model, GREATEST(LEAST(p, 1e0 - 1e-14), 1e-14) AS p FROM ll) ll ON ll.fold <> f.fold GROUP BY f.fold, model",
+    LOSS_ROWS,
+    "ll AS (" + " UNION ALL ".join(f"SELECT fold, target, '{m}' AS model, {m} AS p FROM lr" for m in LOSSES) + ")",
+))
+def blend_log_loss(spark, sf_dir):
+    """Weights per fold of the blend with the least log loss, beside the loss of each score alone over the same rows."""
+    scores = [((F.col("bal_14") + 1e3) / 2e4).alias("by_bal"), (1.0 / (1.0 + F.col("prio_cat"))).alias("by_prio"), ((F.col("qty_12") + 2.0) / 1e3).alias("by_qty")]
+    train = materialize(folded(spark, sf_dir).select("target", "fold", *scores), "blend")
+    weights = fit_blend(train, LOSSES, fits=range(5), negative=False, metric=metrics.LOG_LOSS)
+    rows = []
+    for j, w in weights.items():
+        outside = train.where(F.col("fold") != j).withColumn("blend", linear_blend(dict(zip(LOSSES, w))))
+        cells = metrics.score_cells(outside.unpivot(["target"], ["blend", *LOSSES], "model", "score"), "target", "score", ["model"])
+        rated = {r["model"]: r["log_loss"] for r in metrics.LOG_LOSS.rate(cells, ["model"]).collect()}
+        best = rated["blend"] <= min(rated[m] for m in LOSSES) + 1e-12
+        rows += [(j, m, rated[m], abs(sum(map(abs, w)) - 1) < 1e-9, best) for m in LOSSES]
+    found = spark.createDataFrame(rows, "fold int, model string, log_loss double, weights_sum_to_one boolean, beats_every_model boolean")
+    return found.withColumn("log_loss", F.round("log_loss", 9))
+
+
 FIRST_LEVEL = ["prio_cat", "nation_cat", "seg_cat", "ret_bin", "prio_nation"]
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import folded, long_sql, over_folds, over_fx, query, train_test, wide
+from riskloom.catalog.base import folded, long_sql, over_folds, over_fx, query, train_test, wide, wide_stored
 from riskloom.functions.scalars import dual_target
-from riskloom.operators import columns, folds, profile
+from riskloom.operators import columns, folds, profile, sketches
+from riskloom.plans.materialize import materialize, new_path
+from riskloom.plans.matrix_store import StaleMatrix, fingerprint, load_matrix, matrix, matrix_path
 from riskloom.sources.order_risk import BINARY, CATEGORICAL, split_origin
+from riskloom.sources.predictions import read_table
 
 FEATURES = ["prio_cat", "nation_cat", "ret_bin", "n_lines", "price_13"]
 CODED = [*CATEGORICAL, *BINARY, "n_lines"]
@@ -18,6 +21,15 @@ def scan_fx(spark, sf_dir):
     return wide(spark, sf_dir)
 
 
+@query(over_fx("SELECT * FROM fx"))
+def scan_csv(spark, sf_dir):
+    """Through CSV with header, read back with a stated schema."""
+    path = new_path(spark, "table") + ".csv"
+    df = wide(spark, sf_dir)
+    df.write.csv(path, header=True)
+    return read_table(spark, path, df.schema)
+
+
 @query(over_fx("SELECT * EXCLUDE (calc_disc) FROM fx"))
 def drop_group(spark, sf_dir):
     return columns.drop_group(wide(spark, sf_dir), "calc_", prefix=True)
@@ -248,3 +260,66 @@ def shared_values(spark, sf_dir):
 
     train, test = train_test(spark, sf_dir)
     return encoders.shared_values(fit_vocabulary(train, test, CODED))
+
+
+PARTS = {"train": ["train"], "test": ["test"], "both": ["train", "test"]}
+PARTED = "(SELECT feature, value, 'both' AS part FROM long UNION ALL SELECT feature, value, CASE WHEN is_test = 1 THEN 'test' ELSE 'train' END FROM long)"
+LONG = "long AS (" + long_sql(CODED, "fx", "is_test") + ")"
+
+
+def _parted(spark, sf_dir):
+    df = wide_stored(spark, sf_dir).withColumn("part", F.when(F.col("is_test") == 1, "test").otherwise("train"))
+    return df, materialize(sketches.value_sketches(df, CODED), "sketches")
+
+
+@query(over_fx(
+    "SELECT feature, part, CASE WHEN n <= 2 THEN 'passthrough' WHEN n < 110 THEN 'onehot' ELSE 'drop' END AS route "
+    "FROM (SELECT feature, part, COUNT(DISTINCT value) AS n FROM " + PARTED + " GROUP BY feature, part)",
+    LONG,
+))
+def sketch_route(spark, sf_dir):
+    """Routes of every column in train, test and both, from stored sketches; only columns near a limit are counted."""
+    df, stored = _parted(spark, sf_dir)
+    return sketches.route_by_sketches(df, stored, PARTS).withColumnRenamed("group", "part")
+
+
+@query(over_fx("SELECT feature, part, COUNT(DISTINCT value) AS n_values, TRUE AS within_bound FROM " + PARTED + " GROUP BY feature, part", LONG))
+def sketch_cardinality(spark, sf_dir):
+    """Exact counts of distinct values, and whether the merged sketches bound them."""
+    df, stored = _parted(spark, sf_dir)
+    found = profile.cardinality_profile(*split_origin(df), CODED)
+    names = {"n_train_values": "train", "n_test_values": "test", "n_values": "both"}
+    part = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("kind")]
+    exact = found.unpivot(["feature"], list(names), "kind", "n_values").select("feature", part.alias("part"), "n_values").where("n_values > 0")
+    rated = sketches.merged(stored, PARTS).withColumnRenamed("group", "part")
+    within = F.coalesce(F.col("n_values").between(F.col("low"), F.col("high")), F.lit(False)).alias("within_bound")
+    return exact.join(rated, ["feature", "part"], "left").select("feature", "part", "n_values", within)
+
+
+@query(over_fx(
+    "SELECT id, is_test, " + ", ".join(f"DENSE_RANK() OVER (ORDER BY {c}) - 1 AS {c}" for c in CATEGORICAL) + ", TRUE AS loaded, TRUE AS refused FROM fx"
+))
+def matrix_reload(spark, sf_dir):
+    """Codes kept under the fingerprint of tables, vocabulary and settings: a second call loads them, other settings are refused."""
+    from riskloom.operators import encoders
+
+    train, test = train_test(spark, sf_dir)
+    folder, sources = new_path(spark, "matrices"), {"train": train, "test": test}
+    codes = encoders.CategoryCodes(CATEGORICAL).fit(train, test)
+    made = []
+
+    def build():
+        made.append(1)
+        parts = [codes.transform(t).select("id", F.lit(i).alias("is_test"), *CATEGORICAL) for i, t in enumerate((train, test))]
+        return parts[0].unionByName(parts[1])
+
+    vocabulary, settings = codes.vocabulary.table, {"columns": CATEGORICAL}
+    for _ in range(2):
+        found = matrix(build, folder, "codes", sources, vocabulary, settings)
+    path = matrix_path(folder, "codes", fingerprint(sources, vocabulary, settings))
+    try:
+        load_matrix(spark, path, fingerprint({"train": train.where("id % 2 = 0"), "test": test}, vocabulary, settings))
+        refused = False
+    except StaleMatrix:
+        refused = True
+    return found.select("*", F.lit(len(made) == 1).alias("loaded"), F.lit(refused).alias("refused"))

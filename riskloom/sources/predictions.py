@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,29 +62,44 @@ def value_columns(header: Sequence[str], id: str = "id", target: str = "target")
 def read_csv_store(spark: SparkSession, folder: str, mark: str = OOF_MARK, models_from: str = "file") -> DataFrame:
     """All `<model>_oof*.csv` (or `_sub`) files below a folder: (id, prediction, target, model).
 
-    With models_from="folder" the model is the name of the folder a file stands in, as Spark's own writer leaves it. Columns are taken by name, since their order differs from writer to writer: the header line of each file is read first, and
-    files with one header are read in one scan. Archives are not picked up.
+    With models_from="folder" the model is the name of the folder a file stands in, as Spark's own writer leaves it. Columns are taken by name, since
+    their order differs from writer to writer: one job reads the header lines of all files, and files whose columns stand in the same order are one scan,
+    whatever their score columns are called. So neither jobs nor scans grow with the number of files. Files without any line and archives are left out.
     """
-    found = spark.read.format("binaryFile").options(pathGlobFilter=f"*{mark}*.csv", recursiveFileLookup=True).load(folder)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for r in found.select("path").collect():  # one row per file
-        by_header.setdefault(tuple(spark.read.option("header", True).csv(r["path"]).columns), []).append(r["path"])
-    out = spark.createDataFrame([], "id long, prediction double, target int, model string")
-    for header, paths in sorted(by_header.items()):
+    by_layout: dict[tuple[str, ...], list[str]] = {}
+    for path, header in _headers(spark, folder, f"*{mark}*.csv"):
         score, target = value_columns(header)
-        kind = {"id": "long", score: "double", target: "int"}
-        schema = ", ".join(f"`{c}` {kind[c]}" for c in header)
-        label = F.col(target) if target else F.lit(None).cast("int")
+        names = {"id": "id", score: "prediction", target: "target"}
+        by_layout.setdefault(tuple(names[c] for c in header), []).append(path)
+    out = spark.createDataFrame([], "id long, prediction double, target int, model string")
+    kind = {"id": "long", "prediction": "double", "target": "int"}
+    for layout, paths in sorted(by_layout.items()):
+        schema = ", ".join(f"{c} {kind[c]}" for c in layout)
+        label = F.col("target") if "target" in layout else F.lit(None).cast("int")
         path = F.col("_metadata.file_path")
         model = model_of_file(F.col("_metadata.file_name"), mark) if models_from == "file" else F.element_at(F.split(path, "/"), -2)
         rows = spark.read.schema(schema).option("header", True).csv(paths)
-        out = out.unionByName(rows.select("id", F.col(f"`{score}`").alias("prediction"), label.alias("target"), model.alias("model")))
+        out = out.unionByName(rows.select("id", "prediction", label.alias("target"), model.alias("model")))
     return out
 
 
+def _headers(spark: SparkSession, folder: str, glob: str) -> list[tuple[str, list[str]]]:
+    """(path, column names) of every file, from one text scan: the first line that is not blank, which stands in the file's first split."""
+    lines = spark.read.options(pathGlobFilter=glob, recursiveFileLookup=True).text(folder)
+    began = lines.where("_metadata.file_block_start = 0 AND trim(value) != ''")
+    first = began.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.first("value").alias("line"))  # a split is read by one task, in order
+    found = first.collect()  # one short row per file
+    return sorted((unquote(r["path"]), next(csv.reader([r["line"].lstrip("\ufeff")]))) for r in found)
+
+
 def read_fold_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless (id, prediction) lines. The key travels with the score: Spark rows have no position."""
-    return spark.read.schema("id long, prediction double").csv(path)
+    """Headerless (id, prediction) lines of one folder per fold (`fold=0`, `fold=1`, ...), with the fold. The key travels with the score: Spark rows have no position."""
+    return spark.read.schema("id long, prediction double, fold int").csv(path)
+
+
+def write_fold_predictions(oof: DataFrame, path: str, digits: int = 9) -> None:
+    """(id, prediction) lines without header, one folder per fold."""
+    oof.select("id", fixed_text("prediction", digits).alias("prediction"), "fold").write.partitionBy("fold").csv(path)
 
 
 def prediction_wide(store: DataFrame, models: Sequence[str] | None = None, id: str = "id") -> DataFrame:
@@ -118,3 +135,8 @@ def run_catalog(scores: DataFrame, scale: int = SCORE_SCALE, at: Column | None =
 
 def write_importances(importances: DataFrame, path: str) -> None:
     importances.write.csv(path, sep=";", header=True)
+
+
+def read_importances(spark: SparkSession, path: str) -> DataFrame:
+    """(feature, importance) as `write_importances` left them."""
+    return spark.read.schema("feature string, importance double").csv(path, sep=";", header=True)
