@@ -213,3 +213,24 @@ def url_verdicts(rows: list[tuple], rules: list[tuple[str, str]]) -> dict[int, t
         odds = math.fsum(math.log((seen["block"][t] + 1) / size["block"]) - math.log((seen["allow"][t] + 1) / size["allow"]) for t in tokens)
         out[page_id] = host, path, rule, ruled or ("block" if odds > 0 else "allow"), odds
     return out
+
+
+def quality_terms(text: bytes, grams: int, gaps: int, terms: int) -> list[int]:
+    """Term counts of one text by plain loops, with integers of any size cut to 64 bits."""
+    wrap, base = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def spread(h: int, size: int) -> int:
+        h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & wrap
+        return (h >> 33) % size
+
+    out, last, before, rest = [0] * terms, {}, None, terms - grams - gaps
+    for i in range(len(text) - 2):
+        out[spread((text[i] << 16 | text[i + 1] << 8 | text[i + 2]) * base & wrap, grams)] += 1
+    for place, word in enumerate(re.findall(rb"[^\x20\x09-\x0D]+", text)):
+        h = sum((b + 1) * base**k for k, b in enumerate(word)) & wrap
+        out[grams + spread(h, rest)] += 1
+        if before is not None:
+            out[grams + spread(before * 31 + h & wrap, rest)] += 1
+        out[terms - gaps + (min((place - last[word]).bit_length(), gaps - 1) if word in last else 0)] += 1
+        last[word], before = place, h
+    return out

@@ -335,6 +335,34 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert quality.score(none, space).count() == 0
 
 
+def test_quality_terms_are_those_of_plain_loops():
+    rng = np.random.default_rng(4)
+    made = [" ".join("ab"[: 1 + i % 2] * (1 + j % 3) for j in rng.integers(0, 9, n)) for i, n in enumerate((0, 1, 2, 40, 500))]
+    texts = [t.encode() for t in [*made, "", " ", "a", "\n\t x", "Éan Éan Éan the end\x0b", "one two one", " lead", "trail ", "x" * 3000]]
+    bounds = np.r_[0, np.cumsum([len(t) for t in texts])]
+    got = quality.term_counts(np.frombuffer(b"".join(texts), np.uint8), bounds)
+    for t, counts in zip(texts, got):
+        assert counts.astype(int).tolist() == plain.quality_terms(t, quality.GRAMS, quality.GAPS, quality.TERMS)
+
+
+def test_quality_scores_are_the_same_however_rows_are_dealt(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} {'again ' * (i % 4)}{i % 3}!") for i in range(240)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 < 2).cast("int").alias("quality")).where("doc_id % 5 > 0")  # many equal texts with both labels
+    found = []
+    for parts in (1, 7):
+        dealt = docs.repartition(parts, F.xxhash64("doc_id"))
+        found.append(sorted((r.doc_id, r.score, r.predicted) for r in quality.score(dealt, quality.fit(dealt, labels, F.lit(True)), k=5).collect()))
+    assert found[0] == found[1] and len({s for _, s, _ in found[0]}) > 3
+
+
+def test_equally_near_neighbours_count_by_their_place():
+    space = quality.LabelledSpace(np.ones(quality.TERMS), np.eye(quality.TERMS), np.zeros((0, 0)), np.array([1.0, 0.0, 1.0, 0.0, 0.0]))
+    counts = np.zeros((1, quality.TERMS), np.float32)
+    counts[0, 3] = 2
+    space.vectors = np.repeat(space.place(counts), 5, axis=0)
+    assert space.votes(counts, 3, 8.0)[0] == pytest.approx(2 / 3) and space.votes(counts, 1, 8.0)[0] == 1
+
+
 # repetition
 
 
