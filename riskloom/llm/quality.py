@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -81,12 +82,15 @@ class LabelledSpace:
     vectors: np.ndarray
     labels: np.ndarray
 
-    def place(self, counts: np.ndarray) -> np.ndarray:
-        """Unit latent vectors on the grid; texts without terms are the zero vector."""
+    def weigh(self, counts: np.ndarray) -> np.ndarray:
         weighed = np.log1p(counts.astype(np.float64)) * self.idf
         for view in VIEWS:  # each kind of term has the same say
             weighed[:, view] /= np.maximum(np.linalg.norm(weighed[:, view], axis=1, keepdims=True), 1e-12)
-        latent = weighed @ self.axes
+        return weighed
+
+    def place(self, counts: np.ndarray) -> np.ndarray:
+        """Unit latent vectors on the grid; texts without terms are the zero vector."""
+        latent = self.weigh(counts) @ self.axes
         return np.rint(latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12) * GRID) / GRID
 
     def votes(self, counts: np.ndarray, k: int, power: float, block: int = 256) -> np.ndarray:
@@ -143,21 +147,29 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column, id: str = "doc_id", t
         for batch in batches:
             for part in slices(batch, "_text", 2 << 20):
                 counts = term_counts(*blobs(part.column("_text")))
-                yield pa.RecordBatch.from_arrays([part.column(id), part.column("_label"), pa.array([c.tobytes() for c in counts], pa.binary())], names=["_id", "_label", "_counts"])
+                yield pa.RecordBatch.from_arrays([part.column(id), part.column("_label"), pa.array([zlib.compress(c.tobytes(), 1) for c in counts], pa.binary())], names=["_id", "_label", "_counts"])
 
     kind = docs.schema[id].dataType
     found = map_batches(rows, run, f"_id {kind.simpleString()}, _label int, _counts binary")
     got = found.orderBy(F.xxhash64(F.lit("votes"), F.col("_id")), "_id", "_counts").limit(max_labelled).toArrow()
     if not got.num_rows:
         return None
-    counts = np.frombuffer(b"".join(got.column("_counts").to_pylist()), np.float32).reshape(-1, TERMS)
     y = got.column("_label").to_numpy().astype(np.float64)
     total, having = document_frequencies(docs, text)
-    space = LabelledSpace(np.log((1 + total) / (1 + having)) + 1, np.eye(TERMS), np.zeros((0, 0)), y)
-    weighed = space.place(counts)
-    _, axes = np.linalg.eigh(weighed.T @ weighed)
+    space = LabelledSpace(np.log((1 + total) / (1 + having)) + 1, np.zeros((TERMS, 0)), np.zeros((0, rank)), y)
+
+    def blocks(size: int = 512) -> Iterator[np.ndarray]:
+        for a in range(0, got.num_rows, size):
+            packed = got.column("_counts").slice(a, size).to_pylist()
+            yield np.frombuffer(b"".join(map(zlib.decompress, packed)), np.float32).reshape(-1, TERMS)
+
+    gram = np.zeros((TERMS, TERMS))
+    for counts in blocks():
+        weighed = space.weigh(counts)
+        gram += weighed.T @ weighed
+    _, axes = np.linalg.eigh(gram)
     space.axes = np.ascontiguousarray(axes[:, ::-1][:, :rank])
-    space.vectors = space.place(counts)
+    space.vectors = np.concatenate([space.place(counts) for counts in blocks()])
     return space
 
 
