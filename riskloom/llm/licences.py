@@ -90,10 +90,10 @@ def scan(docs: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "tex
 
     text_digest is the SHA-256 of the canonical whole text; license_id the known licence with that digest, else null: a hash join
     of all digests, which Spark splits by itself where one digest is frequent. notice_ids names the known notices that a whole
-    line of the text is, sorted and joined by commas, empty if none. Null texts are empty texts; these match no licence unless
+    line of the text is, sorted and joined by commas, empty if none; of notices with one canonical text the first name counts. Null texts are empty texts; these match no licence unless
     an empty one is known. Repeated rows each give a row.
     """
-    lines = known.where("NOT whole").select("license_id", F.sha2(canonical(F.col("text")), 256).alias("digest"))
+    lines = digests(known.where("NOT whole"))
     table = F.create_map(*[F.lit(x) for r in lines.orderBy("license_id").collect() for x in (r["digest"], r["license_id"])])  # a fixed list of notices
     naming = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.lower(x).rlike("licen[cs]e"))
     found = F.transform(naming, lambda x: F.try_element_at(table, F.sha2(canonical(x), 256)))

@@ -524,6 +524,12 @@ def test_rare_words_and_tokens_count_in_large_tables(spark):
 # licences
 
 
+def test_notices_with_one_canonical_text(spark):
+    more = spark.createDataFrame([("A-MIT", "Licensed under the MIT licence.", False)], "license_id string, text string, whole boolean")
+    docs = spark.createDataFrame([(1, "x\nLicensed under the MIT License!\ny")], "doc_id long, text string")
+    assert [r.notice_ids for r in licences.scan(docs, licences.known_licences(spark).unionByName(more)).collect()] == ["A-MIT"]
+
+
 def test_licences_by_canonical_text(spark, none):
     mit = licences.LICENCES["MIT"]
     other = "Copyright (c) 2019, Some Body\nAll rights reserved.\n\n" + mit.upper().replace("SUBLICENSE", "Sub\u00adlicense".replace("\u00ad", "")).replace(",", " ,").replace("\n", "\r\n")
