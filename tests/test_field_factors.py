@@ -95,3 +95,15 @@ def test_a_second_lookup_path_gives_the_same(spark, monkeypatch):
     monkeypatch.setattr(field_factors, "lookup_join", lambda *a: plain(*a, *["id"] * (7 - len(a)), 0))
     far = {r.id: r.p0 for r in FieldFactors(["a", "b"], epochs=2).fit(train).predictions(train).collect()}
     assert near.keys() == far.keys() and all(abs(near[i] - far[i]) < 1e-9 for i in near)
+
+
+def test_steps_do_not_unfold_rows_while_pairs_are_few(spark, monkeypatch):
+    """Products go to the tasks and errors come back per pair; the unfolded form beyond the limit gives the same, repeated rows included."""
+    train = _rows(spark)
+    train = materialize(train.unionByName(train.where("id % 7 = 0")), "factors-test")
+    far = FieldFactors(["a", "b", "c"], epochs=2, fits=[0, 1], most_pairs=0).fit(train, fold="fold")
+    wanted = {r.id: (r.p0, r.p1) for r in far.predictions(train).collect()}
+    monkeypatch.delattr(FieldFactors, "_margins")
+    near = FieldFactors(["a", "b", "c"], epochs=2, fits=[0, 1]).fit(train, fold="fold")
+    got = {r.id: (r.p0, r.p1) for r in near.predictions(train).collect()}
+    assert got.keys() == wanted.keys() and all(np.allclose(got[i], wanted[i], atol=1e-9) for i in wanted)
