@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from riskloom.operators import search
+from riskloom.operators import search, shared_fits
 from riskloom.operators.learners import sgd_logistic
 from riskloom.operators.metrics import gini_by_fold
 from riskloom.operators.shared_fits import Codes, fit_shared, shared_scores
@@ -64,3 +64,33 @@ def test_refuses_folds_without_both_labels(spark):
     cells = spark.createDataFrame([(0, [0], 5, 0), (1, [0], 5, 0)], "fold int, codes array<int>, n long, pos long")
     with pytest.raises(ValueError):
         fit_shared(Codes(cells, [1], [0, 1]), [[0]])
+
+
+def test_blocks_that_repeat_others_take_few_passes(spark, monkeypatch):
+    """Seven columns and all their pairs on 800 rows: the fits remember enough steps to converge. Sums are worked out here, not in tasks, to be quick."""
+    rng = np.random.default_rng(5)
+    raw = [rng.integers(0, w, 800) for w in (5, 3, 5, 25, 3, 3, 8)]
+    pairs = [raw[a] * 25 + raw[b] for a in range(7) for b in range(a)]
+    x = np.column_stack([np.unique(c, return_inverse=True)[1] for c in [*raw, *pairs]])
+    fold, pos = np.arange(800) % 2, (rng.random(800) < np.where(raw[0] == 1, 0.3, 0.08)).astype(int)
+    widths = [int(w) + 1 for w in x.max(axis=0)]
+    passes = 0
+
+    def sums(codes, fits, positive_weight, curvature):
+        nonlocal passes
+        passes += 1
+        out = {}
+        for k, f in enumerate(fits):
+            z = shared_fits._margins(x, f.blocks, widths, f.weights)
+            apart, p = fold[:, None] != np.array([0, 1]), 1 / (1 + np.exp(-z))
+            each = apart * (p * (1 - p) if curvature else p - pos[:, None])
+            loss = (apart * np.logaddexp(0, np.where(pos[:, None] == 1, -z, z))).sum(axis=0)
+            blocks = [[np.bincount(x[:, b], each[:, j], widths[b]) for j in (0, 1)] for b in f.blocks]
+            out[k] = np.concatenate([loss[None], each.sum(axis=0)[None], *[np.stack(b, axis=1) for b in blocks]])
+        return out
+
+    monkeypatch.setattr(shared_fits, "_sums", sums)
+    cells = spark.createDataFrame([(int(f), 1, int(p)) for f, p in zip(fold, pos)], "fold int, n long, pos long")
+    fit, = shared_fits.fit_shared(shared_fits.Codes(cells, widths, [0, 1]), [range(len(widths))])
+    gradient = sums(None, [fit], 1.0, False)[0][2:] / 400 + 0.0005 * fit.weights[1:]
+    assert abs(gradient).max() < 1e-6 and passes < 200
