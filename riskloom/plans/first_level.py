@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import combine, region_decode
 from riskloom.operators.columns import add_missing_flags, cardinalities, column_roles, noise_columns, replace_sentinel, route
-from riskloom.operators.encoders import CategoryCodes, OneHot, TargetMean
+from riskloom.operators.encoders import CategoryCodes, OneHot, TargetMean, by_fold
 from riskloom.operators.folds import assign_folds
 from riskloom.operators.learners import Learner
 from riskloom.operators.oof import OofResult, oof_predict
@@ -70,8 +70,9 @@ def mean_encoded_model(
     names = [c + suffix for c in cats]
 
     def each(df: DataFrame) -> DataFrame:
-        """With the means outside every fold, one array per column."""
-        return means.transform(df, "each").withColumnsRenamed({c: f"{c}_each" for c in names})
+        """With the means outside every fold, one column per mean and fold."""
+        found = means.transform(df, "each").withColumnsRenamed({c: f"{c}_each" for c in names})
+        return by_fold(found, [f"{c}_each" for c in names], len(means.vocabulary.fold_n))
 
     if means is not None:
         train = materialize(each(train), "means", ["fold"])
@@ -82,7 +83,7 @@ def mean_encoded_model(
         if means is not None and j is None:
             df = means.transform(df, "full")
         elif means is not None:
-            df = df.withColumns({c: F.col(f"`{c}_each`")[j] for c in names})
+            df = df.withColumns({c: F.col(f"`{c}_each_{j}`") for c in names})
         return VectorAssembler(inputCols=inputs, outputCol="features").transform(df)
 
     return oof_predict(train, learner, test, mode, prepare, store=False)
