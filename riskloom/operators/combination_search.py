@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import combine_key
+from riskloom.operators.counted_forest import COUNT_FROM, counted_rows
 from riskloom.operators.encoders import MEAN_WEIGHT, TargetMean
 from riskloom.operators.learners import Learner
 from riskloom.operators.metrics import POOLED, gini_by_fold
@@ -38,7 +39,8 @@ class CombinationMeans:
 
     def features(self, df: DataFrame, chosen: Sequence[str], j: int) -> DataFrame:
         """One vector of the base columns and the chosen combinations' means outside fold j."""
-        picked = df.select("id", "target", "fold", *self.base, *[F.col(f"`{c}`")[j].alias(c) for c in chosen])
+        kept = [F.col(f"`{c}`") for c in df.columns if c not in {*self.base, *self.combinations}]
+        picked = df.select(*kept, *self.base, *[F.col(f"`{c}`")[j].alias(c) for c in chosen])
         return VectorAssembler(inputCols=[*self.base, *chosen], outputCol="features").transform(picked)
 
 
@@ -74,13 +76,16 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 def keep_if_improves(
     tables: CombinationMeans, learner: Learner, log: str, min_gain: float = 0.0, metric: Metric = gini_by_fold, value: str = "gini",
-    smaller_is_better: bool = False,
+    smaller_is_better: bool = False, count_from: int = COUNT_FROM,
 ) -> DataFrame:
     """Try the candidates in their order; one stays if the pooled out-of-fold score beats the best so far by more than `min_gain`.
 
     Returns the log at `log` (a path every executor can reach): step -1 is the model without combinations. Each row is appended after its
     fits, so a restart repeats at most one trial; it refuses a log that was begun with a learner of another name, another base, candidate list, metric or limit. A
     null score (one class only) never improves anything.
+
+    From `count_from` rows on, forests are fitted on distinct rows with counts where those are far fewer (`operators/counted_forest.py`), so that the fits do not grow with the
+    rows: the columns and means that trials choose from have few values in common.
     """
     spark = tables.rows.sparkSession
     settings = str((learner.name, tables.base, tables.combinations, tables.m, min_gain, value, smaller_is_better))
@@ -90,9 +95,15 @@ def keep_if_improves(
     chosen = [r["combination"] for r in done if r["kept"] and r["step"] > BASE]
     best = next((r["score"] for r in reversed(done) if r["kept"]), None)
 
+    left = len(tables.combinations) + 1 - len(done)
+    counted = counted_rows(tables.rows, ["target", "fold", *tables.base, *tables.combinations], learner, count_from=count_from) if left else None
+
     def rate(columns: Sequence[str]) -> float | None:
-        result = oof_predict(tables.rows, learner, prepare=lambda df, j: tables.features(df, columns, j), store=False)
-        return next(r[value] for r in result.scores(metric).collect() if r["fold"] == POOLED)
+        if counted is not None:
+            scores = metric(counted.scored(lambda df, j: tables.features(df, columns, j)), "target", "prediction")
+        else:
+            scores = oof_predict(tables.rows, learner, prepare=lambda df, j: tables.features(df, columns, j), store=False).scores(metric)
+        return next(r[value] for r in scores.collect() if r["fold"] == POOLED)
 
     for step in range(len(done) - 1, len(tables.combinations)):
         name = tables.combinations[step] if step > BASE else None
