@@ -133,7 +133,14 @@ def fit_blend(
     model is taken where its exact rating beats the blend. Weights are scaled so
     that their absolute values add up to 1. Null and NaN predictions are an error.
     """
-    rows = materialize(tuple_counts(rows, models, label, fold), "blend")
+    cells = materialize(tuple_counts(rows, models, label, fold), "blend")
+    return _fit_cells(cells, models, label, fold, fits, max_iter, step, min_step, negative, metric)
+
+
+def _fit_cells(
+    rows: DataFrame, models: Sequence[str], label: str, fold: str, fits: Sequence[int], max_iter: int, step: float, min_step: float, negative: bool, metric: Metric,
+) -> dict[int, list[float]]:
+    """`fit_blend` on the written cells of `tuple_counts`."""
     require_complete(rows, models)
     weights = {j: _normed([1.0] * len(models)) for j in fits}
     proven = dict(weights)
@@ -201,10 +208,11 @@ class StackResult:
         return self.weights.groupBy("model").agg(F.avg("weight").alias("weight"))
 
 
-def calibrate(rows: DataFrame, score: str, label: str, n: int):
-    """One-feature logistic regression that maps a blend to probabilities (unit inverse strength)."""
+def calibrate(rows: DataFrame, score: str, label: str, n: int, weight: str | None = None):
+    """One-feature logistic regression that maps a blend to probabilities (unit inverse strength); column `weight` tells how many of the `n` rows each one stands for."""
     vector = VectorAssembler(inputCols=[score], outputCol="features")
-    fitted = LogisticRegression(labelCol=label, featuresCol="features", regParam=1.0 / n, standardization=False).fit(vector.transform(rows))
+    estimator = LogisticRegression(labelCol=label, featuresCol="features", regParam=1.0 / n, standardization=False)
+    fitted = (estimator.setWeightCol(weight) if weight else estimator).fit(vector.transform(rows))
 
     def apply(df: DataFrame, keep: Sequence[str]) -> DataFrame:
         return fitted.transform(vector.transform(df)).select(*keep, vector_to_array("probability")[1].alias("prediction"))
@@ -223,12 +231,14 @@ def stack(
     folds = sorted(sizes)
     if test is not None:
         require_complete(test, models)
-    weights = fit_blend(rows, models, label, fold, folds, max_iter, negative=negative, metric=metric)
+    cells = materialize(tuple_counts(rows, models, label, fold), "blend")
+    weights = _fit_cells(cells, models, label, fold, folds, max_iter, 0.25, 0.01, negative, metric)
     blends = {j: linear_blend(dict(zip(models, weights[j]))) for j in folds}
 
     def fit(j: int):
-        scored = rows.where(F.col(fold) != j).withColumn("_z", blends[j])
-        return calibrate(scored, "_z", label, sum(sizes.values()) - sizes[j])
+        # equal rows as one weighted row: the fits grow with the distinct predictions, not with the rows
+        scored = cells.where(F.col(fold) != j).withColumn("_z", blends[j])
+        return calibrate(scored, "_z", label, sum(sizes.values()) - sizes[j], "_n")
 
     with ThreadPool(len(folds)) as pool:
         calibrations = dict(zip(folds, pool.map(fit, folds, chunksize=1)))
