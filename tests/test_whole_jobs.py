@@ -44,3 +44,8 @@ def test_best_rounds_are_chosen_among_all_rounds(spark, monkeypatch):
 def test_the_full_features_are_fitted_with_all_trees(spark, monkeypatch):
     learner = learner_of(monkeypatch, "oof_full_features")
     assert learner.trees == learner.build(Facts(10, 3), 0).getMaxIter() == 500
+
+
+def test_boosted_trees_are_fitted_with_all_trees(spark, monkeypatch):
+    learner = learner_of(monkeypatch, "oof_gbt")
+    assert learner.trees == learner.build(Facts(10, 3), 0).getMaxIter() == 370
