@@ -49,3 +49,8 @@ def test_the_full_features_are_fitted_with_all_trees(spark, monkeypatch):
 def test_boosted_trees_are_fitted_with_all_trees(spark, monkeypatch):
     learner = learner_of(monkeypatch, "oof_gbt")
     assert learner.trees == learner.build(Facts(10, 3), 0).getMaxIter() == 370
+
+
+def test_the_forest_is_fitted_with_all_trees(spark, monkeypatch):
+    learner = learner_of(monkeypatch, "oof_rf")
+    assert learner.build(Facts(10, 3), 0).getNumTrees() == 400
